@@ -234,13 +234,14 @@ def worker_stats(work: DataFrame) -> DataFrame:
     """Counts and times per worker. ``avg_ms`` is the time of successful items over the
     number of all items, ``avg_ok_ms`` over the successful ones."""
     ok = F.col("status") == OK
-    end = F.timestamp_micros(F.unix_micros("start_ts") + (F.col("ms") * 1000).cast("bigint"))
+    start = F.col("start_ts").cast("timestamp")
+    end = F.timestamp_micros(F.unix_micros(start) + (F.col("ms") * 1000).cast("bigint"))
     sums = work.groupBy("worker").agg(
         F.count(F.lit(1)).alias("processed"),
         F.count_if(ok).alias("ok"),
         F.count_if(~ok).alias("failed"),
         F.coalesce(F.sum(F.when(ok, F.col("ms"))), F.lit(0.0)).alias("_ms"),
-        F.min("start_ts").alias("start_ts"),
+        F.min(start).alias("start_ts"),
         F.max(end).alias("end_ts"),
     )
     return sums.select(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -36,3 +36,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="lexigraph-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def widen(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a scan over all cores by ``key`` if it has fewer input splits than cores.
+
+    Meant for small files under costly expressions; large inputs pass through unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

@@ -81,8 +81,8 @@ def match_stream(messages: DataFrame, parts: int = PARTS) -> DataFrame:
         F.when(done, item).when(F.col("type") != ops.START_JOB, F.col("body")).alias("item"),
         F.when(done, thumb).alias("thumb"),
     )
-    part = F.coalesce(F.pmod(F.xxhash64("item"), F.lit(parts)), F.lit(0)).alias("part")
-    return rows.groupBy("job_id", part).transformWithStateInPandas(
+    part = F.coalesce(F.pmod(F.xxhash64("item"), F.lit(parts)), F.lit(0))
+    return rows.withColumn("part", part).groupBy("job_id", "part").transformWithStateInPandas(
         statefulProcessor=_Outstanding(),
         outputStructType=OUTCOME_SCHEMA,
         outputMode="Append",
@@ -130,15 +130,36 @@ def running_worker_stats(work: DataFrame) -> DataFrame:
     return ops.worker_stats(work)
 
 
-def write_routed(processed: DataFrame, ok_path: str, error_path: str, checkpoint: str) -> StreamingQuery:
-    """Send failed rows to their own files. A batch that is run again overwrites its folder."""
+def write_routed(processed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Send successful and failed rows to their own folders, ``status=ok`` and ``status=error``."""
+    return (
+        processed.writeStream.format("parquet")
+        .partitionBy("status")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def write_snapshots(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the whole result of a streaming aggregate after each micro-batch.
+
+    Every batch has its own folder, and a batch that is run again overwrites it.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        for frame, path in zip(ops.route_errors(batch), (ok_path, error_path)):
-            frame.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
-        processed.writeStream.foreachBatch(sink)
+        df.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
+        .outputMode("complete")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_last_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    snapshots = spark.read.parquet(path)
+    last = snapshots.agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{path}/batch={last}")
