@@ -13,6 +13,7 @@ from lexigraph.operators import bigrams as bg
 from lexigraph.operators import imaging, paths, similarity, tracking
 from lexigraph.plans import collocations as colloc
 from lexigraph.plans import derived as d
+from lexigraph.plans import similarity as sim
 from lexigraph.session import scratch_dir
 from lexigraph.sinks import writers
 from lexigraph.sources import readers
@@ -143,18 +144,17 @@ def _similarity_columns(df: DataFrame) -> DataFrame:
 
 
 def path_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    feats = sim.feature_table(d.triples(spark, sf), DP_MIN_COUNT)
     return _similarity_columns(
-        similarity.path_similarity(_features(spark, sf), d.path_pairs(spark, sf), MIN_FEATURES)
+        similarity.path_similarity(feats, d.path_pairs(spark, sf), MIN_FEATURES)
     )
 
 
 def mirrored_path_similarity(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job from n-gram lines. There are as many pairs as paths, so they are not
     broadcast."""
-    triples = paths.extract_paths(d.biarc_lines(spark, sf))
-    found = similarity.path_similarity(
-        similarity.features(triples, DP_MIN_COUNT), d.mirrored_pairs(triples), 0, broadcast_rows=0
-    )
+    feats = sim.feature_table(paths.extract_paths(d.biarc_lines(spark, sf)), DP_MIN_COUNT)
+    found = similarity.path_similarity(feats, d.mirrored_pairs(feats), 0, broadcast_rows=0)
     return _similarity_columns(found)
 
 
@@ -436,17 +436,20 @@ sw AS (SELECT slot, word, CAST(sum(c) AS BIGINT) AS sw FROM slots GROUP BY ALL),
 s AS (SELECT slot, CAST(sum(c) AS BIGINT) AS s FROM slots GROUP BY ALL)"""
 
 _FEATURES = _SLOTS + f""",
-feats AS (
+feats AS MATERIALIZED (
   SELECT path, slot, word, c,
          ln(CAST(c AS DOUBLE) * s / (CAST(ps AS DOUBLE) * sw)) AS mi,
          c / (1 + ln(sw)) AS tfidf,
          2 * c / (sw + ps) AS dice
-  FROM psw JOIN ps USING (path, slot) JOIN sw USING (slot, word) JOIN s USING (slot)
+  FROM (
+    SELECT *, sum(c) OVER (PARTITION BY path, slot) AS ps, sum(c) OVER (PARTITION BY slot, word) AS sw,
+           sum(c) OVER (PARTITION BY slot) AS s
+    FROM psw)
   WHERE ps > {DP_MIN_COUNT}
 )"""
 
 _SIMILARITY = _FEATURES + """,
-sides AS (
+sides AS MATERIALIZED (
   SELECT p1, p2, 1 AS side, f.* FROM pairs JOIN feats f ON p1 = path WHERE p1 <> p2
   UNION ALL SELECT p1, p2, 2, f.* FROM pairs JOIN feats f ON p2 = path WHERE p1 <> p2
 ),
@@ -527,7 +530,7 @@ spelled AS (
   WHERE t.k IN (p.i, p.j, 2) OR list_contains(p.seen_a, t.k) OR list_contains(p.seen_b, t.k)
   GROUP BY p.doc_id, p.run, p.i, p.j
 ),
-triples AS (
+triples AS MATERIALIZED (
   SELECT path_1 AS path, word_i AS slot_x, word_j AS slot_y, c FROM spelled
   UNION ALL SELECT path_2, word_j, word_i, c FROM spelled
 )"""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -16,10 +18,17 @@ BROADCAST_ROWS = 500_000
 BROADCAST_CHARS = 64_000_000
 
 
+def present(*columns: str) -> Column:
+    """All of the columns are not NULL."""
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def broadcast_if_bounded(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS
 ) -> tuple[DataFrame, bool]:
     """Hint a broadcast only if a probe of at most ``max_rows + 1`` rows proves it small."""
+    if max_rows <= 0:
+        return df, False
     width = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
     rows, chars = (
         df.limit(max_rows + 1)

@@ -109,13 +109,14 @@ def path_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return types.select("p_type", F.inline(flags)).select(path("a").alias("p1"), path("b").alias("p2"))
 
 
-def mirrored_pairs(triples_: DataFrame) -> DataFrame:
+def mirrored_pairs(features: DataFrame) -> DataFrame:
     """Each path with the path that has X and Y exchanged."""
     swap = F.transform(
         F.split("path", " "),
         lambda w: F.when(w == "X", "Y").when(w == "Y", "X").otherwise(w),
     )
-    return triples_.select(F.col("path").alias("p1"), F.array_join(swap, " ").alias("p2")).distinct()
+    paths = features.select("path").distinct()
+    return paths.select(F.col("path").alias("p1"), F.array_join(swap, " ").alias("p2"))
 
 
 # ---- work tracking ---------------------------------------------------------------------
