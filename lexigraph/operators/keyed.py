@@ -14,6 +14,8 @@ HOT_KEYS = 1000
 HOT_ROWS = 100_000
 SALTS = 1024
 
+SPLITS = 64
+
 BROADCAST_ROWS = 500_000
 BROADCAST_CHARS = 64_000_000
 
@@ -59,9 +61,7 @@ def lookup(
     keys = list(keys)
     extra = [c for c in table.columns if c not in keys and c != rows]
     if rows is None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        hot_keys = _largest(sizes, "_n", keys, hot_rows).select(*keys)
-        hot = table.join(F.broadcast(hot_keys), keys)
+        hot = table.join(F.broadcast(hot_keys(df, keys, hot_rows)), keys)
     else:
         hot = _largest(table, rows, keys, hot_rows)
     hot = hot.select(*keys, F.struct(*extra).alias("_hot"))
@@ -83,12 +83,52 @@ def lookup(
     return out.select(*df.columns, *[F.col(f"_found.{c}").alias(c) for c in extra])
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with at least ``hot_rows`` rows, the HOT_KEYS largest of them."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return _largest(sizes, "_n", keys, hot_rows).select(*keys)
+
+
 def _largest(sizes: DataFrame, rows: str, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return (
         sizes.where(F.col(rows) >= hot_rows).orderBy(F.desc(rows), *keys).limit(HOT_KEYS)
     )
 
 
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    left_hot: DataFrame | None,
+    right_hot: DataFrame | None,
+    left_spread: Sequence[str],
+    right_spread: Sequence[str],
+) -> DataFrame:
+    """Inner join in which both sides may have many rows per key.
+
+    ``left_hot`` and ``right_hot`` are frames of ``hot_keys`` whose columns are among ``on``.
+    The rows of a key that is hot on one side are cut into SPLITS parts there and copied to
+    each part from the other side; all other rows move once.
+    """
+    def salted(df: DataFrame, own: DataFrame | None, other: DataFrame | None,
+               own_salt: str, other_salt: str, spread: Sequence[str]) -> DataFrame:
+        part = F.pmod(F.xxhash64(*spread), F.lit(SPLITS)).cast("int")
+        every = F.sequence(F.lit(0), F.lit(SPLITS - 1))
+        for hot, flag in ((own, "_own"), (other, "_other")):
+            if hot is None:
+                df = df.withColumn(flag, F.lit(None).cast("boolean"))
+            else:
+                marked = F.broadcast(hot.withColumn(flag, F.lit(True)))
+                df = df.join(marked, hot.columns, "left")
+        return df.withColumn(own_salt, F.when(F.col("_own"), part).otherwise(0)).withColumn(
+            other_salt, F.explode(F.when(F.col("_other"), every).otherwise(F.array(F.lit(0))))
+        ).drop("_own", "_other")
+
+    a = salted(left, left_hot, right_hot, "_a", "_b", left_spread)
+    b = salted(right, right_hot, left_hot, "_b", "_a", right_spread)
+    return a.join(b, [*on, "_a", "_b"]).drop("_a", "_b")
+
+
 def attach_totals(
     df: DataFrame,
     keys: Sequence[str],

@@ -9,9 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("lexigraph")
         .config("spark.ui.enabled", "false")
@@ -20,8 +20,10 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for name, value in conf.items():
+        builder = builder.config(name.replace("__", "."), value)
+    return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
