@@ -81,14 +81,12 @@ def decade_report_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bigram_validation(spark: SparkSession, sf: str) -> DataFrame:
-    lines = d.bigram_lines(spark, sf)
-    good = readers.parse_bigrams(lines).groupBy("year").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("match_count").cast("bigint").alias("total")
+    checked = readers.check_bigrams(d.bigram_lines(spark, sf))
+    year = F.coalesce("bigram.year", F.lit("rejected"))
+    return checked.groupBy(year.alias("year")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum("bigram.match_count"), F.lit(0)).cast("bigint").alias("total"),
     )
-    bad = readers.rejected_bigrams(lines).agg(
-        F.lit("rejected").alias("year"), F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("total")
-    )
-    return good.unionByName(bad)
 
 
 # ---- path similarity -------------------------------------------------------------------

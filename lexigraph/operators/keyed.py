@@ -129,25 +129,15 @@ def spread_join(
     return a.join(b, [*on, "_a", "_b"]).drop("_a", "_b")
 
 
-def attach_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str],
-    having: Column | None = None,
-    base: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    **totals: Column,
-) -> DataFrame:
-    """Give every row the totals of its key; drop rows of keys that fail ``having``.
+ROWS = "_rows"
 
-    The totals come from ``base`` (default ``df``), which must have the same keys.
-    """
-    per_key = (base if base is not None else df).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in totals.items()]
-    )
-    if having is not None:
-        per_key = per_key.where(having)
-    return lookup(df, per_key, keys, spread, "inner", rows="_rows", hot_rows=hot_rows)
+
+def key_totals(df: DataFrame, keys: Sequence[str], **totals: Column) -> DataFrame:
+    """Totals per key, and the number of rows in ROWS for ``lookup``."""
+    sums = [c.alias(n) for n, c in totals.items()]
+    # Always true. It keeps ROWS in every use of the totals, so that all uses have the same
+    # plan and share one shuffle.
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS), *sums).where(F.col(ROWS) > 0)
 
 
 def running_total(

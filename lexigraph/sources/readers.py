@@ -52,40 +52,47 @@ def systematic_sample(df: DataFrame, every: int, on: Iterable[str] = ("value",))
 
 # ---- bigrams ---------------------------------------------------------------------------
 
-def _bigram_fields(lines: DataFrame) -> tuple[DataFrame, Column]:
-    split = lines.select("*", text.fields(F.col("value")).alias("_f"))
-    count = F.get("_f", F.lit(3)).try_cast("double")
+def check_bigrams(lines: DataFrame) -> DataFrame:
+    """Lines ``w1 w2 year count pages volumes`` as ``(value, bigram)``.
+
+    ``bigram`` is NULL for a line that has another number of fields, a year that does not
+    begin with three digits or is shorter than four characters, or no positive count.
+    """
+    def f(i: int) -> Column:
+        return F.get("_f", F.lit(i))
+
+    count = f(3).try_cast("double")
     ok = (
         (F.size("_f") == 6)
-        & (F.length(F.get("_f", F.lit(2))) >= 4)
-        & F.get("_f", F.lit(2)).rlike("^[0-9]{3}")
+        & (F.length(f(2)) >= 4)
+        & f(2).rlike("^[0-9]{3}")
         & (count > 0)
         & (count <= 9e18)  # false for NaN, which sorts above every number
     )
-    return split, F.coalesce(ok, F.lit(False))
-
-
-def parse_bigrams(lines: DataFrame) -> DataFrame:
-    """Lines ``w1 w2 year count pages volumes``; lines of any other shape are dropped."""
-    split, ok = _bigram_fields(lines)
-
-    def f(i: int) -> Column:
-        return F.get("_f", F.lit(i))
-
-    return split.where(ok).select(
+    bigram = F.struct(
         f(0).alias("w1"),
         f(1).alias("w2"),
         f(2).alias("year"),
-        f(3).try_cast("double").alias("match_count"),
+        count.alias("match_count"),
         f(4).try_cast("bigint").alias("pages"),
         f(5).try_cast("bigint").alias("volumes"),
     )
+    split = lines.select("value", text.fields(F.col("value")).alias("_f"))
+    return split.select("value", F.when(ok, bigram).alias("bigram"))
+
+
+def parse_bigrams(lines: DataFrame) -> DataFrame:
+    """The well-formed bigram lines as columns; other lines are dropped."""
+    # Inlined from an array of one and not filtered: a filter would be pushed below the
+    # split, and split every line again.
+    some = F.when(F.col("bigram").isNotNull(), F.array("bigram"))
+    return check_bigrams(lines).select(F.inline(some))
 
 
 def rejected_bigrams(lines: DataFrame) -> DataFrame:
     """The lines that ``parse_bigrams`` drops."""
-    split, ok = _bigram_fields(lines)
-    return split.where(~ok).drop("_f")
+    some = F.when(F.col("bigram").isNull(), F.array("value"))
+    return check_bigrams(lines).select(F.explode(some).alias("value"))
 
 
 def read_bigrams(spark: SparkSession, path: str | list[str], fmt: str = "text") -> DataFrame:
