@@ -74,7 +74,8 @@ def collocations(spark: SparkSession, sf: str) -> DataFrame:
 
 def decade_report_lines(spark: SparkSession, sf: str) -> DataFrame:
     found = colloc.collocations(
-        d.bigrams(spark, sf), MIN_NPMI, REL_MIN_NPMI, stop_words="eng", ordered=False
+        d.bigrams(spark, sf), MIN_NPMI, REL_MIN_NPMI, stop_words="eng", ordered=False,
+        table=scratch_dir(spark, "pmi"),
     )
     lines = colloc.order_report(colloc.decade_report(found, digits=4))
     return lines.select("decade", "section", "line")

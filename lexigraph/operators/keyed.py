@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A key with more than 1/HOT_KEYS of all rows is always among the HOT_KEYS largest, so the
 # broadcast list of hot keys never has more rows than this.
-HOT_KEYS = 1000
+HOT_KEYS = 4000
 HOT_ROWS = 100_000
 SALTS = 1024
 
