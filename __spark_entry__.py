@@ -258,7 +258,8 @@ def pair_literals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def thumbnails(spark: SparkSession, sf: str) -> DataFrame:
-    return imaging.thumbnails(d.page_images(spark, sf)).select(
+    images = d.page_images(imaging.image_session(spark), sf)
+    return imaging.thumbnails(images).select(
         "origin", "format", "status", "height", "width", F.octet_length("data").alias("size")
     )
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text
 
@@ -18,6 +18,20 @@ SCHEMA = (
 )
 
 
+ROWS_PER_BATCH = 64
+
+
+def image_session(spark: SparkSession, rows_per_batch: int = ROWS_PER_BATCH) -> SparkSession:
+    """A session of the same application in which Arrow batches hold few rows.
+
+    Every row is a whole image, so the usual 10,000 of them would not fit in a task. Read
+    the images with this session; the settings of the given one stay as they are.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_per_batch))
+    return session
+
+
 def thumbnail_size(height: int, width: int, box: int) -> tuple[int, int]:
     """The long edge becomes ``box``, the other keeps the ratio and is at least 1."""
     long = max(height, width)

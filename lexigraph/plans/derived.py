@@ -248,7 +248,7 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bytes of each page as a grey image, 64 pixels wide and as high as needed."""
     raw = F.encode("html", "UTF-8")
     height = F.ceil(F.octet_length("html") / 64).cast("int")
-    return table(spark, sf_dir, "pages").select(
+    return widen(table(spark, sf_dir, "pages"), "page_id").select(
         F.col("url").alias("origin"),
         height.alias("height"),
         F.lit(64).alias("width"),

@@ -29,7 +29,7 @@ def test_thumbnails_of_files(spark, tmp_path):
     for name, (h, w) in sizes.items():
         png(folder / name, h, w, (10, 20, 30))
     (folder / "junk.png").write_bytes(b"no image")
-    thumbs = imaging.thumbnails(readers.read_images(spark, str(folder)))
+    thumbs = imaging.thumbnails(readers.read_images(imaging.image_session(spark, 2), str(folder)))
     got = {r.origin.rsplit("/", 1)[-1]: r for r in thumbs.collect()}
     assert {k: (r.height, r.width) for k, r in got.items() if r.status == "ok"} == {
         "a.png": (30, 50), "b.JPE": (50, 30), "c.png": (50, 50), "d.png": (1, 50)
