@@ -23,7 +23,7 @@ def read_sequence_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     paths = [path] if isinstance(path, str) else path
     # The only file format without a DataFrame reader, hence the RDD.
     lines = spark.sparkContext.sequenceFile(",".join(paths)).map(lambda kv: (kv[1],))
-    return spark.createDataFrame(lines, "value string")
+    return spark.createDataFrame(lines, "value string", verifySchema=False)
 
 
 def read_lines(spark: SparkSession, path: str | list[str], fmt: str = "text") -> DataFrame:
