@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
+from types import ModuleType
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,6 +21,19 @@ from lexigraph.sinks import writers
 from lexigraph.sources import readers
 from lexigraph.streaming import tracking as stream
 
+
+
+def _if_there(name: str) -> ModuleType | None:
+    """A module that may have been left out of an installation."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError:
+        return None
+
+
+LLM = _if_there("lexigraph.llm.queries")
+PIPELINE = _if_there("corpus_pipeline")
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 MIN_NPMI = 0.75
@@ -336,7 +351,12 @@ def queries() -> dict[str, Query]:
         pair_literals, thumbnails, process_items,
         track_jobs_stream, running_worker_stats_stream, dedupe_stream,
     ]
-    return {f.__name__: f for f in found}
+    named = {f.__name__: f for f in found}
+    if LLM:
+        named |= LLM.queries()
+    if PIPELINE:
+        named["pipeline"] = PIPELINE.run
+    return named
 
 
 # ---- SQL -------------------------------------------------------------------------------
@@ -624,7 +644,7 @@ def oracle_sql() -> dict[str, str]:
     scored = _SIMILARITY.format(min_features=MIN_FEATURES)
     mirrored = _SIMILARITY.format(min_features=0)
     rounded = "round(mi, 6) AS mi, round(tfidf, 6) AS tfidf, round(dice, 6) AS dice"
-    return {
+    found = {
         "word_count": f"WITH {_TOKENS} SELECT w AS word, count(*) AS n FROM toks GROUP BY ALL",
         "bigrams_by_decade": f"WITH {counts} SELECT * FROM counts",
         "stopword_filtered_bigrams": f"WITH {_COUNTS.format(where=_NO_STOP)} SELECT * FROM counts",
@@ -726,3 +746,8 @@ def oracle_sql() -> dict[str, str]:
         "running_worker_stats_stream": _STATS,
         "dedupe_stream": f"WITH {_MESSAGES} SELECT msg_id, type, body FROM messages",
     }
+    if LLM:
+        found |= LLM.oracle_sql()
+    if PIPELINE and PIPELINE.ORACLE_SQL:
+        found["pipeline"] = PIPELINE.ORACLE_SQL
+    return found
