@@ -147,7 +147,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("gone").alias("_gone"))
     docs = docs.drop("lines_before", "lines_removed")
     on = docs["doc_id"].eqNullSafe(gone["_id"]) & text_key(docs["text"]).eqNullSafe(gone["_key"])
-    rows = docs.join(gone, on, "left")
+    # both sides grow with the corpus, so they are merged at every size
+    rows = docs.join(gone.hint("merge"), on, "left")
     lines = F.split("text", "\n", -1)
 
     def rest(own: Column) -> Column:
