@@ -379,9 +379,9 @@ def score_documents(docs: DataFrame, states: int = STATES, own: int = MAX_OWN, s
     counts = written(vocabulary.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     tokens, shares = classed_tokens(counts, own, shared)
-    found = vocabulary.select("chunk", "number", "word").join(tokens, "word").drop("word")
+    found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(tokens, "word").drop("word")
     coded = written(
-        chunks.drop("words", "counts").groupBy("chunk").cogroup(found.groupBy("chunk"))
+        chunks.drop("words", "counts").groupBy("chunk").cogroup(found.groupBy("own"))
         .applyInPandas(_code(size.n, size.v), _CODED),
         "lm-coded",
     )

@@ -185,6 +185,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             found = [predict_text(voters, t) for t in batch]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    guess = F.pandas_udf(predict, "lang_pred string, score double", F.PandasUDFType.SCALAR_ITER)
+    guess = F.pandas_udf(predict, "lang_pred string, score double")
     found = docs.drop("lang_pred", "score").withColumn("_guess", guess("text"))
     return found.select(*[c for c in found.columns if c != "_guess"], "_guess.*")

@@ -72,8 +72,10 @@ def _estimates(left: pd.Series, right: pd.Series, a: pd.Series, b: pd.Series, k:
 
 def _may_link(pairs: DataFrame, sketches: DataFrame, threshold: int, k: int) -> DataFrame:
     """``pairs`` (x, y) whose sketches leave a link possible."""
-    estimate = F.pandas_udf(lambda a, b, c, d: _estimates(a, b, c, d, k), "double")
-    # Arrow columns carry no type hints here
+    def of_union(s: pd.Series, t: pd.Series, n_x: pd.Series, n_y: pd.Series) -> pd.Series:
+        return _estimates(s, t, n_x, n_y, k)
+
+    estimate = F.pandas_udf(of_union, "double")
     one = sketches.select(F.col("class").alias("x"), F.col("sketch").alias("s"), F.col("n").alias("n_x"))
     two = sketches.select(F.col("class").alias("y"), F.col("sketch").alias("t"), F.col("n").alias("n_y"))
     sized = pairs.join(one, "x").join(two, "y").where(

@@ -7,8 +7,68 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexigraph.llm import decontamination, line_dedup, near_dedup
-from lexigraph.llm.common import read_table, sha256_hex
+import public_tokenizers
+
+from lexigraph.llm import (
+    ann_search, decontamination, hmm_lm, language_id, line_dedup, near_dedup, pii, sentencepiece_codec,
+    token_counts, toxicity,
+)
+from lexigraph.llm.common import doc_remainder, read_table, sha256_hex
+from lexigraph.session import scratch_dir
+
+TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
+EVERY = 20
+
+
+def op1_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search.search(read_table(spark, sf_dir, "embeddings"), EVERY)
+
+
+def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", sha256_hex(F.col("base")).alias("base_sha256"), "spans"
+    )
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER), scratch_dir(spark, "token-cache"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    held = doc_remainder(F.col("doc_id"), 5) == 0
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", "predicted", F.size("offending").alias("n_offending")
+    )
+
+
+def op7_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_digests(docs)
+
+
+def sentencepiece_digests(docs: DataFrame) -> DataFrame:
+    coded = sentencepiece_codec.encode_decode(docs, public_tokenizers.path(PIECES))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), sha256_hex(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = doc_remainder(F.col("doc_id"), 4) == 2
+    return language_id.identify(docs.select("doc_id", "text"), language_id.fit(docs)).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score"
+    )
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +91,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_minhash_near_dedup, op8_line_dedup, op10_benchmark_decontamination]
+    found = [
+        op1_hmm_language_model, op2_adaptive_dimension_scan, op3_bootstrapped_pii, op4_minhash_near_dedup,
+        op5_token_counts, op6_toxicity, op7_sentencepiece_codec, op8_line_dedup, op9_language_id,
+        op10_benchmark_decontamination,
+    ]
     return {f.__name__: f for f in found}
 
 

@@ -216,6 +216,6 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
             ids = [codec.encode(t) for t in batch]
             yield pd.DataFrame({"ids": ids, "decoded": [codec.decode(x) for x in ids]})
 
-    coded = F.pandas_udf(run, "ids binary, decoded string", F.PandasUDFType.SCALAR_ITER)
+    coded = F.pandas_udf(run, "ids binary, decoded string")
     found = docs.drop("ids", "decoded").withColumn("_coded", coded("text"))
     return found.select(*[c for c in found.columns if c != "_coded"], "_coded.*")
