@@ -125,7 +125,8 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .where(~F.col("a").eqNullSafe(F.col("b"))).select("mark"),
         "line-marks",
     )
-    shared = runs.join(marks, "mark", "left_semi")
+    # what is joined here grows with the corpus, so it is merged at every size
+    shared = runs.join(marks.hint("merge"), "mark", "left_semi")
     here = F.struct("doc_id", "key", "s")
     first = written(
         shared.groupBy("k1", "k2")
@@ -133,7 +134,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .where(~F.col("first").eqNullSafe(F.col("last"))).select("k1", "k2", "first"),
         "first-runs",
     )
-    later = shared.join(first, ["k1", "k2"]).where(~here.eqNullSafe(F.col("first")))
+    later = shared.join(first.hint("merge"), ["k1", "k2"]).where(~here.eqNullSafe(F.col("first")))
     return (
         later.select("doc_id", "key", F.explode("places").alias("i")).distinct()
         .groupBy("doc_id", "key").agg(F.collect_list("i").alias("gone"))
@@ -147,7 +148,6 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("gone").alias("_gone"))
     docs = docs.drop("lines_before", "lines_removed")
     on = docs["doc_id"].eqNullSafe(gone["_id"]) & text_key(docs["text"]).eqNullSafe(gone["_key"])
-    # both sides grow with the corpus, so they are merged at every size
     rows = docs.join(gone.hint("merge"), on, "left")
     lines = F.split("text", "\n", -1)
 
