@@ -67,6 +67,7 @@ class Index:
     centroids: np.ndarray  # in rotated space
     reach: float  # squared length of the longest vector
     probes: int
+    epsilon: float = EPSILON
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(0.0, self.reach - (x * x).sum(axis=1)))
@@ -137,8 +138,8 @@ def scan(
                 gap = q[a, block] - x[b, block]
                 so_far += np.einsum("ij,ij->i", gap, gap)
             if stop < dims:
-                # a rotated vector's first dimensions estimate its length to within EPSILON / sqrt
-                passed = so_far * (dims / stop) <= bound[a] * (1 + EPSILON / np.sqrt(stop)) ** 2
+                # a rotated vector's first dimensions estimate its length to within epsilon / sqrt
+                passed = so_far * (dims / stop) <= bound[a] * (1 + index.epsilon / np.sqrt(stop)) ** 2
             else:
                 passed = so_far <= bound[a] * (1 + 1e-9) + 1e-9
             a, b, so_far = a[passed], b[passed], so_far[passed]

@@ -32,6 +32,16 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def add_results(docs: DataFrame, made: Column, names: list[str]) -> DataFrame:
+    """``docs`` with the fields ``names`` of the struct ``made``, whatever columns it has;
+    columns of these names are replaced."""
+    taken = {n.lower() for n in names}
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(row.alias("row"), made.alias("made"))
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in taken]
+    return packed.select(*kept, *[F.col(f"made.{n}").alias(n) for n in names])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     plain = F.octet_length(text) == F.char_length(text)

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lexigraph.llm.common import doc_remainder, written
+from lexigraph.llm.common import add_results, doc_remainder, written
 
 SAMPLE = 4_000
 VOCABULARY = 200_000
@@ -186,5 +186,4 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     guess = F.pandas_udf(predict, "lang_pred string, score double")
-    found = docs.drop("lang_pred", "score").withColumn("_guess", guess("text"))
-    return found.select(*[c for c in found.columns if c != "_guess"], "_guess.*")
+    return add_results(docs, guess("text"), ["lang_pred", "score"])

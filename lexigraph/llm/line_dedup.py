@@ -145,20 +145,26 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the later repeats of runs of lines cut out of ``text``, and the columns
     ``lines_before`` and ``lines_removed`` (replaced if they are there already)."""
     gone = written(repeated_lines(docs, min_words), "gone-lines")
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("gone").alias("_gone"))
-    docs = docs.drop("lines_before", "lines_removed")
-    on = docs["doc_id"].eqNullSafe(gone["_id"]) & text_key(docs["text"]).eqNullSafe(gone["_key"])
-    rows = docs.join(gone.hint("merge"), on, "left")
-    lines = F.split("text", "\n", -1)
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"), "gone")
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"),
+    )
+    on = F.col("id").eqNullSafe(F.col("gone_id")) & F.col("key").eqNullSafe(F.col("gone_key"))
+    text = F.col("row.text")
+    lines = F.split(text, "\n", -1)
 
     def rest(own: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("_gone"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("gone"))
         return F.array_join(F.transform(stay, lambda i: F.get(own, i)), "\n")
 
-    left = let(lines, rest)
-    return rows.select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c)
-          for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("lines_before"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("lines_removed"),
+    made = {
+        "text": F.when(F.col("gone").isNull(), text).otherwise(let(lines, rest)),
+        "lines_before": F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("bigint"),
+        "lines_removed": F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint"),
+    }
+    added = ["lines_before", "lines_removed"]
+    return packed.join(gone.hint("merge"), on, "left").select(
+        *[(made["text"] if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c.lower() not in added],
+        *[made[c].alias(c) for c in added],
     )

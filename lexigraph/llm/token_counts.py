@@ -74,6 +74,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, limit: int =
                 counts += [len(e) for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             yield pd.DataFrame({"version": version, "digest": batch["digest"], "n_tokens": counts})
 
-    texts.mapInPandas(encode, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    texts.mapInPandas(encode, CACHE_SCHEMA).distinct().write.mode("append").parquet(cache)
     rows = marked.join(stored(), "digest", "left")
     return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

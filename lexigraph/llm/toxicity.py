@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lexigraph.llm.common import doc_remainder
+from lexigraph.llm.common import add_results, doc_remainder
 
 SAMPLE = 6_000
 BITS = 18
@@ -183,15 +183,11 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         for batch in texts:
             scored = [score_text(known, t) for t in batch]
             yield pd.DataFrame({
-                "score": [s for s, _ in scored],
+                "score": [s for s, _ in scored], "predicted": [int(s >= FLAGGED) for s, _ in scored],
                 "offending": [[{"start": a, "end": b, "score": p} for a, b, p in found] for _, found in scored],
             })
 
     rate = F.pandas_udf(
-        run, "score double, offending array<struct<start: int, end: int, score: double>>"
-    )
-    found = docs.drop("score", "offending", "predicted").withColumn("_rated", rate("text"))
-    return found.select(
-        *[c for c in found.columns if c != "_rated"], "_rated.*",
-        F.when(F.col("_rated.score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        run, "score double, predicted int, offending array<struct<start: int, end: int, score: double>>"
     )
+    return add_results(docs, rate("text"), ["score", "offending", "predicted"])

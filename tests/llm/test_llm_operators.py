@@ -208,7 +208,7 @@ def plain_line_dedup(texts, least=50):
                         gone |= {(d, i) for i in full[a : b + 1]}
     out = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in texts.items()}
     touched = {d for d, _ in gone}
-    return {d: t for d, t in out.items() if t.strip(" ") or d not in touched}
+    return {d: t for d, t in out.items() if t.strip(" \t\n\r\v\f") or d not in touched}
 
 
 def plain_near_dedup(texts, n=5):
