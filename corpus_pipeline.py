@@ -20,7 +20,8 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or in no language that stands out, go."""
-    marked = language_id.identify(docs.select(F.struct(*docs.columns).alias("doc"), "text"), language_id.fit(docs))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = language_id.identify(docs.select(row.alias("doc"), "text"), language_id.fit(docs))
     sure = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return marked.where(sure).select("doc.*")
 
@@ -28,8 +29,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines go, and documents that held nothing else."""
     done = line_dedup.dedup_lines(docs)
-    empty = (F.col("lines_removed") > 0) & (F.trim("text") == "")
-    return done.where(~F.coalesce(empty, F.lit(False))).select(*docs.columns)
+    empty = (F.col("lines_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    kept = done.where(~F.coalesce(empty, F.lit(False)))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
