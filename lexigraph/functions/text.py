@@ -83,5 +83,5 @@ def elapsed_ms(start: Column, end: Column) -> Column:
 
 
 def whole_number(s: Column) -> Column:
-    """Integer with an optional sign, NULL for anything else."""
-    return F.when(s.rlike(r"^[+-]?[0-9]{1,18}$"), s.try_cast("bigint"))
+    """BIGINT with an optional sign, NULL for anything else."""
+    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("bigint"))

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # broadcast list of hot keys never has more rows than this.
 HOT_KEYS = 4000
 HOT_ROWS = 100_000
-SALTS = 1024
 
-SPLITS = 64
+# Parts of a hot key's running total.
+BUCKETS = 128
 
 BROADCAST_ROWS = 500_000
 BROADCAST_CHARS = 64_000_000
@@ -46,7 +46,6 @@ def lookup(
     df: DataFrame,
     table: DataFrame,
     keys: Sequence[str],
-    spread: Sequence[str],
     how: str = "left",
     rows: str | None = None,
     hot_rows: int = HOT_ROWS,
@@ -54,9 +53,10 @@ def lookup(
     """Join ``table`` (one row per key) to ``df``, whatever share of ``df`` one key holds.
 
     Keys with at least ``hot_rows`` rows, at most HOT_KEYS of them, are answered from a
-    broadcast; their rows are spread over SALTS partitions by ``spread`` in the shuffled
-    join that answers all other keys. ``rows`` names the column of ``table`` that holds the
-    number of rows of ``df`` per key, and is dropped; without it they are counted.
+    broadcast, and their rows stay where they are; only the rows of all other keys are
+    shuffled. Without a hot key AQE drops that branch at run time. ``rows`` names the column
+    of ``table`` that holds the number of rows of ``df`` per key, and is left out of the
+    result; without it they are counted.
     """
     keys = list(keys)
     extra = [c for c in table.columns if c not in keys and c != rows]
@@ -64,29 +64,24 @@ def lookup(
         hot = table.join(F.broadcast(hot_keys(df, keys, hot_rows)), keys)
     else:
         hot = _largest(table, rows, keys, hot_rows)
-    hot = hot.select(*keys, F.struct(*extra).alias("_hot"))
-    cold = table.select(*keys, F.lit(0).alias("_salt"), F.struct(*extra).alias("_cold"))
-
-    salt = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(
-        (1 + F.pmod(F.xxhash64(*spread), F.lit(SALTS))).cast("int")
-    )
-    out = (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", salt)
-        .join(cold, [*keys, "_salt"], "left")
-        .withColumn("_found", F.coalesce("_hot", "_cold"))
-    )
-    if how == "inner":
-        out = out.where(F.col("_found").isNotNull())
-    elif how == "anti":
-        return out.where(F.col("_found").isNull()).select(*df.columns)
+    hot = F.broadcast(hot.select(*keys, F.struct(*extra).alias("_found")))
+    table = table.select(*keys, F.struct(*extra).alias("_found"))
+    cold = df.join(hot.select(*keys), keys, "left_anti")
+    if how == "anti":
+        return cold.join(table, keys, "left_anti").select(*df.columns)
+    out = df.join(hot, keys).unionByName(cold.join(table, keys, how))
     return out.select(*df.columns, *[F.col(f"_found.{c}").alias(c) for c in extra])
 
 
+PARTS = "_parts"
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows, the HOT_KEYS largest of them."""
+    """Keys with at least ``hot_rows`` rows, the HOT_KEYS largest of them, and the number of
+    parts (PARTS) of about ``hot_rows`` rows that each is to be cut into."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return _largest(sizes, "_n", keys, hot_rows).select(*keys)
+    parts = F.ceil(F.col("_n") / hot_rows).cast("int").alias(PARTS)
+    return _largest(sizes, "_n", keys, hot_rows).select(*keys, parts)
 
 
 def _largest(sizes: DataFrame, rows: str, keys: Sequence[str], hot_rows: int) -> DataFrame:
@@ -107,22 +102,20 @@ def spread_join(
     """Inner join in which both sides may have many rows per key.
 
     ``left_hot`` and ``right_hot`` are frames of ``hot_keys`` whose columns are among ``on``.
-    The rows of a key that is hot on one side are cut into SPLITS parts there and copied to
-    each part from the other side; all other rows move once.
+    The rows of a key that is hot on one side are cut into its PARTS there and copied to each
+    part from the other side; all other rows move once.
     """
     def salted(df: DataFrame, own: DataFrame | None, other: DataFrame | None,
                own_salt: str, other_salt: str, spread: Sequence[str]) -> DataFrame:
-        part = F.pmod(F.xxhash64(*spread), F.lit(SPLITS)).cast("int")
-        every = F.sequence(F.lit(0), F.lit(SPLITS - 1))
         for hot, flag in ((own, "_own"), (other, "_other")):
             if hot is None:
-                df = df.withColumn(flag, F.lit(None).cast("boolean"))
+                df = df.withColumn(flag, F.lit(None).cast("int"))
             else:
-                marked = F.broadcast(hot.withColumn(flag, F.lit(True)))
-                df = df.join(marked, hot.columns, "left")
-        return df.withColumn(own_salt, F.when(F.col("_own"), part).otherwise(0)).withColumn(
-            other_salt, F.explode(F.when(F.col("_other"), every).otherwise(F.array(F.lit(0))))
-        ).drop("_own", "_other")
+                marked = F.broadcast(hot.withColumnRenamed(PARTS, flag))
+                df = df.join(marked, [c for c in hot.columns if c != PARTS], "left")
+        part = F.pmod(F.xxhash64(*spread), F.coalesce("_own", F.lit(1)).cast("bigint")).cast("int")
+        every = F.sequence(F.lit(0), F.coalesce("_other", F.lit(1)) - 1)
+        return df.withColumn(own_salt, part).withColumn(other_salt, F.explode(every)).drop("_own", "_other")
 
     a = salted(left, left_hot, right_hot, "_a", "_b", left_spread)
     b = salted(right, right_hot, left_hot, "_b", "_a", right_spread)
@@ -146,31 +139,41 @@ def running_total(
     order: str,
     value: Column,
     name: str,
-    bucket_bits: int = 20,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Running sum of ``value`` per key along the integer column ``order``, unique per key.
+    """Running sum of ``value`` per key along the number ``order``, unique per key.
 
-    A key's rows are cut into buckets of 2**bucket_bits order values. One window runs within
-    a bucket, one over the bucket sums, so no task sorts more than 2**bucket_bits rows of a
-    key however many it has.
+    The rows of a key with at least ``hot_rows`` rows are cut into BUCKETS buckets at the
+    quantiles of its own order values, so sparse and dense orders are split alike. One window
+    runs within a bucket, one over a key's at most BUCKETS sums. NULL keys are a key, and rows
+    without an order value come first.
     """
-    keys = list(keys)
-    cut = df.withColumn("_bucket", F.shiftright(F.col(order).cast("bigint"), bucket_bits))
-    cut = cut.withColumn("_value", value)
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
+    key = F.struct(*keys)  # never NULL itself, so that NULL keys meet in the join
+    cut = df.withColumn("_key", key).withColumn("_value", value)
+    hot = hot_keys(cut, ["_key"], hot_rows).select("_key")
+    ends = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    bounds = (
+        cut.join(F.broadcast(hot), "_key").groupBy("_key")
+        .agg(F.percentile_approx(order, ends, F.lit(100 * BUCKETS)).alias("_ends"))
+    )
+    # at most HOT_KEYS rows of BUCKETS numbers
+    cut = cut.join(F.broadcast(bounds), "_key", "left")
+    bucket = F.size(F.filter("_ends", lambda e: e < F.col(order)))
+    cut = cut.withColumn("_bucket", F.when(F.col("_ends").isNull(), 0).otherwise(bucket)).drop("_ends")
+    earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     before = (
-        cut.groupBy(*keys, "_bucket")
+        cut.groupBy("_key", "_bucket")
         .agg(F.sum("_value").alias("_sum"))
-        .select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+        .select("_key", "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     )
-    within = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(
+    within = Window.partitionBy("_key", "_bucket").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
         cut.withColumn("_within", F.sum("_value").over(within))
-        .join(before, [*keys, "_bucket"])
+        .join(before, ["_key", "_bucket"])
         .withColumn(name, F.col("_before") + F.col("_within"))
         .select(*df.columns, name)
     )

@@ -19,6 +19,28 @@ def write_key_value(df: DataFrame, path: str, keys: int = 1, mode: str = FAIL) -
     df.select(F.concat_ws("\t", key, value).alias("value")).write.mode(mode).text(path)
 
 
+def write_sequence_lines(lines: DataFrame, path: str) -> None:
+    """Lines of ``value`` as sequence files of (offset, line), the offset being 0."""
+    # The only file format without a DataFrame writer, hence the RDD.
+    pairs = lines.select("value").rdd.map(lambda row: (0, row[0]))
+    pairs.saveAsNewAPIHadoopFile(
+        path,
+        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+        "org.apache.hadoop.io.IntWritable",
+        "org.apache.hadoop.io.Text",
+    )
+
+
+def write_pairs(pairs: DataFrame, path: str, mode: str = FAIL) -> None:
+    """Lines of two tab-separated parts, as ``read_pairs`` takes them."""
+    pairs.select(F.concat_ws("\t", "p1", "p2").alias("value")).write.mode(mode).text(path)
+
+
+def write_routed(processed: DataFrame, path: str, mode: str = FAIL) -> None:
+    """Successful, failed and retried rows in folders of their own, ``status=…``."""
+    processed.write.mode(mode).partitionBy("status").parquet(path)
+
+
 def materialise(df: DataFrame, path: str, mode: str = FAIL) -> DataFrame:
     """Write an intermediate result as parquet and read it back from there."""
     df.write.mode(mode).parquet(path)

@@ -36,8 +36,9 @@ def read_lines(spark: SparkSession, path: str | list[str], fmt: str = "text") ->
     raise ValueError(f"unknown line format {fmt!r}")
 
 
-def shard_paths(prefix: str, shards: int = 99) -> list[str]:
-    """``prefix.00-of-99`` … ``prefix.98-of-99``."""
+def shard_paths(prefix: str, shards: int) -> list[str]:
+    """``prefix.00-of-12`` … ``prefix.11-of-12`` for twelve shards."""
+    # Fixed value: the form of a shard's name.
     return [f"{prefix}.{i:02d}-of-{shards}" for i in range(shards)]
 
 
@@ -55,8 +56,8 @@ def systematic_sample(df: DataFrame, every: int, on: Iterable[str] = ("value",))
 def check_bigrams(lines: DataFrame) -> DataFrame:
     """Lines ``w1 w2 year count pages volumes`` as ``(value, bigram)``.
 
-    ``bigram`` is NULL for a line that has another number of fields, a year that does not
-    begin with three digits or is shorter than four characters, or no positive count.
+    ``bigram`` is NULL for a line that has another number of fields, a year of fewer than four
+    characters, or no positive count below 9e18.
     """
     def f(i: int) -> Column:
         return F.get("_f", F.lit(i))
@@ -65,7 +66,6 @@ def check_bigrams(lines: DataFrame) -> DataFrame:
     ok = (
         (F.size("_f") == 6)
         & (F.length(f(2)) >= 4)
-        & f(2).rlike("^[0-9]{3}")
         & (count > 0)
         & (count <= 9e18)  # false for NaN, which sorts above every number
     )
@@ -101,6 +101,19 @@ def read_bigrams(spark: SparkSession, path: str | list[str], fmt: str = "text")
 
 # ---- dependency n-grams ------------------------------------------------------------------
 
+def check_biarcs(lines: DataFrame) -> DataFrame:
+    """Lines ``head <tab> n-gram <tab> count …`` as ``(value, ok)``; ``ok`` is false for a line
+    with fewer than three filled fields or a count that is no whole number."""
+    f = F.filter(F.split("value", "\t"), lambda x: x != "")
+    count = text.whole_number(F.get(f, F.lit(2)))
+    return lines.select("value", F.coalesce(count.isNotNull(), F.lit(False)).alias("ok"))
+
+
+def rejected_biarcs(lines: DataFrame) -> DataFrame:
+    """The lines of which ``extract_paths`` cannot make a path whatever their n-gram is."""
+    return check_biarcs(lines).where(~F.col("ok")).select("value")
+
+
 def read_biarcs(
     spark: SparkSession, path: str | list[str], fmt: str = "text", sample_every: int = 1
 ) -> DataFrame:
@@ -121,15 +134,45 @@ def parse_pairs(lines: DataFrame) -> DataFrame:
     )
 
 
+def rejected_pairs(lines: DataFrame) -> DataFrame:
+    """The lines that ``parse_pairs`` drops."""
+    trimmed = F.rtrim(text.java_trim(F.col("value")), F.lit("\t"))
+    return lines.where(F.coalesce(F.size(F.split(trimmed, "\t")) != 2, F.lit(True))).select("value")
+
+
 def read_pairs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_pairs(read_text_lines(spark, path))
 
 
 def read_item_lists(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One job per file, one item per line: ``(job_id, item)``, job_id = file name."""
-    return spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("job_id"), F.col("value").alias("item")
+    """One job per file, one item per line: ``(job_id, submit_seq, item)``.
+
+    job_id is the file's name, submit_seq the time of its last change in microseconds. An
+    empty file is a job with one row without item.
+    """
+    items = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("job_id"),
+        F.unix_micros("_metadata.file_modification_time").alias("submit_seq"),
+        F.col("value").alias("item"),
+    )
+    empty = spark.createDataFrame(
+        [(name, changed, None) for name, changed in _empty_files(spark, path)], items.schema
     )
+    return items.unionByName(empty)
+
+
+def _empty_files(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int]]:
+    """Names and times of empty files, which scans skip; from the listing that a scan needs, too."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    found = []
+    for pattern in [path] if isinstance(path, str) else path:
+        files = hadoop.Path(pattern).getFileSystem(spark._jsc.hadoopConfiguration())
+        for top in files.globStatus(hadoop.Path(pattern)) or []:
+            for f in files.listStatus(top.getPath()):
+                name = f.getPath().getName()
+                if f.isFile() and f.getLen() == 0 and name[0] not in "_.":
+                    found.append((name, 1000 * f.getModificationTime()))
+    return found
 
 
 def read_stop_words(spark: SparkSession, path: str, lang: str) -> DataFrame:
@@ -144,16 +187,26 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).json(path)
 
 
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """Messages without an id, a type or a recipient, as lines that are no message have none."""
+    return messages.where(F.col("msg_id").isNull() | F.col("type").isNull() | F.col("to_id").isNull())
+
+
 def read_message_stream(
-    spark: SparkSession, path: str, files_per_trigger: int = 10, fmt: str = "json"
+    spark: SparkSession,
+    path: str,
+    files_per_trigger: int | None = None,
+    fmt: str = "json",
+    bytes_per_trigger: int = 256 << 20,
 ) -> DataFrame:
-    """Messages arriving as files, at most ``files_per_trigger`` of them per micro-batch."""
-    return (
-        spark.readStream.schema(MESSAGE_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .format(fmt)
-        .load(path)
-    )
+    """Messages arriving as files. A micro-batch takes files up to ``bytes_per_trigger``, or
+    ``files_per_trigger`` of them if that is given."""
+    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    if files_per_trigger is None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    else:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.format(fmt).load(path)
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:

@@ -18,7 +18,7 @@ def test_lookup_keeps_every_row(spark, rows):
     }
     for hot_rows in (1, 100, 10**9):
         for how, expected in joined.items():
-            assert rows(keyed.lookup(df, table, ["k"], ["v"], how, hot_rows=hot_rows)) == expected
+            assert rows(keyed.lookup(df, table, ["k"], how, hot_rows=hot_rows)) == expected
 
 
 def test_hot_list_is_bounded(spark, monkeypatch):
@@ -36,7 +36,7 @@ def test_spread_join_equals_join(spark, rows):
     left = skewed(spark)
     right = spark.range(400).select((F.col("id") % 7).alias("k"), F.col("id").alias("w"))
     expected = rows(left.join(right, "k"))
-    for lh, rh in ((None, None), (1, None), (None, 1), (100, 50), (1, 1)):
+    for lh, rh in ((None, None), (20, None), (None, 20), (100, 50), (50, 20)):
         got = keyed.spread_join(
             left, right, ["k"],
             lh and keyed.hot_keys(left, ["k"], lh), rh and keyed.hot_keys(right, ["k"], rh), ["v"], ["w"],
@@ -45,19 +45,30 @@ def test_spread_join_equals_join(spark, rows):
 
 
 def test_running_total_does_not_depend_on_buckets(spark, rows):
+    # dense, sparse and NULL keys
     df = spark.createDataFrame(
-        [(k, o, o % 4) for k in "ab" for o in range(-50, 60, 3 if k == "a" else 7)], "k string, o bigint, x bigint"
+        [(k, o * (10**9 if k == "a" else 1), o % 4) for k in ("a", "b", None) for o in range(-50, 60, 3 if k == "a" else 7)],
+        "k string, o bigint, x bigint",
     )
     totals = {}
-    for k, o, x in sorted(tuple(r) for r in df.collect()):
+    for k, o, x in sorted((tuple(r) for r in df.collect()), key=lambda r: (str(r[0]), r[1])):
         totals[k, o] = totals.get((k, "sum"), 0) + x
         totals[k, "sum"] = totals[k, o]
     expected = sorted(((k, o, t) for (k, o), t in totals.items() if o != "sum"), key=repr)
-    for bits in (0, 2, 5, 20):
-        got = keyed.running_total(df.repartition(3), ["k"], "o", F.col("x"), "t", bits)
+    for hot_rows in (1, 20, 10**9):
+        got = keyed.running_total(df.repartition(3), ["k"], "o", F.col("x"), "t", hot_rows)
         assert rows(got, "k", "o", "t") == expected
 
 
+def test_sparse_orders_are_cut_into_few_buckets(spark, monkeypatch):
+    seen = []
+    real = keyed.F.percentile_approx
+    monkeypatch.setattr(keyed.F, "percentile_approx", lambda *a: seen.append(a) or real(*a))
+    df = spark.range(5000).select(F.lit("hot").alias("k"), (F.col("id") * 2_000_000).alias("o"))
+    got = keyed.running_total(df, ["k"], "o", F.lit(1), "n", 100)
+    assert got.where(F.col("n") != F.col("o") / 2_000_000 + 1).isEmpty() and seen
+
+
 def test_broadcast_only_what_is_proven_small(spark):
     df = spark.range(10).select(F.col("id").cast("string").alias("s"))
     assert keyed.broadcast_if_bounded(df, 10)[1]

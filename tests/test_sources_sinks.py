@@ -33,6 +33,8 @@ def test_text_functions(spark):
     assert value(spark, text.numbered_thumb(F.lit("w"), F.lit(3))) == "w_3"
     assert value(spark, text.whole_number(F.lit("+12"))) == 12
     assert value(spark, text.whole_number(F.lit("1.0"))) is None
+    assert value(spark, text.whole_number(F.lit("1000000000000000001"))) == 10**18 + 1
+    assert value(spark, text.whole_number(F.lit(str(2**63)))) is None
     ms = text.elapsed_ms(F.lit("2024-01-01 00:00:00").cast("timestamp"), F.lit("2024-01-01 00:00:01.5").cast("timestamp"))
     assert value(spark, ms) == 1500
 
@@ -57,8 +59,8 @@ def test_line_formats(spark, tmp_path, rows):
 
 
 def test_shards_and_sample(spark, tmp_path):
-    paths = readers.shard_paths(str(tmp_path / "biarcs"))
-    assert paths[0].endswith("biarcs.00-of-99") and paths[-1].endswith("biarcs.98-of-99") and len(paths) == 99
+    paths = readers.shard_paths(str(tmp_path / "biarcs"), 12)
+    assert paths[0].endswith("biarcs.00-of-12") and paths[-1].endswith("biarcs.11-of-12") and len(paths) == 12
     for i, p in enumerate(paths[:2]):
         spark.range(1000).select(F.concat_ws(" ", F.lit(f"line {i}"), "id").alias("value")).write.text(p)
     assert readers.read_biarcs(spark, paths[:2]).count() == 2000
@@ -70,13 +72,15 @@ def test_shards_and_sample(spark, tmp_path):
 
 def test_pairs(spark, tmp_path):
     (tmp_path / "in.txt").write_text(
-        "X expose to Y\tX protect from Y\nonly one\na\tb\tc\n\t X differ from Y\tY resemble X\t\n"
+        "X melt into Y\tY absorb X\nonly one\na\tb\tc\n\t X rise above Y\tY sink below X\t\n"
     )
     pairs = readers.read_pairs(spark, str(tmp_path / "in.txt"))
+    dropped = readers.rejected_pairs(readers.read_text_lines(spark, str(tmp_path / "in.txt")))
+    assert sorted(r.value for r in dropped.collect()) == ["a\tb\tc", "only one"]
     writers.write_pair_literals(pairs, str(tmp_path / "out"))
     assert part_lines(tmp_path / "out") == [
-        '"X expose to Y" + Constants.S + "X protect from Y",',
-        '"X differ from Y" + Constants.S + "Y resemble X",',
+        '"X melt into Y" + Constants.S + "Y absorb X",',
+        '"X rise above Y" + Constants.S + "Y sink below X",',
     ]
 
 
@@ -84,9 +88,12 @@ def test_item_lists_and_stop_words(spark, tmp_path, rows):
     (tmp_path / "jobs").mkdir()
     (tmp_path / "jobs" / "j1").write_text("u1\nu2\nu1\n")
     (tmp_path / "jobs" / "j2").write_text("u3\n")
-    assert rows(readers.read_item_lists(spark, str(tmp_path / "jobs"))) == [
-        ("j1", "u1"), ("j1", "u1"), ("j1", "u2"), ("j2", "u3")
+    (tmp_path / "jobs" / "j3").write_text("")
+    lists = readers.read_item_lists(spark, str(tmp_path / "jobs"))
+    assert rows(lists, "job_id", "item") == [
+        ("j1", "u1"), ("j1", "u1"), ("j1", "u2"), ("j2", "u3"), ("j3", None)
     ]
+    assert lists.where("submit_seq IS NULL OR submit_seq <= 0").isEmpty()
     (tmp_path / "stop").write_text("eng\tthe\nheb\tשל\n")
     assert rows(readers.read_stop_words(spark, str(tmp_path / "stop"), "heb")) == [("של",)]
 
