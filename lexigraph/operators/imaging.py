@@ -60,7 +60,7 @@ def resample(pixels: np.ndarray, box: int) -> np.ndarray:
 
 
 def _thumbnail(row, box: int) -> tuple:
-    if row.height is None or row.height <= 0 or row.width <= 0:
+    if pd.isna(row.height) or row.height <= 0 or row.width <= 0 or row.data is None:
         return (row.origin, "error", "not an image", None, None, None, None, None)
     try:
         pixels = np.frombuffer(row.data, dtype=np.uint8).reshape(row.height, row.width, row.nChannels)
@@ -73,9 +73,13 @@ def _thumbnail(row, box: int) -> tuple:
     )
 
 
-def thumbnails(images: DataFrame, box: int = BOX) -> DataFrame:
-    """Thumbnails in the image schema, with ``status``; undecodable images are error rows."""
+def thumbnails(images: DataFrame, box: int = BOX, keep: list[str] | None = None) -> DataFrame:
+    """Thumbnails in the image schema, with ``status``; undecodable images are error rows.
+
+    ``keep`` names columns that are passed on as they are.
+    """
     names = [c.split()[0] for c in SCHEMA.split(", ")]
+    keep = keep or []
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -83,8 +87,11 @@ def thumbnails(images: DataFrame, box: int = BOX) -> DataFrame:
             out = pd.DataFrame(rows, columns=names)
             for c in ("height", "width", "nChannels", "mode"):
                 out[c] = out[c].astype("Int32")
+            for c in keep:
+                out[c] = frame[c].to_numpy()
             yield out
 
-    return images.select(*COLUMNS).mapInPandas(batches, SCHEMA).withColumn(
+    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in images.select(*keep).schema.fields)
+    return images.select(*COLUMNS, *keep).mapInPandas(batches, SCHEMA + kept).withColumn(
         "format", text.image_format(F.col("origin"))
     )

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text
-from .keyed import HOT_ROWS, lookup, running_total
+from .keyed import HOT_ROWS, hot_keys, lookup, running_total, spread_join
 
 # Message types.
 START_JOB = "start_job"
@@ -25,8 +25,15 @@ FINISHED_WORK = "thumbnail_ended"
 INIT_WORK = "init_url_thumb"
 ERROR_WORK = "error_work"
 
+# Type of our own: a job that was sent after its manager's stop.
+REFUSED = "job_refused"
+
+# Fixed value: the manager's address.
+MANAGER = "remote_manager"
+
 OK = "ok"
 ERROR = "error"
+RETRY = "retry"
 
 COPY_CHUNK = 4096
 
@@ -73,12 +80,22 @@ def accept_jobs(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     stops = (
         messages.where(F.col("type") == TERMINATE).groupBy("to_id").agg(F.min("ts").alias("_stop"))
     )
-    cut = lookup(starts, stops, ["to_id"], ["msg_id"], hot_rows=hot_rows)
+    cut = lookup(starts, stops, ["to_id"], hot_rows=hot_rows)
     return cut.withColumn("accepted", F.col("_stop").isNull() | (F.col("ts") < F.col("_stop"))).drop(
         "_stop"
     )
 
 
+def refusals(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """A reply to the sender of each start message that came after its recipient's stop."""
+    refused = accept_jobs(messages, hot_rows).where(~F.col("accepted"))
+    return refused.select(
+        F.concat("msg_id", F.lit("-refused")).alias("msg_id"), "seq", "ts",
+        F.col("to_id").alias("from_id"), F.col("from_id").alias("to_id"),
+        F.lit(REFUSED).alias("type"), "job_id", "body",
+    )
+
+
 def parse_results(messages: DataFrame) -> DataFrame:
     """Worker replies as results; ``item`` is NULL if a finished reply has no separator."""
     item, thumb = text.split_first(F.col("body"))
@@ -99,9 +116,11 @@ def pending_messages(sent: DataFrame, handled: DataFrame) -> DataFrame:
 
 # ---- jobs and results ------------------------------------------------------------------
 
-def match_results(jobs: DataFrame, results: DataFrame, bucket_bits: int = 20) -> DataFrame:
+def match_results(jobs: DataFrame, results: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Credit each result to the first submitted job that has a copy of its item left.
 
+    A result without an item, as from a malformed reply, belongs to no job.
+
     The k-th result of an item takes the item's k-th copy, so both sides are numbered per
     item and joined on (item, number), a key that is unique on both sides.
     """
@@ -110,39 +129,85 @@ def match_results(jobs: DataFrame, results: DataFrame, bucket_bits: int = 20) ->
         .groupBy("item", "submit_seq", "job_id")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    claims = running_total(claims, ["item"], "submit_seq", F.col("_n"), "_last", bucket_bits)
-    first = F.col("_last") - F.col("_n") + 1
-    # A job with very many copies of one item is cut into chunks that are spread out again.
-    few = claims.where(F.col("_n") <= COPY_CHUNK).select(
-        "item", "job_id", first.alias("_from"), F.col("_last").alias("_to")
-    )
-    many = (
-        claims.where(F.col("_n") > COPY_CHUNK)
-        .select(
-            "item", "job_id", "_last",
-            F.explode(F.sequence(first, F.col("_last"), F.lit(COPY_CHUNK).cast("bigint"))).alias("_from"),
-        )
-        .repartition("item", "_from")
-        .select(
-            "item", "job_id", "_from",
-            F.least(F.col("_from") + COPY_CHUNK - 1, F.col("_last")).alias("_to"),
-        )
-    )
-    copies = few.unionByName(many).select(
+    claims = running_total(claims, ["item"], "submit_seq", F.col("_n"), "_last", hot_rows)
+    claims = claims.withColumn("_first", F.col("_last") - F.col("_n") + 1)
+    copies = _chunks(claims, ["item"]).select(
         "item", "job_id", F.explode(F.sequence("_from", "_to")).alias("_k")
     )
     columns = [c for c in results.columns if c != "job_id"]
     numbered = running_total(
         results.select(*columns).where(F.col("item").isNotNull()),
-        ["item"], "seq", F.lit(1).cast("bigint"), "_k", bucket_bits,
+        ["item"], "seq", F.lit(1).cast("bigint"), "_k", hot_rows,
     )
-    return numbered.join(copies, ["item", "_k"], "left").select(*columns, "job_id")
+    found = numbered.join(copies, ["item", "_k"], "left").select(*columns, "job_id")
+    nameless = results.select(*columns).where(F.col("item").isNull())
+    return found.unionByName(nameless.withColumn("job_id", F.lit(None).cast(found.schema["job_id"].dataType)))
 
 
 def unmatched_results(matched: DataFrame) -> DataFrame:
     return matched.where(F.col("job_id").isNull())
 
 
+def expand_jobs(
+    starts: DataFrame, item_lists: DataFrame, hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Jobs and work orders of start messages, whose ``body`` names an item list.
+
+    ``item_lists`` has (list, item), a row without item for an empty list. An empty or missing
+    list makes an empty job. Each copy of an item gets an order of its own; its msg_id
+    follows from the start message, the item and the copy's number, so a repeated run sends
+    the same orders.
+    """
+    asked = starts.where(F.col("type") == START_JOB).select(
+        "msg_id", F.col("job_id"), F.col("seq").alias("submit_seq"), "ts", F.col("to_id").alias("manager"),
+        F.col("body").alias("list"),
+    )
+    sized = item_lists.where(F.col("item").isNotNull()).groupBy("list", "item").agg(F.count(F.lit(1)).alias("_n"))
+    found = spread_join(
+        sized, asked, ["list"], hot_keys(sized, ["list"], hot_rows), None, ["item"], ["msg_id"]
+    )
+    empty = asked.join(sized.select("list").distinct(), "list", "left_anti").withColumns(
+        {"item": F.lit(None).cast("string"), "_n": F.lit(1).cast("bigint")}
+    )
+    rows = found.unionByName(empty)
+    copies = _chunks(rows.withColumns({"_first": F.lit(1).cast("bigint"), "_last": F.col("_n")}), ["msg_id", "item"])
+    each = copies.withColumn("_k", F.explode(F.sequence("_from", "_to")))
+    orders = each.where(F.col("item").isNotNull()).select(
+        F.concat_ws("-", "msg_id", F.md5("item"), F.col("_k").cast("string")).alias("msg_id"),
+        F.col("submit_seq").alias("seq"), "ts", F.col("manager").alias("from_id"), F.lit("*").alias("to_id"),
+        F.lit(INIT_WORK).alias("type"), "job_id", F.col("item").alias("body"),
+    )
+    return each.select("job_id", "submit_seq", "item"), orders
+
+
+def _chunks(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows with numbers ``_first`` to ``_last`` as chunks ``_from`` to ``_to`` of at most
+    COPY_CHUNK numbers; the chunks of a long row are spread out again."""
+    long = F.col("_last") - F.col("_first") >= COPY_CHUNK
+    few = rows.where(~long).withColumns({"_from": F.col("_first"), "_to": F.col("_last")})
+    many = (
+        rows.where(long)
+        .withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(COPY_CHUNK).cast("bigint"))))
+        .repartition(*key, "_from")
+        .withColumn("_to", F.least(F.col("_from") + COPY_CHUNK - 1, F.col("_last")))
+    )
+    return few.unionByName(many)
+
+
+def summary_place(base: str, job_id: Column) -> Column:
+    """Where ``write_summaries`` puts a job's summary."""
+    return F.concat(F.lit(f"{base}/job_id="), job_id)
+
+
+def completed_jobs(progress: DataFrame, summaries: str) -> DataFrame:
+    """One JOB_ENDED row per complete job: when its last result came (NULL for an empty
+    job), and where its summary is."""
+    return progress.where("complete").select(
+        "job_id", F.lit(JOB_ENDED).alias("type"), F.col("completed_at").alias("seq"),
+        summary_place(summaries, F.col("job_id")).alias("body"),
+    )
+
+
 def job_progress(jobs: DataFrame, matched: DataFrame) -> DataFrame:
     """Per job: items, done, failed, unfinished, and the result that completed it.
 
@@ -190,7 +255,8 @@ def summary_lines(
 ) -> DataFrame:
     """``item;thumb`` per finished item, as ``(job_id, seq, item, thumb, line)``.
 
-    Lines of a job are in order of ``seq``. Jobs still running have no summary yet.
+    Lines of a job are in order of ``seq``. Jobs still running have no summary yet; a finished
+    job without a finished item has one empty line, with nothing but the job's id.
     """
     done = matched.where(F.col("job_id").isNotNull() & (F.col("type") == OK)).select(
         "job_id", "seq", "item", "thumb",
@@ -198,26 +264,27 @@ def summary_lines(
     )
     if not complete_only:
         return done
-    complete = (
-        job_progress(jobs, matched)
-        .where(F.col("complete") & (F.col("done") > 0))
-        .select("job_id", F.col("done").alias("_rows"), F.lit(True).alias("_complete"))
+    complete = job_progress(jobs, matched).where("complete").select(
+        "job_id", F.col("done").alias("_rows"), F.lit(True).alias("_complete")
     )
-    return lookup(
-        done, complete, ["job_id"], ["seq"], "inner", rows="_rows", hot_rows=hot_rows
+    lines = lookup(
+        done, complete, ["job_id"], "inner", rows="_rows", hot_rows=hot_rows
     ).drop("_complete")
+    return lines.unionByName(
+        complete.where(F.col("_rows") == 0).select("job_id", F.lit("").alias("line")), allowMissingColumns=True
+    )
 
 
-def gallery_html(summary: DataFrame, thumb_base: str, job_ids: DataFrame | None = None) -> DataFrame:
+def gallery_html(summary: DataFrame, thumb_base: str) -> DataFrame:
     """HTML page lines ``(job_id, section, seq, html)``: head, one line per thumbnail, foot.
 
-    ``job_ids`` lists jobs that get a page even if they have no line.
+    Every job of the summary has a page, also one without a finished item.
     """
-    body = summary.select(
+    body = summary.where(F.col("item").isNotNull()).select(
         "job_id", F.lit(1).alias("section"), "seq",
         text.gallery_line(F.col("item"), F.concat(F.lit(thumb_base), F.col("thumb"))).alias("html"),
     )
-    ids = (job_ids if job_ids is not None else summary).select("job_id").distinct()
+    ids = summary.select("job_id").distinct()
     frame = F.array(
         F.struct(F.lit(0).alias("section"), F.lit("<HTML>\n<HEAD>\n</HEAD>\n<BODY>").alias("html")),
         F.struct(F.lit(2).alias("section"), F.lit("</BODY>\n</HTML>").alias("html")),
@@ -252,11 +319,11 @@ def worker_stats(work: DataFrame) -> DataFrame:
     )
 
 
-def worker_items(work: DataFrame, bucket_bits: int = 20) -> DataFrame:
+def worker_items(work: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each worker's ok and failed items, numbered from 0 in order of ``seq``."""
     numbered = running_total(
         work.select("worker", "status", "seq", "url", "error"),
-        ["worker", "status"], "seq", F.lit(1).cast("bigint"), "idx", bucket_bits,
+        ["worker", "status"], "seq", F.lit(1).cast("bigint"), "idx", hot_rows,
     )
     return numbered.withColumn("idx", F.col("idx") - 1)
 
@@ -319,6 +386,17 @@ def process_items(items: DataFrame, fn: Callable[[str], str], column: str = "ite
     return items.mapInPandas(batches, f"{schema}, status string, result string, error string")
 
 
+def process_column(items: DataFrame, result: Column, error: Column) -> DataFrame:
+    """``process_items`` for work that Spark's functions express: ``error`` is NULL for an item
+    that succeeds."""
+    failed = error.isNotNull()
+    return items.withColumns({
+        "status": F.when(failed, ERROR).otherwise(OK),
+        "result": F.when(~failed, result),
+        "error": error,
+    })
+
+
 def route_errors(processed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Successful and failed rows."""
     return (
@@ -327,8 +405,13 @@ def route_errors(processed: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def to_replies(processed: DataFrame, worker: str, manager: str = "remote_manager") -> DataFrame:
-    """Replies to the manager: ``item;result`` for a success, the item for a failure."""
+def to_replies(processed: DataFrame, worker: str, manager: str = MANAGER) -> DataFrame:
+    """Replies to the manager: ``item;result`` for a success, the item for a failure.
+
+    An item whose result could not be stored (status RETRY) gets none: its order stays
+    pending and is delivered again.
+    """
+    processed = processed.where(F.col("status") != RETRY)
     ok = F.col("status") == OK
     body = F.when(ok, text.summary_line(F.col("item"), F.col("result"))).otherwise(F.col("item"))
     return processed.select(

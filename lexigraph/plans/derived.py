@@ -57,8 +57,10 @@ def biarc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir)
         .select(text.tokens(F.col("text")).alias("t"), (F.col("doc_id") % 9 + 1).alias("c"))
         .where(F.size("t") > 0)
-        .select("t", "c", F.explode(F.sequence(F.lit(1), F.size("t"), F.lit(WINDOW))).alias("start"))
-        .select("c", F.slice("t", F.col("start"), F.lit(WINDOW)).alias("t"))
+        # cut before it is exploded: a row must not carry the whole text
+        .select("c", F.explode(F.transform(
+            F.sequence(F.lit(1), F.size("t"), F.lit(WINDOW)), lambda start: F.slice("t", start, WINDOW)
+        )).alias("t"))
     )
 
     def token(w, i):
@@ -180,13 +182,14 @@ def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.unionByName(again.withColumn("seq", F.col("seq") + 10**12))
 
 
-def job_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Work orders for the items of ten jobs, and the replies to them."""
+def job_messages(spark: SparkSession, sf_dir: str, jobs: int | None = 10) -> tuple[DataFrame, DataFrame]:
+    """Work orders for the items of ``jobs`` jobs (None: one per user), and the replies."""
+    number = F.col("user_id") if jobs is None else F.col("user_id") % jobs
     base = table(spark, sf_dir, "events").select(
         F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("msg_id"),
         F.col("event_id").alias("seq"),
         "ts",
-        F.concat(F.lit("j"), (F.col("user_id") % 10).cast("string")).alias("job_id"),
+        F.concat(F.lit("j"), number.cast("string")).alias("job_id"),
         "event_id", "event_type", "props", "user_id",
     )
     columns = ["msg_id", "seq", "ts", "from_id", "to_id", "type", "job_id", "body"]
@@ -212,6 +215,17 @@ def job_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return orders.select(*columns), replies.select(*columns)
 
 
+def job_starts(orders: DataFrame) -> DataFrame:
+    """A start message per job, whose body is the number of the job's orders."""
+    return orders.groupBy("job_id").agg(
+        F.min("ts").alias("ts"), F.count(F.lit(1)).cast("string").alias("body")
+    ).select(
+        F.concat("job_id", F.lit("-start")).alias("msg_id"), F.lit(-1).cast("bigint").alias("seq"), "ts",
+        F.lit("client").alias("from_id"), F.lit(tracking.MANAGER).alias("to_id"),
+        F.lit(tracking.START_JOB).alias("type"), "job_id", "body",
+    )
+
+
 def work_of(events: DataFrame) -> DataFrame:
     """Events as work done; users are the workers."""
     error = F.col("event_type") == "error"
@@ -244,6 +258,52 @@ def page_jobs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return jobs_, results_
 
 
+def page_lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Start messages and the item lists they name: a list per host with its addresses. Hosts
+    with an even number of letters start two jobs, and one job names a list that is not there."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.substring_index(F.substring_index("url", "/", 3), "/", -1).alias("list"), F.col("url").alias("item")
+    )
+    hosts = pages.select("list").distinct()
+    copies = F.when(F.length("list") % 2 == 0, 2).otherwise(1)
+    starts = hosts.select("list", F.explode(F.sequence(F.lit(1), copies)).alias("k"))
+    nowhere = spark.range(1).select(F.lit("nowhere").alias("list"), F.lit(1).alias("k"))
+    job = F.concat_ws("-", F.lit("job"), "list", F.col("k").cast("string"))
+    messages_ = starts.unionByName(nowhere).select(
+        F.concat(F.lit("m-"), job).alias("msg_id"), F.crc32(job.cast("binary")).alias("seq"),
+        F.timestamp_seconds(F.lit(0)).alias("ts"), F.lit("client").alias("from_id"),
+        F.lit(tracking.MANAGER).alias("to_id"), F.lit(tracking.START_JOB).alias("type"),
+        job.alias("job_id"), F.col("list").alias("body"),
+    )
+    return messages_, pages
+
+
+TILE = 64
+
+
+def page_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of each page as grey images of TILE x TILE pixels, the last one filled up with
+    zeros. Tiles of addresses with a query are no images. ``seq`` numbers all tiles."""
+    size = TILE * TILE
+    raw = F.encode("html", "UTF-8")
+    pages = widen(table(spark, sf_dir, "pages"), "page_id")
+    last = F.greatest(F.ceil(F.octet_length("html") / size).cast("int"), F.lit(1)) - 1
+    tiles = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda k: F.struct(k.alias("k"), F.rpad(F.substr(raw, k * size + 1, F.lit(size)), size, F.lit(b"\0")).alias("data")),
+    )
+    rows = pages.select("page_id", "url", F.explode(tiles).alias("t"))
+    image = ~F.col("url").contains("?")
+    side = F.when(image, TILE).otherwise(-1)
+    return rows.select(
+        F.concat_ws("#", "url", F.col("t.k").cast("string")).alias("origin"),
+        (F.col("page_id") * 1_000_000 + F.col("t.k")).alias("seq"),
+        F.substring_index(F.substring_index("url", "/", 3), "/", -1).alias("job_id"),
+        side.alias("height"), side.alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"),
+        F.col("t.data").alias("data"),
+    )
+
+
 def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bytes of each page as a grey image, 64 pixels wide and as high as needed."""
     raw = F.encode("html", "UTF-8")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,8 +11,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..operators import tracking as ops
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PARTS = 32
-
 OUTCOME_SCHEMA = "job_id string, seq bigint, outcome string, item string, thumb string"
 
 
@@ -24,32 +21,33 @@ class _Outstanding(StatefulProcessor):
         self.open = handle.getMapState("open", "item string", "n bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # One micro-batch of one part of one job: the trigger limits its size.
+        # One micro-batch of one part of one job; the trigger bounds its bytes.
         batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        copies: dict[str, int] = {}
-
-        def left(item: str) -> int:
-            if item not in copies:
-                held = self.open.containsKey((item,))
-                copies[item] = self.open.getValue((item,))[0] if held else 0
-            return copies[item]
-
+        held: dict[str, int] = {}
+        left: dict[str, int] = {}
         outcomes = []
         for kind, item in zip(batch["type"], batch["item"]):
             if kind == ops.START_JOB:
                 outcomes.append("started")
-            elif kind == ops.INIT_WORK:
-                copies[item] = left(item) + 1
+                continue
+            if item is None:
+                outcomes.append("alert")
+                continue
+            if item not in left:  # one read of the state per item
+                stored = self.open.getValue((item,)) if self.open.containsKey((item,)) else None
+                held[item] = left[item] = stored[0] if stored else 0
+            if kind == ops.INIT_WORK:
+                left[item] += 1
                 outcomes.append("expected")
-            elif item is not None and left(item) > 0:
-                copies[item] -= 1
+            elif left[item] > 0:
+                left[item] -= 1
                 outcomes.append("done" if kind == ops.FINISHED_WORK else "failed")
             else:
                 outcomes.append("alert")
-        for item, n in copies.items():
-            if n > 0:
+        for item, n in left.items():  # and one write, if anything has changed
+            if n and n != held[item]:
                 self.open.updateValue((item,), (n,))
-            elif self.open.containsKey((item,)):
+            elif not n and held[item]:
                 self.open.removeKey((item,))
         yield pd.DataFrame(
             {
@@ -65,12 +63,15 @@ class _Outstanding(StatefulProcessor):
         pass
 
 
-def match_stream(messages: DataFrame, parts: int = PARTS) -> DataFrame:
+def match_stream(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """Outcome of every message of a job: started, expected, done, failed or alert.
 
-    State is kept per job and hash part of the item, so a large job is spread over tasks.
-    The session must use the RocksDB state store (``use_rocksdb``).
+    State is kept per job and hash part of the item, so a large job is spread over tasks;
+    ``parts`` follows the number of shuffle partitions unless it is given. A start's item is
+    its body. The session must use the RocksDB state store (``use_rocksdb``).
     """
+    if parts is None:
+        parts = 4 * int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     replies = (ops.FINISHED_WORK, ops.ERROR_WORK)
     item, thumb = ops.text.split_first(F.col("body"))
     done = F.col("type") == ops.FINISHED_WORK
@@ -78,7 +79,7 @@ def match_stream(messages: DataFrame, parts: int = PARTS) -> DataFrame:
         F.col("job_id").isNotNull() & F.col("type").isin(ops.START_JOB, ops.INIT_WORK, *replies)
     ).select(
         "job_id", "seq", "type",
-        F.when(done, item).when(F.col("type") != ops.START_JOB, F.col("body")).alias("item"),
+        F.when(done, item).otherwise(F.col("body")).alias("item"),
         F.when(done, thumb).alias("thumb"),
     )
     part = F.coalesce(F.pmod(F.xxhash64("item"), F.lit(parts)), F.lit(0))
@@ -120,13 +121,19 @@ def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def dedupe_stream(messages: DataFrame, delay: str = "180 seconds") -> DataFrame:
-    """Drop repeated deliveries that arrive within ``delay`` of the first."""
-    return messages.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["msg_id"])
+def dedupe_stream(messages: DataFrame, keep: str = "180 seconds") -> DataFrame:
+    """Drop repeated deliveries that arrive within ``keep`` of the first.
+
+    Time is that of arrival, which never runs back, so a message that was not seen before is
+    passed on whatever its own ``ts`` is. ``keep`` bounds the state, and how late a repeat may
+    be to be known as one.
+    """
+    arrived = messages.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", keep)
+    return arrived.dropDuplicatesWithinWatermark(["msg_id"]).drop("_arrived")
 
 
 def running_worker_stats(work: DataFrame) -> DataFrame:
-    """Statistics per worker so far; write with output mode complete or update."""
+    """Statistics per worker so far, for ``write_updates``."""
     return ops.worker_stats(work)
 
 
@@ -142,8 +149,8 @@ def write_routed(processed: DataFrame, path: str, checkpoint: str) -> StreamingQ
     )
 
 
-def write_snapshots(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the whole result of a streaming aggregate after each micro-batch.
+def write_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the rows of a streaming aggregate that a micro-batch has changed.
 
     Every batch has its own folder, and a batch that is run again overwrites it.
     """
@@ -153,13 +160,57 @@ def write_snapshots(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     return (
         df.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_merged(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The last row written for each ``key``."""
+    rows = spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in (key, "batch")]
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
+    return last.select(key, "_row.*")
+
+
+# ---- completion ------------------------------------------------------------------------
+
+def write_completions(outcomes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """One JOB_ENDED row per job, in the micro-batch that completes it.
+
+    ``outcomes`` come from ``match_stream``; a start's item is the number of the job's items.
+    The open jobs' counts are a table per micro-batch, made from the last one and the
+    outcomes of the batch, so a batch that is run again gives the same rows. A job that has
+    ended leaves the table, and outcomes of later repeats are alerts and don't count.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        answered = F.col("outcome").isin("done", "failed")
+        counts = batch.groupBy("job_id").agg(
+            F.max(F.when(F.col("outcome") == "started", ops.text.whole_number(F.col("item")))).alias("total"),
+            F.count_if(answered).alias("answered"),
+            F.max(F.when(answered, F.col("seq"))).alias("last"),
+        )
+        if batch_id:
+            before = spark.read.parquet(f"{path}/batch={batch_id - 1}").where("NOT ended").drop("ended")
+            counts = counts.unionByName(before).groupBy("job_id").agg(
+                F.max("total").alias("total"), F.sum("answered").alias("answered"), F.max("last").alias("last")
+            )
+        ended = F.coalesce(F.col("answered") >= F.col("total"), F.lit(False))
+        counts.withColumn("ended", ended).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        outcomes.writeStream.foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_last_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    snapshots = spark.read.parquet(path)
-    last = snapshots.agg(F.max("batch")).first()[0]
-    return spark.read.parquet(f"{path}/batch={last}")
+def read_completions(spark: SparkSession, path: str, summaries: str) -> DataFrame:
+    """The rows of ``operators.tracking.completed_jobs`` from ``write_completions``."""
+    ended = spark.read.parquet(path).where("ended")
+    return ops.completed_jobs(
+        ended.select("job_id", F.lit(True).alias("complete"), F.col("last").alias("completed_at")), summaries
+    )

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,14 +49,34 @@ def test_stream_equals_batch(spark, tmp_path, rows, files):
     ]
 
 
-def test_dedupe(spark, tmp_path, rows):
-    data = [message(i % 4, "j", ops.INIT_WORK, "u", f"m{i % 4}") for i in range(12)]
-    send(spark, data, str(tmp_path / "in"), 3)
-    messages = readers.read_message_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+@pytest.mark.parametrize("files_per_trigger", [1, 8, 64])
+def test_dedupe_keeps_every_first_delivery(spark, tmp_path, rows, files_per_trigger):
+    """Two deliveries of each message, hours apart by their stamps, in files in no order."""
+    data = [message(i * 3600, "j", ops.INIT_WORK, "u", f"m{i}") for i in range(40)] * 2
+    random.Random(3).shuffle(data)
+    send(spark, data, str(tmp_path / "in"), 16)
+    messages = readers.read_message_stream(spark, str(tmp_path / "in"), files_per_trigger)
     stream.write_available(
         stream.dedupe_stream(messages), str(tmp_path / "out"), str(tmp_path / "cp")
     ).awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "out")), "msg_id") == [("m0",), ("m1",), ("m2",), ("m3",)]
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "msg_id")
+    assert got == sorted((f"m{i}",) for i in range(40))
+
+
+@pytest.mark.parametrize("files", [1, 3, 14])
+def test_jobs_end_once(spark, tmp_path, rows, files):
+    data = [message(-1, j, ops.START_JOB, n) for j, n in (("j1", "3"), ("j2", "2"), ("j3", "0"), ("j4", "5"))]
+    data += [message(i, j, ops.INIT_WORK, b) for i, (j, b) in enumerate(ORDERS)]
+    data += [message(100 + i, j, k, b) for i, (j, k, b) in enumerate(REPLIES)]
+    data.append(message(300, "j1", ops.FINISHED_WORK, "b;again"))
+    send(spark, data, str(tmp_path / "in"), files)
+    stream.use_rocksdb(spark)
+    outcomes = stream.match_stream(readers.read_message_stream(spark, str(tmp_path / "in"), 1))
+    stream.write_completions(outcomes, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert rows(stream.read_completions(spark, str(tmp_path / "out"), "s")) == [
+        ("j1", ops.JOB_ENDED, 103, "s/job_id=j1"), ("j2", ops.JOB_ENDED, 104, "s/job_id=j2"),
+        ("j3", ops.JOB_ENDED, None, "s/job_id=j3"),
+    ]
 
 
 def test_items_are_processed_and_routed(spark, tmp_path, rows):
@@ -76,8 +97,8 @@ def test_running_worker_statistics(spark, tmp_path, rows):
         data = [(f"w{i % 2}", 10 * k + i, "u", T0, float(i), "ok" if i else "error", None) for i in range(5)]
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     work = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    stream.write_snapshots(
+    stream.write_updates(
         stream.running_worker_stats(work), str(tmp_path / "out"), str(tmp_path / "cp")
     ).awaitTermination()
     batch = ops.worker_stats(spark.read.parquet(str(tmp_path / "in")))
-    assert rows(stream.read_last_snapshot(spark, str(tmp_path / "out")), *batch.columns) == rows(batch)
+    assert rows(stream.read_merged(spark, str(tmp_path / "out"), "worker"), *batch.columns) == rows(batch)

@@ -36,7 +36,7 @@ def test_progress_and_summary(spark, rows):
     assert rows(progress) == [
         ("j1", 3, 3, 0, 0, True, 4), ("j2", 2, 1, 1, 0, True, 5), ("j3", 0, 0, 0, 0, True, None)
     ]
-    lines = [("j1", 1, "a;t0"), ("j1", 3, "b;t1"), ("j1", 4, "a;t2"), ("j2", 5, "a;t3")]
+    lines = [("j1", 1, "a;t0"), ("j1", 3, "b;t1"), ("j1", 4, "a;t2"), ("j2", 5, "a;t3"), ("j3", None, "")]
     for hot_rows in (1, 10**9):
         assert rows(ops.summary_lines(jobs, matched, hot_rows=hot_rows), "job_id", "seq", "line") == lines
     assert rows(ops.running_items(progress)) == [(0, 0)]
@@ -47,7 +47,7 @@ def test_running_job_has_no_summary(spark, rows):
     matched = ops.match_results(jobs, results)
     progress = ops.job_progress(jobs, matched)
     assert rows(ops.running_items(progress)) == [(2, 2)]
-    assert rows(ops.summary_lines(jobs, matched)) == []
+    assert rows(ops.summary_lines(jobs, matched), "job_id", "line") == [("j3", "")]
     assert len(rows(ops.summary_lines(jobs, matched, complete_only=False))) == 2
 
 
@@ -74,7 +74,7 @@ def test_matching_against_a_plain_loop(spark, rows, monkeypatch, bits, chunk):
         expected.append((seq, job))
     rng.shuffle(jobs)
     a, b = frames(spark, jobs, results)
-    matched = ops.match_results(a.repartition(7), b.repartition(5), bucket_bits=bits)
+    matched = ops.match_results(a.repartition(7), b.repartition(5), hot_rows=bits)
     assert rows(matched, "seq", "job_id") == sorted(expected, key=repr)
 
 
@@ -167,12 +167,60 @@ def test_replies(spark, rows):
 def test_gallery(spark):
     jobs, results = frames(spark)
     matched = ops.match_results(jobs, results)
-    page = ops.gallery_html(
-        ops.summary_lines(jobs, matched), "http://b/", ops.job_progress(jobs, matched).where("complete")
-    )
+    page = ops.gallery_html(ops.summary_lines(jobs, matched), "http://b/")
     html = [r.html for r in page.where("job_id = 'j2'").orderBy("section", "seq").collect()]
     assert html == [
         "<HTML>\n<HEAD>\n</HEAD>\n<BODY>", '<a href="a"><img src="http://b/t3" width="50" height="50"></a>',
         "</BODY>\n</HTML>",
     ]
     assert page.where("job_id = 'j3'").count() == 2
+
+
+def test_results_without_an_item_are_kept(spark, rows):
+    jobs, results = frames(spark)
+    more = results.unionByName(spark.createDataFrame([(9, "ok", None, None)], results.schema))
+    assert rows(ops.unmatched_results(ops.match_results(jobs, more)), "seq") == [(6,), (9,)]
+
+
+def test_work_of_nameless_workers_is_numbered(spark, rows):
+    mixed = work(spark).selectExpr("nullif(worker, 'w1') AS worker", "seq", "url", "start_ts", "ms", "status", "error")
+    assert rows(ops.worker_items(mixed), "worker", "status", "idx", "url") == [
+        ("w2", "error", 0, "u4"), (None, "error", 0, "u2"), (None, "ok", 0, "u1"), (None, "ok", 1, "u3")
+    ]
+
+
+def test_a_finished_job_without_a_line_has_summary_and_page(spark, rows):
+    jobs, results = frames(spark, [("j1", 1, "a"), ("j2", 2, "b")], [(1, "ok", "a", "t"), (2, "error", "b", None)])
+    summary = ops.summary_lines(jobs, ops.match_results(jobs, results))
+    assert rows(summary, "job_id", "seq", "line") == [("j1", 1, "a;t"), ("j2", None, "")]
+    assert rows(ops.gallery_html(summary, "x").groupBy("job_id").count()) == [("j1", 3), ("j2", 2)]
+
+
+def test_expand_jobs(spark, rows, monkeypatch):
+    starts = messages(spark).where("seq IN (1, 2, 6)").withColumn("job_id", F.concat(F.lit("j"), "seq"))
+    lists = spark.createDataFrame([("list1", "a"), ("list1", "b"), ("list1", "a"), ("list3", None)], "list string, item string")
+    for chunk, hot_rows in ((4096, 10**9), (1, 1)):
+        monkeypatch.setattr(ops, "COPY_CHUNK", chunk)
+        jobs, orders = ops.expand_jobs(starts, lists, hot_rows)
+        assert rows(jobs) == [("j1", 1, "a"), ("j1", 1, "a"), ("j1", 1, "b"), ("j2", 2, None), ("j6", 6, None)]
+        assert rows(orders, "from_id", "type", "job_id", "body") == [
+            ("mgr", ops.INIT_WORK, "j1", "a"), ("mgr", ops.INIT_WORK, "j1", "a"), ("mgr", ops.INIT_WORK, "j1", "b")
+        ]
+        assert orders.select("msg_id").distinct().count() == 3
+
+
+def test_refusals_and_completed_jobs(spark, rows):
+    assert rows(ops.refusals(messages(spark)), "msg_id", "from_id", "to_id", "type") == [
+        ("m6-refused", "mgr", "c3", ops.REFUSED)
+    ]
+    jobs, results = frames(spark)
+    progress = ops.job_progress(jobs, ops.match_results(jobs, results))
+    assert rows(ops.completed_jobs(progress, "s"), "job_id", "type", "body") == [
+        (j, ops.JOB_ENDED, f"s/job_id={j}") for j in ("j1", "j2", "j3")
+    ]
+
+
+def test_a_result_that_was_not_stored_gets_no_reply(spark):
+    items = messages(spark).where("seq = 8").withColumn("item", F.col("body")).withColumn("result", F.lit("t"))
+    assert ops.to_replies(items.withColumn("status", F.lit(ops.RETRY)), "w").isEmpty()
+    assert ops.to_replies(items.withColumn("status", F.lit(ops.OK)), "w").count() == 1
