@@ -5,17 +5,17 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 from types import ModuleType
-from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexigraph.functions import text
-from lexigraph.functions.stop_words import ENGLISH
+from lexigraph.functions.stop_words import ENGLISH, HEBREW
 from lexigraph.operators import bigrams as bg
 from lexigraph.operators import imaging, paths, similarity, tracking
 from lexigraph.plans import collocations as colloc
 from lexigraph.plans import derived as d
 from lexigraph.plans import similarity as sim
+from lexigraph.plans.tracking import track_images
 from lexigraph.session import scratch_dir
 from lexigraph.sinks import writers
 from lexigraph.sources import readers
@@ -58,6 +58,10 @@ def _counts(spark: SparkSession, sf: str) -> DataFrame:
     return bg.bigrams_by_decade(d.bigrams(spark, sf))
 
 
+def _count_table(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.materialise(_counts(spark, sf), scratch_dir(spark, "counts"))
+
+
 def bigrams_by_decade(spark: SparkSession, sf: str) -> DataFrame:
     return _counts(spark, sf)
 
@@ -79,7 +83,7 @@ def decade_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def npmi_by_decade(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(bg.npmi_by_decade(_counts(spark, sf)), 6, "pmi", "npmi")
+    return _rounded(bg.npmi_by_decade(_count_table(spark, sf)), 6, "pmi", "npmi")
 
 
 def collocations(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,8 +227,12 @@ def dedupe_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def worker_stats(spark: SparkSession, sf: str) -> DataFrame:
-    stats = tracking.worker_stats(d.work_of(d.table(spark, sf, "events")))
-    return _rounded(stats, 4, "avg_ms", "avg_ok_ms").drop("start_ts", "end_ts")
+    return _stats_columns(tracking.worker_stats(d.work_of(d.table(spark, sf, "events"))))
+
+
+def _stats_columns(stats: DataFrame) -> DataFrame:
+    micros = {c: F.unix_micros(c) for c in ("start_ts", "end_ts")}
+    return _rounded(stats, 4, "avg_ms", "avg_ok_ms").withColumns(micros)
 
 
 def worker_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,55 +287,197 @@ def thumbnails(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _path_segment(url: str) -> str:
+def process_items(spark: SparkSession, sf: str) -> DataFrame:
     """Second part of an address's path; an address without one is an error."""
-    parts = urlsplit(url).path.strip("/").split("/")
-    if len(parts) < 2:
-        raise ValueError("no second part")
-    return parts[1]
+    items = d.table(spark, sf, "pages").select("page_id", F.col("url").alias("item"))
+    parts = F.split(F.btrim(F.coalesce(F.parse_url("item", F.lit("PATH")), F.lit("")), F.lit("/")), "/")
+    error = F.when(F.size(parts) < 2, "no second part")
+    return tracking.process_column(items, F.get(parts, 1), error)
+
+
+def tracked_thumbnails(spark: SparkSession, sf: str) -> DataFrame:
+    """Images to replies, matching and summaries; every result with its pixels and whether it
+    is in its job's summary."""
+    images = d.page_tiles(imaging.image_session(spark), sf)
+    jobs = images.select("job_id", F.crc32(F.col("job_id").cast("binary")).alias("submit_seq"), F.col("origin").alias("item"))
+    done = track_images(jobs, images, "w1", "http://thumbs/", box=16)
+    pixels = done.thumbnails.select("seq", F.md5("data").alias("pixels"), "height", "width")
+    lines = done.summary.select("seq", F.col("line"))
+    return (
+        done.matched.join(pixels, "seq").join(lines, "seq", "left")
+        .select("seq", "job_id", "type", "item", "thumb", "pixels", "height", "width", "line")
+    )
 
 
-def process_items(spark: SparkSession, sf: str) -> DataFrame:
-    items = d.table(spark, sf, "pages").select("page_id", F.col("url").alias("item"))
-    return tracking.process_items(items, _path_segment)
+def work_orders(spark: SparkSession, sf: str) -> DataFrame:
+    starts, lists = d.page_lists(spark, sf)
+    jobs, orders = tracking.expand_jobs(starts, lists)
+    empty = jobs.where(F.col("item").isNull()).select(
+        F.lit(None).cast("string").alias("msg_id"), "job_id", F.lit("empty").alias("type"), F.col("item").alias("body")
+    )
+    return orders.select("msg_id", "job_id", "type", "body").unionByName(empty)
+
+
+def completed_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    jobs, results = d.page_jobs(spark, sf)
+    progress = tracking.job_progress(jobs, tracking.match_results(jobs, results))
+    return tracking.completed_jobs(progress, "summaries")
+
+
+def refusals(spark: SparkSession, sf: str) -> DataFrame:
+    return tracking.refusals(d.messages(spark, sf)).select("msg_id", "from_id", "to_id", "type", "body")
+
+
+# ---- written and read back -------------------------------------------------------------
+
+def _part_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return d.table(spark, sf, "part").select(F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("value"), "p_partkey")
+
+
+def _tally(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def text_lines_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "lines")
+    _part_lines(spark, sf).select("value").write.text(path)
+    return _tally(readers.read_text_lines(spark, path))
+
+
+def sequence_lines_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "sequence")
+    writers.write_sequence_lines(_part_lines(spark, sf), path)
+    return _tally(readers.read_lines(spark, path, "sequence"))
+
+
+def shard_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    paths = readers.shard_paths(scratch_dir(spark, "shards"), 3)
+    for i, path in enumerate(paths):
+        _part_lines(spark, sf).where(F.col("p_partkey") % 3 == i).select("value").write.text(path)
+    return _tally(readers.read_biarcs(spark, paths))
+
+
+def key_value_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "key-value")
+    writers.write_key_value(d.table(spark, sf, "part").select("p_type", "p_brand", "p_size", "p_partkey"), path, keys=2)
+    return _tally(readers.read_text_lines(spark, path))
+
+
+def pair_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "pairs")
+    writers.write_pairs(d.path_pairs(spark, sf), path)
+    return readers.read_pairs(spark, path)
+
+
+def item_list_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "items")
+    d.table(spark, sf, "pages").select(F.col("url").alias("value")).write.text(path)
+    items = readers.read_item_lists(spark, path).where(F.col("submit_seq") > 0)
+    return items.where(F.col("item").isNotNull()).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+
+
+def thumbnail_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "thumbnails")
+    writers.write_thumbnails(imaging.thumbnails(d.page_tiles(imaging.image_session(spark), sf), box=16), path)
+    return spark.read.parquet(path).select("origin", "height", "width", F.md5("data").alias("pixels"))
+
+
+def routed_errors(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "routed")
+    writers.write_routed(process_items(spark, sf), path)
+    good, bad = tracking.route_errors(spark.read.parquet(path))
+    return good.select("page_id", "result").unionByName(bad.select("page_id", F.col("error").alias("result")))
+
+
+def hebrew_stop_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The list is written as a table, read back and joined; every third first word is on it."""
+    path = scratch_dir(spark, "stop-words")
+    listed = spark.createDataFrame([("heb", w) for w in HEBREW] + [("eng", w) for w in ENGLISH], "p1 string, p2 string")
+    writers.write_pairs(listed, path)
+    words = F.array(*map(F.lit, HEBREW))
+    number = F.col("p_partkey")
+    hebrew = F.get(words, (number % len(HEBREW)).cast("int"))
+    bigrams = d.table(spark, sf, "part").select(
+        F.when(number % 3 == 0, hebrew).otherwise(F.col("p_type")).alias("w1"),
+        F.col("p_name").alias("w2"), F.lit("1990").alias("year"), F.lit(1.0).alias("match_count"),
+    )
+    return bg.bigrams_by_decade(bigrams, readers.read_stop_words(spark, path, "heb"))
+
+
+def rejected_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """What the readers of bigrams, n-grams, pairs and messages refuse, by kind."""
+    part = d.table(spark, sf, "part")
+    pairs = part.select(F.when(F.col("p_size") % 2 == 0, F.col("p_name")).otherwise(F.concat_ws("\t", "p_name", "p_type")).alias("value"))
+    count = F.when(F.col("p_size") % 3 == 0, "x").when(F.col("p_size") % 3 == 1, "1000000000000000001").otherwise("9223372036854775808")
+    biarcs = part.select(F.concat_ws("\t", "p_name", F.lit("a/NN/s/2 go/VB/r/0 b/NN/o/2"), count).alias("value"))
+    parts = [
+        ("bigram", readers.rejected_bigrams(d.bigram_lines(spark, sf))),
+        ("n-gram", readers.rejected_biarcs(biarcs)),
+        ("pair", readers.rejected_pairs(pairs)),
+        ("message", readers.rejected_messages(d.messages(spark, sf))),
+    ]
+    rows = [df.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, df in parts]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 # ---- streams ---------------------------------------------------------------------------
 
-def track_jobs_stream(spark: SparkSession, sf: str) -> DataFrame:
+def _send(messages: DataFrame, inbox: str, files: int = 4) -> None:
+    """Several files in no order of time, as if from several senders."""
+    writers.send_messages(messages.repartition(files, F.xxhash64("msg_id", "seq")), inbox)
+
+
+def _outcomes(spark: SparkSession, parts: list[DataFrame], files_per_trigger: int) -> DataFrame:
+    """Outcomes of messages that arrive part after part, repeats dropped first."""
     inbox = scratch_dir(spark, "inbox")
-    for part in d.job_messages(spark, sf):
-        writers.send_messages(part, inbox)
+    for part in parts:
+        _send(part, inbox)
     stream.use_rocksdb(spark)
-    outcomes = scratch_dir(spark, "outcomes")
-    query = stream.write_available(
-        stream.match_stream(readers.read_message_stream(spark, inbox, files_per_trigger=64)),
-        outcomes,
-        scratch_dir(spark, "checkpoint"),
-    )
-    query.awaitTermination()
-    return stream.progress_from_outcomes(
-        spark.read.schema(stream.OUTCOME_SCHEMA).parquet(outcomes)
-    )
+    return stream.match_stream(stream.dedupe_stream(
+        readers.read_message_stream(spark, inbox, files_per_trigger=files_per_trigger)
+    ))
+
+
+def _again(replies: DataFrame) -> DataFrame:
+    return replies.withColumn("seq", F.col("seq") + 10**12)
+
+
+def track_jobs_stream(spark: SparkSession, sf: str) -> DataFrame:
+    orders, replies = d.job_messages(spark, sf)
+    found = _outcomes(spark, [orders, replies, _again(replies)], 4)
+    path = scratch_dir(spark, "outcomes")
+    stream.write_available(found, path, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return stream.progress_from_outcomes(spark.read.schema(stream.OUTCOME_SCHEMA).parquet(path))
+
+
+def completed_jobs_stream(spark: SparkSession, sf: str) -> DataFrame:
+    orders, replies = d.job_messages(spark, sf, jobs=None)
+    found = _outcomes(spark, [d.job_starts(orders), orders, replies, _again(replies)], 4)
+    path = scratch_dir(spark, "completed")
+    stream.write_completions(found, path, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return stream.read_completions(spark, path, "summaries")
 
 
 def running_worker_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = d.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    out = scratch_dir(spark, "workers")
-    stream.write_snapshots(
-        stream.running_worker_stats(d.work_of(events)), out, scratch_dir(spark, "checkpoint")
+    inbox, out = scratch_dir(spark, "work"), scratch_dir(spark, "workers")
+    events = d.table(spark, sf, "events")
+    events.repartition(8, "event_id").write.parquet(inbox)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+    stream.write_updates(
+        stream.running_worker_stats(d.work_of(arriving)), out, scratch_dir(spark, "checkpoint")
     ).awaitTermination()
-    stats = stream.read_last_snapshot(spark, out)
-    return _rounded(stats, 4, "avg_ms", "avg_ok_ms").drop("start_ts", "end_ts")
+    return _stats_columns(stream.read_merged(spark, out, "worker"))
 
 
 def dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
     inbox = scratch_dir(spark, "inbox")
-    writers.send_messages(d.redelivered(spark, sf), inbox)
+    _send(d.redelivered(spark, sf), inbox, 8)
     out = scratch_dir(spark, "deduped")
     stream.write_available(
-        stream.dedupe_stream(readers.read_message_stream(spark, inbox, files_per_trigger=64)),
+        stream.dedupe_stream(readers.read_message_stream(spark, inbox, files_per_trigger=1)),
         out,
         scratch_dir(spark, "checkpoint"),
     ).awaitTermination()
@@ -348,8 +498,11 @@ def queries() -> dict[str, Query]:
         match_results, unmatched_results, job_progress, running_items, pending_messages,
         dispatch_by_type, addressed_messages, accept_jobs, parse_results, dedupe_messages,
         worker_stats, worker_items, worker_report_lines, summary_lines, gallery_html, url_parts,
-        pair_literals, thumbnails, process_items,
-        track_jobs_stream, running_worker_stats_stream, dedupe_stream,
+        pair_literals, thumbnails, process_items, tracked_thumbnails, work_orders, completed_jobs, refusals,
+        text_lines_round_trip, sequence_lines_round_trip, shard_round_trip, key_value_round_trip,
+        pair_round_trip, item_list_round_trip, thumbnail_round_trip, routed_errors, hebrew_stop_words,
+        rejected_lines,
+        track_jobs_stream, completed_jobs_stream, running_worker_stats_stream, dedupe_stream,
     ]
     named = {f.__name__: f for f in found}
     if LLM:
@@ -468,36 +621,40 @@ feats AS MATERIALIZED (
   WHERE ps > {DP_MIN_COUNT}
 )"""
 
-_SIMILARITY = _FEATURES + """,
-sides AS MATERIALIZED (
+_SIDES = _FEATURES + """,
+sides AS (
   SELECT p1, p2, 1 AS side, f.* FROM pairs JOIN feats f ON p1 = path WHERE p1 <> p2
   UNION ALL SELECT p1, p2, 2, f.* FROM pairs JOIN feats f ON p2 = path WHERE p1 <> p2
+)"""
+
+_SIMILARITY = _FEATURES + """,
+both_sides AS MATERIALIZED (
+  SELECT p1, p2, slot, word, mi AS mi_a, tfidf AS t_a, dice AS dice_a, NULL AS mi_b, NULL AS t_b
+  FROM pairs JOIN feats ON p1 = path WHERE p1 <> p2
+  UNION ALL SELECT p1, p2, slot, word, NULL, NULL, NULL, mi, tfidf FROM pairs JOIN feats ON p2 = path WHERE p1 <> p2
 ),
-sums AS (
-  SELECT p1, p2, slot, count(*) FILTER (side = 1) AS n1, count(*) FILTER (side = 2) AS n2,
-         sum(mi) AS mi, sqrt(sum(tfidf * tfidf) FILTER (side = 1)) AS t1,
-         sqrt(sum(tfidf * tfidf) FILTER (side = 2)) AS t2, sum(dice) FILTER (side = 1) AS dice
-  FROM sides GROUP BY ALL
+shared_words AS MATERIALIZED (
+  SELECT p1, p2, slot, max(mi_a) AS mi_a, max(t_a) AS t_a, max(dice_a) AS dice_a, max(mi_b) AS mi_b, max(t_b) AS t_b
+  FROM both_sides GROUP BY p1, p2, slot, word
 ),
-mutual AS (
-  SELECT a.p1, a.p2, a.slot, sum(a.mi + b.mi) AS m_mi, sum(a.tfidf * b.tfidf) AS m_t, sum(a.dice) AS m_dice
-  FROM sides a JOIN sides b ON a.p1 = b.p1 AND a.p2 = b.p2 AND a.slot = b.slot AND a.word = b.word
-  WHERE a.side = 1 AND b.side = 2 GROUP BY ALL
+per_slot AS MATERIALIZED (
+  SELECT p1, p2, slot, count(mi_a) AS n1, count(mi_b) AS n2,
+         coalesce(sum(mi_a), 0) + coalesce(sum(mi_b), 0) AS mi,
+         sqrt(sum(t_a * t_a)) * sqrt(sum(t_b * t_b)) AS t, sum(dice_a) AS dice,
+         coalesce(sum(mi_a + mi_b), 0) AS m_mi, coalesce(sum(t_a * t_b), 0) AS m_t,
+         coalesce(sum(dice_a) FILTER (mi_b IS NOT NULL), 0) AS m_dice
+  FROM shared_words GROUP BY p1, p2, slot
 ),
-per_slot AS (
-  SELECT p1, p2, slot, n1, n2,
-         CASE WHEN mi = 0 THEN 0 ELSE coalesce(m_mi, 0) / mi END AS sim,
-         CASE WHEN t1 * t2 = 0 THEN 0 ELSE coalesce(m_t, 0) / (t1 * t2) END AS cosine,
-         CASE WHEN dice = 0 THEN 0 ELSE coalesce(m_dice, 0) / dice END AS cover
-  FROM sums LEFT JOIN mutual USING (p1, p2, slot)
+measured AS MATERIALIZED (
+  SELECT p1, p2, slot, n1, n2, CASE WHEN mi = 0 THEN 0 ELSE m_mi / mi END AS sim,
+         CASE WHEN t = 0 THEN 0 ELSE m_t / t END AS cosine, CASE WHEN dice = 0 THEN 0 ELSE m_dice / dice END AS cover
+  FROM per_slot WHERE n1 > {min_features} AND n2 > {min_features}
 ),
 scored AS (
   SELECT x.p1, x.p2,
          CASE WHEN x.sim * y.sim >= 0 THEN round(sqrt(x.sim * y.sim), 4) END AS sim,
          round(sqrt(x.cosine * y.cosine), 6) AS cosine, round(sqrt(x.cover * y.cover), 6) AS cover
-  FROM per_slot x JOIN per_slot y USING (p1, p2)
-  WHERE x.slot = 'X' AND y.slot = 'Y'
-    AND least(x.n1, x.n2, y.n1, y.n2) > {min_features}
+  FROM (SELECT * FROM measured WHERE slot = 'X') x JOIN (SELECT * FROM measured WHERE slot = 'Y') y USING (p1, p2)
 )"""
 
 # The walk of extract_paths as a recursive query: one row per noun and step.
@@ -619,9 +776,30 @@ items AS (
 
 _STATS = (
     f"WITH {_WORK} SELECT worker, processed, ok, failed, round(avg_ms, 4) AS avg_ms, "
-    "round(avg_ok_ms, 4) AS avg_ok_ms FROM stats"
+    "round(avg_ok_ms, 4) AS avg_ok_ms, epoch_us(start_ts) AS start_ts, epoch_us(end_ts) AS end_ts FROM stats"
 )
 
+_PART_LINES = "SELECT p_name || ' ' || p_type || ' ' || p_brand AS value, count(*) AS n FROM part GROUP BY ALL"
+
+# Tiles of 64 x 64 bytes, and means of 4 x 4 of them rounded half to even.
+_TILES = """
+bytes AS MATERIALIZED (SELECT page_id, url, hex(encode(html)) AS h FROM pages),
+tiles AS MATERIALIZED (
+  SELECT page_id, url, k, rpad(substr(h, 8192 * k + 1, 8192), 8192, '0') AS h
+  FROM (SELECT *, unnest(generate_series(0, greatest((len(h) // 2 + 4095) // 4096, 1) - 1)) AS k FROM bytes)
+),
+means AS (
+  SELECT page_id, url, k, i // 256 AS y, (i % 64) // 4 AS x,
+         round_even(sum(CAST('0x' || substr(h, 2 * i + 1, 2) AS INTEGER)) / 16, 0) AS v
+  FROM (SELECT *, unnest(generate_series(0, 4095)) AS i FROM tiles) GROUP BY ALL
+),
+thumbs AS MATERIALIZED (
+  SELECT url || '#' || k AS origin, page_id * 1000000 + k AS seq, string_split(url, '/')[3] AS job_id,
+         NOT contains(url, '?') AS image,
+         md5(unhex(string_agg(printf('%02x', CAST(v AS INTEGER)), '' ORDER BY y, x))) AS pixels
+  FROM means GROUP BY page_id, url, k
+)"""
+
 _PAGE_JOBS = """
 jobs AS (SELECT string_split(url, '/')[3] AS job_id, url AS item FROM pages),
 results AS (
@@ -636,6 +814,9 @@ complete AS (
 summary AS (
   SELECT job_id, seq, item, thumb, item || ';' || thumb AS line
   FROM results JOIN complete USING (job_id) WHERE type = 'ok'
+  UNION ALL
+  SELECT job_id, NULL, NULL, NULL, '' FROM results JOIN complete USING (job_id)
+  GROUP BY job_id HAVING count(*) FILTER (type = 'ok') = 0
 )"""
 
 
@@ -675,7 +856,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'sw', NULL, slot, word, sw FROM sw
             UNION ALL SELECT 's', NULL, slot, NULL, s FROM s""",
         "path_features": f"WITH {_TRIPLES}, {_FEATURES} SELECT path, slot, word, c, {rounded} FROM feats",
-        "pair_features": f"""WITH {_TRIPLES}, {_PAIRS}, {scored}
+        "pair_features": f"""WITH {_TRIPLES}, {_PAIRS}, {_SIDES}
             SELECT p1, p2, side, path, slot, word, c, {rounded} FROM sides""",
         "path_similarity": f"WITH {_TRIPLES}, {_PAIRS}, {scored} SELECT * FROM scored",
         "mirrored_path_similarity": f"WITH {_PATHS}, {_MIRRORED}, {mirrored} SELECT * FROM scored",
@@ -719,7 +900,7 @@ def oracle_sql() -> dict[str, str]:
         "summary_lines": f"WITH {_PAGE_JOBS} SELECT job_id, seq, line FROM summary",
         "gallery_html": f"""WITH {_PAGE_JOBS}
             SELECT job_id, 1 AS section, seq, '<a href="' || item || '"><img src="http://thumbs/' || thumb
-                   || '" width="50" height="50"></a>' AS html FROM summary
+                   || '" width="50" height="50"></a>' AS html FROM summary WHERE item IS NOT NULL
             UNION ALL SELECT DISTINCT job_id, 0, CAST(0 AS BIGINT), '<HTML>' || chr(10) || '<HEAD>' || chr(10) || '</HEAD>' || chr(10) || '<BODY>' FROM summary
             UNION ALL SELECT DISTINCT job_id, 2, CAST(0 AS BIGINT), '</BODY>' || chr(10) || '</HTML>' FROM summary""",
         "url_parts": """SELECT page_id, string_split(url, '/')[-1] AS base, string_split(url, '.')[-1] AS ext,
@@ -733,6 +914,47 @@ def oracle_sql() -> dict[str, str]:
             CAST(greatest(1, floor(64 * 50 / greatest(h, 64) + 0.5)) AS INTEGER) AS width,
             CAST(greatest(1, floor(h * 50 / greatest(h, 64) + 0.5)) * greatest(1, floor(64 * 50 / greatest(h, 64) + 0.5)) AS INTEGER) AS size
             FROM (SELECT url, CAST(ceil(strlen(html) / 64) AS INTEGER) AS h FROM pages)""",
+        "tracked_thumbnails": f"""WITH {_TILES}
+            SELECT seq, job_id, CASE WHEN image THEN 'ok' ELSE 'error' END AS type, origin AS item,
+                   CASE WHEN image THEN 'w1_' || seq END AS thumb, CASE WHEN image THEN pixels END AS pixels,
+                   CASE WHEN image THEN 16 END AS height, CASE WHEN image THEN 16 END AS width,
+                   CASE WHEN image THEN origin || ';w1_' || seq END AS line FROM thumbs""",
+        "thumbnail_round_trip": f"""WITH {_TILES}
+            SELECT origin, 16 AS height, 16 AS width, pixels FROM thumbs WHERE image""",
+        "work_orders": """WITH lists AS (SELECT string_split(url, '/')[3] AS list, url AS item FROM pages),
+            copies AS (SELECT *, row_number() OVER (PARTITION BY list, item) AS n FROM lists),
+            starts AS (SELECT DISTINCT list, 'job-' || list || '-' || k AS job_id
+                       FROM lists, (VALUES (1), (2)) v(k) WHERE k = 1 OR length(list) % 2 = 0)
+            SELECT 'm-' || job_id || '-' || md5(item) || '-' || n AS msg_id, job_id, 'init_url_thumb' AS type, item AS body
+            FROM starts JOIN copies USING (list)
+            UNION ALL SELECT NULL, 'job-nowhere-1', 'empty', NULL""",
+        "completed_jobs": f"""WITH {_PAGE_JOBS}
+            SELECT job_id, 'job_ended' AS type, max(seq) AS seq, 'summaries/job_id=' || job_id AS body
+            FROM results JOIN complete USING (job_id) GROUP BY job_id""",
+        "refusals": f"""WITH {_MESSAGES},
+            stops AS (SELECT to_id, min(ts) AS stop FROM messages WHERE type = 'terminate' GROUP BY ALL)
+            SELECT msg_id || '-refused' AS msg_id, to_id AS from_id, from_id AS to_id, 'job_refused' AS type, body
+            FROM messages JOIN stops USING (to_id) WHERE type = 'start_job' AND ts >= stop""",
+        "text_lines_round_trip": _PART_LINES,
+        "sequence_lines_round_trip": _PART_LINES,
+        "shard_round_trip": _PART_LINES,
+        "key_value_round_trip": """SELECT p_type || ' ' || p_brand || chr(9) || p_size || ' ' || p_partkey AS value,
+            count(*) AS n FROM part GROUP BY ALL""",
+        "pair_round_trip": f"WITH {_PAIRS} SELECT p1, p2 FROM pairs",
+        "item_list_round_trip": "SELECT url AS item, count(*) AS n FROM pages GROUP BY ALL",
+        "routed_errors": r"""SELECT page_id, CASE WHEN len(p) >= 2 THEN p[2] ELSE 'no second part' END AS result
+            FROM (SELECT page_id,
+                  string_split(trim(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), '/') AS p FROM pages)""",
+        "hebrew_stop_words": "SELECT p_type AS w1, p_name AS w2, '199' AS decade, CAST(count(*) AS BIGINT) AS c "
+                             "FROM part WHERE p_partkey % 3 <> 0 GROUP BY ALL",
+        "rejected_lines": f"""WITH {_BIGRAMS}, {_LINES}, {_MESSAGES}
+            SELECT 'bigram' AS kind, count(*) AS n FROM v WHERE NOT ok
+            UNION ALL SELECT 'n-gram', count(*) FROM part WHERE p_size % 3 <> 1
+            UNION ALL SELECT 'pair', count(*) FROM part WHERE p_size % 2 = 0
+            UNION ALL SELECT 'message', count(*) FROM messages WHERE type IS NULL""",
+        "completed_jobs_stream": """SELECT 'j' || user_id AS job_id, 'job_ended' AS type,
+            max(event_id) + 1000000000000 AS seq, 'summaries/job_id=j' || user_id AS body
+            FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'signup') = 0""",
         "process_items": r"""SELECT page_id, url AS item,
             CASE WHEN len(p) >= 2 THEN 'ok' ELSE 'error' END AS status, CASE WHEN len(p) >= 2 THEN p[2] END AS result,
             CASE WHEN len(p) < 2 THEN 'no second part' END AS error

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,6 +28,9 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
     return builder.getOrCreate()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the session names.
 
@@ -37,7 +42,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="lexigraph-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process has named so far, and return their number.
+
+    Call it when nothing that reads them is needed any more.
+    """
+    jvm = spark._jvm
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        n += bool(files.delete(path, True))
+    return n
 
 
 def widen(scan: DataFrame, key: str) -> DataFrame:
