@@ -25,10 +25,9 @@ that repeat a doc_id are scored one by one. Without training tokens all counts a
 
 from __future__ import annotations
 
-import re
-import string
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -40,7 +39,9 @@ from lexigraph.llm.common import doc_remainder, written
 STATES = 8
 MAX_OWN = 20_000
 SHARED = 2_048
-CHUNK = 1_000_000
+CHUNK = 2_500_000
+#: Tokens whose states are held in memory at once, of whole texts.
+AT_ONCE = 1_000_000
 SEGMENT = 1_024
 WARM_UP = 8
 WARM_UP_TOKENS = 1_500_000
@@ -49,11 +50,10 @@ SMOOTHING = 0.1
 #: Tokens' worth of class frequencies that each state's emissions are smoothed with.
 PRIOR = 200.0
 SEED = 20
+CLASS = "<u2"
 FOLDS = 10
 
-END = "\n"  # no word holds a line end
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+END = b"\n"  # no word holds a line end
 
 _DOCS = "chunk bigint, docs array<bigint>, named array<boolean>, held array<boolean>, sizes array<int>, "
 _CHUNKS = _DOCS + "tokens binary, words array<string>, counts array<bigint>"
@@ -61,12 +61,31 @@ _CODED = _DOCS + "classes binary, known array<bigint>, base array<double>, insid
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def tokens_of(text: str | None) -> list[str]:
-    return [*_WORD.findall(text.translate(_LOWER)), END] if text else [END]
+def tokens_of(text: str | None) -> list[bytes]:
+    """Words in UTF-8, A-Z in lower case, and the end. Methods of bytes know ASCII only: they
+    cut at blanks and U+0009 to U+000D, and change no other letters."""
+    return [*text.encode().lower().split(), END] if text else [END]
 
 
 # ---- step 1: chunks ----------------------------------------------------------------------
 
+class _Numbers(dict):
+    """Numbers of tokens in the order in which they are first asked for."""
+
+    def __missing__(self, token: bytes) -> int:
+        number = self[token] = len(self)
+        return number
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones and so on: the high ones, mostly 0, compress well."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 class _Chunk:
     """Texts gathered so far, as numbers in a vocabulary of their own."""
 
@@ -77,16 +96,12 @@ class _Chunk:
         self.held: list[bool] = []
         self.sizes: list[int] = []
         self.parts: list[np.ndarray] = []
-        self.vocabulary: dict[str, int] = {}
+        self.vocabulary = _Numbers()
         self.total = 0
 
     def add(self, doc_id: int | None, held: bool, text: str | None) -> None:
         words = tokens_of(text)
-        known = self.vocabulary
-        for w in words:
-            if w not in known:
-                known[w] = len(known)
-        self.parts.append(np.fromiter(map(known.__getitem__, words), dtype="<u4", count=len(words)))
+        self.parts.append(np.fromiter(map(self.vocabulary.__getitem__, words), dtype=np.int64, count=len(words)))
         self.docs.append(0 if pd.isna(doc_id) else int(doc_id))
         self.named.append(not pd.isna(doc_id))
         self.held.append(bool(held))
@@ -99,7 +114,7 @@ class _Chunk:
         counts = np.bincount(tokens[taught], minlength=len(self.vocabulary))
         return pd.DataFrame({
             "chunk": [self.number], "docs": [self.docs], "named": [self.named], "held": [self.held],
-            "sizes": [self.sizes], "tokens": [tokens.tobytes()], "words": [list(self.vocabulary)],
+            "sizes": [self.sizes], "tokens": [_planes(tokens)], "words": [[w.decode() for w in self.vocabulary]],
             "counts": [counts.astype("int64")],
         })
 
@@ -119,9 +134,10 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 # ---- step 2: counts and classes ----------------------------------------------------------
 
-def classed_tokens(counts: DataFrame, own: int, shared: int) -> tuple[DataFrame, np.ndarray]:
-    """(word, c, class, inside), ``inside`` being log10 q; and the classes' shares of the training
-    tokens. Classes from ``shared`` on hold one token each, the end among them if it is frequent."""
+def classed_tokens(counts: DataFrame, own: int, shared: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(word, c, class); of each class the training tokens, and the mass that its tokens share, an
+    unseen one included. Classes from ``shared`` on hold one token each, the end among them if it
+    is frequent."""
     best = counts.where(F.col("c") > 0).orderBy(F.desc("c"), "word").limit(own).select("word").toPandas()
     table = counts.sparkSession.createDataFrame(
         [(w, shared + i) for i, w in enumerate(best["word"])], "word string, own int"
@@ -137,30 +153,27 @@ def classed_tokens(counts: DataFrame, own: int, shared: int) -> tuple[DataFrame,
         .agg(F.sum("c").alias("c_class"), F.count(F.lit(1)).alias("v_class"))
     )
     totals = written(totals, "class-totals")
-    zero = F.lit(0).cast("bigint")
-    mass = F.coalesce("c_class", zero) + SMOOTHING * (F.coalesce("v_class", zero) + 1)
-    inside = F.when(F.col("class") >= shared, 0.0).otherwise(F.log10((F.col("c") + SMOOTHING) / mass))
-    tokens = classed.join(F.broadcast(totals), "class", "left").select("word", "c", "class", inside.alias("inside"))
-    shares = np.full(shared + own, SMOOTHING)
+    tokens, kinds = np.zeros(shared + own), np.zeros(shared + own)
     for row in totals.collect():
-        shares[row["class"]] += row["c_class"]
-    return tokens, shares / shares.sum()
+        tokens[row["class"]], kinds[row["class"]] = row["c_class"], row["v_class"]
+    return classed, tokens, tokens + SMOOTHING * (kinds + 1)
 
 
-def _code(total: int, kinds: int):  # noqa: ANN202
+def _code(total: int, kinds: int, mass: np.ndarray, shared: int):  # noqa: ANN202
     """Chunks with their tokens' counts to chunks of classes with the scores that need no model."""
     def run(chunks: pd.DataFrame, tokens: pd.DataFrame) -> pd.DataFrame:
         row = chunks.iloc[0]
         of = np.argsort(tokens["number"].to_numpy())
-        c, inside = (tokens[x].to_numpy()[of] for x in ("c", "inside"))
-        ids = np.frombuffer(row["tokens"], dtype="<u4")
+        c, own = (tokens[x].to_numpy()[of] for x in ("c", "class"))
+        inside = np.where(own < shared, np.log10((c + SMOOTHING) / mass[own]), 0.0)
+        ids = _from_planes(row["tokens"])
         sizes = np.asarray(row["sizes"], dtype=np.int64)
         at = np.cumsum(sizes) - sizes
         base = np.log10((c + SMOOTHING) / (total + SMOOTHING * (kinds + 1)))
         sums = [np.add.reduceat(x[ids], at) for x in ((c > 0).astype(np.int64), base, inside)]
         return pd.DataFrame({
             **{k: [row[k]] for k in ("chunk", "docs", "named", "held", "sizes")},
-            "classes": [tokens["class"].to_numpy()[of][ids].astype("<u4").tobytes()],
+            "classes": [own.astype(CLASS)[ids].tobytes()],
             "known": [sums[0]], "base": [sums[1]], "inside": [sums[2]],
         })
 
@@ -175,6 +188,10 @@ class Parameters:
     move: np.ndarray  # (states, states)
     emit: np.ndarray  # (classes, states)
 
+    @cached_property
+    def by_state(self) -> np.ndarray:
+        return np.ascontiguousarray(self.emit.T)
+
 
 def first_parameters(shares: np.ndarray, states: int) -> Parameters:
     """Sticky moves; emissions are the classes' shares, each tilted at random."""
@@ -209,21 +226,24 @@ class _Lanes:
 
 def _forward(p: Parameters, x: _Lanes, entry: np.ndarray, keep: bool = False):  # noqa: ANN202
     """The scaled forward recursion from ``entry``, the states' weights before a segment's first
-    emission: log likelihood and last weights of each lane; with ``keep`` also those of each step."""
-    lanes, states = entry.shape
+    emission: log likelihood and last weights of each lane; with ``keep`` also those of each step.
+    Arrays have a row per state, so that every operation runs along the lanes."""
+    states, lanes = entry.shape
     log, last = np.zeros(lanes), entry.copy()
-    alphas = np.empty((len(x.flat), states)) if keep else None
+    alphas = np.empty((states, len(x.flat))) if keep else None
     scales = np.empty(len(x.flat)) if keep else None
-    alpha = entry
+    alpha, onward = entry, np.ascontiguousarray(p.move.T)
     for t, n in enumerate(x.alive):
         here = slice(x.offset[t], x.offset[t + 1])
-        alpha = (alpha if t == 0 else alpha[:n] @ p.move) * p.emit[x.flat[here]]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
+        seen = p.by_state.take(x.flat[here], axis=1)
+        seen *= alpha if t == 0 else onward @ alpha[:, :n]
+        alpha = seen
+        scale = alpha.sum(axis=0)
+        alpha /= scale
         log[:n] += np.log(scale)
-        last[:n] = alpha
+        last[:, :n] = alpha
         if keep:
-            alphas[here], scales[here] = alpha, scale
+            alphas[:, here], scales[here] = alpha, scale
     return log, last, alphas, scales
 
 
@@ -237,11 +257,11 @@ def _segments(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _borders(p: Parameters, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, text: np.ndarray):  # noqa: ANN202
-    """For each segment the states' weights before its first emission, and those of what follows
-    its last token, just as the recursions over the whole text give them."""
+    """For each segment (a column) the states' weights before its first emission, and those of what
+    follows its last token, just as the recursions over the whole text give them."""
     states = len(p.start)
-    entry = np.tile(p.start, (len(starts), 1))
-    leave = np.ones((len(starts), states))
+    entry = np.repeat(p.start[:, None], len(starts), axis=1)
+    leave = np.ones((states, len(starts)))
     many = np.flatnonzero(np.bincount(text)[text] > 1)
     if not len(many):
         return entry, leave
@@ -249,20 +269,20 @@ def _borders(p: Parameters, classes: np.ndarray, starts: np.ndarray, lengths: np
     logs = np.empty((len(many), states))
     x = _Lanes(classes, starts[many], lengths[many])
     for s in range(states):
-        one = np.zeros((len(many), states))
-        one[:, s] = 1.0
+        one = np.zeros((states, len(many)))
+        one[s] = 1.0
         log, last, _, _ = _forward(p, x, one)
-        logs[x.order, s], through[x.order, s] = log, last
+        logs[x.order, s], through[x.order, s] = log, last.T
     through *= np.exp(logs - logs.max(axis=1, keepdims=True))[:, :, None]
     own = text[many]
     for i in range(1, len(many)):
         if own[i] == own[i - 1]:
-            w = entry[many[i - 1]] @ through[i - 1] @ p.move
-            entry[many[i]] = w / w.sum()
+            w = entry[:, many[i - 1]] @ through[i - 1] @ p.move
+            entry[:, many[i]] = w / w.sum()
     for i in range(len(many) - 2, -1, -1):
         if own[i] == own[i + 1]:
-            w = p.move @ (through[i + 1] @ leave[many[i + 1]])
-            leave[many[i]] = w / w.sum()
+            w = p.move @ (through[i + 1] @ leave[:, many[i + 1]])
+            leave[:, many[i]] = w / w.sum()
     return entry, leave
 
 
@@ -273,7 +293,7 @@ def log_likelihoods(p: Parameters, classes: np.ndarray, sizes: np.ndarray, most:
         starts, lengths, text = _segments(sizes, most)
         entry, _ = _borders(p, classes, starts, lengths, text)
         x = _Lanes(classes, starts, lengths)
-        np.add.at(out, text[x.order], _forward(p, x, entry[x.order])[0])
+        np.add.at(out, text[x.order], _forward(p, x, entry[:, x.order])[0])
     return out
 
 
@@ -286,59 +306,97 @@ def expected_counts(p: Parameters, classes: np.ndarray, sizes: np.ndarray, most:
     starts, lengths, text = _segments(sizes, most)
     entry, leave = _borders(p, classes, starts, lengths, text)
     x = _Lanes(classes, starts, lengths)
-    log, last, gammas, scales = _forward(p, x, entry[x.order], keep=True)
-    beta = np.empty((0, states))
+    log, last, gammas, scales = _forward(p, x, entry[:, x.order], keep=True)
+    beta = leave[:, x.order]  # of a lane that has not begun: what follows its end
     for t in range(len(x.alive) - 1, -1, -1):
-        here = slice(x.offset[t], x.offset[t + 1])
-        beta = np.vstack([beta, leave[x.order[len(beta) : x.alive[t]]]])  # lanes that end here join
-        gamma = gammas[here]
-        gamma *= beta
-        gamma /= gamma.sum(axis=1, keepdims=True)
-        back = p.emit[x.flat[here]] * beta
+        here, n = slice(x.offset[t], x.offset[t + 1]), x.alive[t]
+        gamma = gammas[:, here]
+        gamma *= beta[:, :n]
+        gamma /= gamma.sum(axis=0)
+        back = p.by_state.take(x.flat[here], axis=1)
+        back *= beta[:, :n]
         if t:
-            before = gammas[x.offset[t - 1] : x.offset[t - 1] + x.alive[t]]
-            moved = back @ p.move.T
-            weight = 1 / (before * moved).sum(axis=1, keepdims=True)
-            move += p.move * (before.T @ (back * weight))
-            beta = moved / scales[here][:, None]
+            before = gammas[:, x.offset[t - 1] : x.offset[t - 1] + n]
+            moved = p.move @ back
+            back /= np.einsum("ij,ij->j", before, moved)
+            move += p.move * (before @ back.T)
+            np.divide(moved, scales[here], out=beta[:, :n])
     first = np.r_[True, text[1:] != text[:-1]][x.order]
-    start += gammas[: x.alive[0]][first].sum(axis=0)
+    start += gammas[:, : x.alive[0]][:, first].sum(axis=1)
     inner = np.flatnonzero(~first)
     if len(inner):  # moves from the end of one segment to the next
         ends = np.empty_like(last)
-        ends[x.order] = last
-        before = ends[x.order[inner] - 1]
-        weight = 1 / (before * (back[inner] @ p.move.T)).sum(axis=1, keepdims=True)
-        move += p.move * (before.T @ (back[inner] * weight))
-    emit = np.stack([np.bincount(x.flat, weights=gammas[:, s], minlength=len(p.emit)) for s in range(states)], axis=1)
+        ends[:, x.order] = last
+        before, onto = ends[:, x.order[inner] - 1], back[:, inner]
+        move += p.move * (before @ (onto / np.einsum("ij,ij->j", before, p.move @ onto)).T)
+    emit = np.stack([np.bincount(x.flat, weights=gammas[s], minlength=len(p.emit)) for s in range(states)], axis=1)
     return start, move, emit, float(log.sum())
 
 
 def _of(row: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["classes"], dtype="<u4").astype(np.int64), np.asarray(row["sizes"], dtype=np.int64)
-
+    return np.frombuffer(row["classes"], dtype=CLASS), np.asarray(row["sizes"], dtype=np.int64)
+
+
+def _drawn(row: pd.Series, share: float) -> np.ndarray:
+    """The training documents of a chunk, or about ``share`` of them by a hash of their ids."""
+    number = np.asarray(row["docs"], dtype=np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ~np.asarray(row["held"], dtype=bool) & ((number >> np.uint64(32)) < share * 2.0**32)
+
+
+def _batches(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes and sizes of whole texts, about AT_ONCE tokens at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    total = 0
+    for classes, sizes in chunks:
+        ends = np.cumsum(sizes)
+        part = ends // AT_ONCE
+        cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(sizes)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a < b:
+                held.append((classes[ends[a] - sizes[a] : ends[b - 1]], sizes[a:b]))
+                total += len(held[-1][0])
+            if total >= AT_ONCE // 2:
+                yield np.concatenate([c for c, _ in held]), np.concatenate([n for _, n in held])
+                held, total = [], 0
+    if held:
+        yield np.concatenate([c for c, _ in held]), np.concatenate([n for _, n in held])
+
+
+def _some(coded: DataFrame, share: float) -> DataFrame:
+    """About ``share`` of the training documents, as a small table of the same form."""
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, row in batch.iterrows():
+                classes, sizes = _of(row)
+                keep = _drawn(row, share)
+                yield pd.DataFrame({
+                    "docs": [np.asarray(row["docs"])[keep]], "held": [np.zeros(keep.sum(), dtype=bool)],
+                    "sizes": [sizes[keep].astype("int32")], "classes": [classes[np.repeat(keep, sizes)].tobytes()],
+                })
 
-def _picked(classes: np.ndarray, sizes: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return classes[np.repeat(keep, sizes)], sizes[keep]
+    schema = "docs array<bigint>, held array<boolean>, sizes array<int>, classes binary"
+    return written(coded.select("docs", "held", "sizes", "classes").mapInPandas(pick, schema), "lm-warm-up")
 
 
-def _round(coded: DataFrame, p: Parameters, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """One expectation step over about ``share`` of the training documents."""
+def _round(coded: DataFrame, p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """One expectation step over the training documents."""
     shared = coded.sparkSession.sparkContext.broadcast(p)
     states = len(p.start)
     names = [f"s{s}" for s in range(states)]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q = shared.value
-        start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(q.emit)
-        log = 0.0
-        for batch in batches:
-            for _, row in batch.iterrows():
-                classes, sizes = _of(row)
-                drawn = np.asarray(row["docs"], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
-                keep = ~np.asarray(row["held"], dtype=bool) & (drawn < share * 2.0**32)
-                got = expected_counts(q, *_picked(classes, sizes, keep))
-                start, move, emit, log = start + got[0], move + got[1], emit + got[2], log + got[3]
+        start, move, emit, log = np.zeros(states), np.zeros((states, states)), np.zeros_like(q.emit), 0.0
+
+        def taught() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for _, row in batch.iterrows():
+                    (classes, sizes), keep = _of(row), _drawn(row, 1.0)
+                    yield classes[np.repeat(keep, sizes)], sizes[keep]
+
+        for classes, sizes in _batches(taught()):
+            got = expected_counts(q, classes, sizes)
+            start, move, emit, log = start + got[0], move + got[1], emit + got[2], log + got[3]
         used = np.flatnonzero(emit.any(axis=1))
         # after the classes come the first states, the moves from each state and the likelihood
         tail = np.vstack([start, move, np.full(states, log)])
@@ -351,17 +409,19 @@ def _round(coded: DataFrame, p: Parameters, share: float) -> tuple[np.ndarray, n
         coded.select("docs", "held", "sizes", "classes").mapInPandas(count, schema)
         .groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     )
-    table = np.zeros((len(p.emit) + states + 2, states))
-    table[summed["row"].to_numpy()] = summed[names].to_numpy()
     n = len(p.emit)
+    table = np.zeros((n + states + 2, states))
+    table[summed["row"].to_numpy(dtype=int)] = summed[names].to_numpy()
     return table[n], table[n + 1 : n + 1 + states], table[:n], float(table[-1, 0])
 
 
-def train(coded: DataFrame, shares: np.ndarray, total: int, states: int = STATES) -> Parameters:
+def train(coded: DataFrame, tokens: np.ndarray, states: int = STATES) -> Parameters:
+    """Rounds of Baum-Welch, over a small part first. ``tokens``: training tokens per class."""
+    shares = (tokens + SMOOTHING) / (tokens + SMOOTHING).sum()
     p = first_parameters(shares, states)
-    part = min(1.0, WARM_UP_TOKENS / max(1, total))
-    for share in [part] * WARM_UP + [1.0] * ROUNDS:
-        start, move, emit, _ = _round(coded, p, share)
+    few = _some(coded, min(1.0, WARM_UP_TOKENS / max(1.0, tokens.sum())))
+    for table in [few] * WARM_UP + [coded] * ROUNDS:
+        start, move, emit, _ = _round(table, p)
         p = reestimated(start, move, emit, shares)
     return p
 
@@ -378,24 +438,25 @@ def score_documents(docs: DataFrame, states: int = STATES, own: int = MAX_OWN, s
     )
     counts = written(vocabulary.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    tokens, shares = classed_tokens(counts, own, shared)
-    found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(tokens, "word").drop("word")
+    if own + shared > np.iinfo(CLASS).max:
+        raise ValueError(f"more classes than {CLASS} can number")
+    classed, tokens, mass = classed_tokens(counts, own, shared)
+    found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(classed, "word").drop("word")
     coded = written(
         chunks.drop("words", "counts").groupBy("chunk").cogroup(found.groupBy("own"))
-        .applyInPandas(_code(size.n, size.v), _CODED),
+        .applyInPandas(_code(size.n, size.v, mass, shared), _CODED),
         "lm-coded",
     )
-    model = docs.sparkSession.sparkContext.broadcast(train(coded, shares, size.n, states))
+    model = docs.sparkSession.sparkContext.broadcast(train(coded, tokens, states))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, row in batch.iterrows():
-                classes, sizes = _of(row)
-                logs = log_likelihoods(model.value, classes, sizes) / np.log(10)
+                logs = np.concatenate([log_likelihoods(model.value, *part) for part in _batches([_of(row)])]) / np.log(10)
                 ids = pd.array(row["docs"], dtype="Int64")
                 ids[~np.asarray(row["named"], dtype=bool)] = pd.NA
                 yield pd.DataFrame({
-                    "doc_id": ids, "held_out": row["held"], "n_tokens": sizes, "n_known": row["known"],
+                    "doc_id": ids, "held_out": row["held"], "n_tokens": row["sizes"], "n_known": row["known"],
                     "base_score": row["base"], "score": logs + row["inside"],
                 })
 
