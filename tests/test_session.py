@@ -1,4 +1,6 @@
-from lexigraph.session import scratch_dir, widen
+import os
+
+from lexigraph.session import clear_scratch, scratch_dir, widen
 
 
 def test_scratch_follows_the_session(spark):
@@ -15,3 +17,11 @@ def test_small_scans_are_spread(spark, tmp_path):
     assert widen(scan, "id").rdd.getNumPartitions() == cores
     wide = spark.range(100).repartition(cores)
     assert widen(wide, "id") is wide
+
+
+def test_scratch_is_cleared(spark):
+    clear_scratch(spark)
+    written, unused = scratch_dir(spark, "a"), scratch_dir(spark, "b")
+    spark.range(3).write.parquet(written)
+    assert os.path.isdir(written) and clear_scratch(spark) == 1 and not os.path.exists(written)
+    assert clear_scratch(spark) == 0 and not os.path.exists(unused)
