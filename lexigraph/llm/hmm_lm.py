@@ -138,7 +138,9 @@ def classed_tokens(counts: DataFrame, own: int, shared: int) -> tuple[DataFrame,
     """(word, c, class); of each class the training tokens, and the mass that its tokens share, an
     unseen one included. Classes from ``shared`` on hold one token each, the end among them if it
     is frequent."""
-    best = counts.where(F.col("c") > 0).orderBy(F.desc("c"), "word").limit(own).select("word").toPandas()
+    # written, so that the partitions' candidates don't meet in the driver
+    best = counts.where(F.col("c") > 0).orderBy(F.desc("c"), "word").limit(own).select("word")
+    best = written(best, "own-classes").toPandas().sort_values("word")
     table = counts.sparkSession.createDataFrame(
         [(w, shared + i) for i, w in enumerate(best["word"])], "word string, own int"
     )

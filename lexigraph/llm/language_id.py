@@ -110,7 +110,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY, gra
 
     def most(counts: DataFrame, limit: int) -> pd.DataFrame:
         seen = counts.where(F.col("n") > 1)
-        return seen.orderBy(F.desc("n"), "gram", "lang").limit(limit).toPandas()
+        return written(seen.orderBy(F.desc("n"), "gram", "lang").limit(limit), "most-frequent").toPandas()
 
     def totals(counts: DataFrame) -> dict[str, float]:
         return {r.lang: float(r.n) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
