@@ -16,7 +16,6 @@ candidate, the most confident wins, in the order of KINDS among equals.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -231,7 +230,3 @@ def find_pii(docs: DataFrame) -> DataFrame:
         lambda s: F.concat_ws(":", F.element_at(order, s.k.cast("int")), s.a.cast("string"), s.e.cast("string")),
     ), ",")
     return rows.select("doc_id", *(f"n_{k}" for k in KINDS), "base", "added", spelled.alias("spans"))
-
-
-def base_sha256(text: str | None) -> str:
-    return hashlib.sha256(_joined(base_spans(text or "")).encode()).hexdigest()
