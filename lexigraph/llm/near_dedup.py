@@ -9,14 +9,21 @@ smallest of them. Documents are linked if their sets' Jaccard similarity reaches
    pigeonhole principle two shared values are neighbours in both: among sets that fit the sketch
    none is missed, and among larger ones the chance that at least half of a sketch's values
    differ when a fifth should is below 1e-7.
-3. Prefix filter: linked sketches share far more than SHARED of their lists, so a class needs only
-   the rarest of its lists to meet its partners. That leaves out lists of a passage or phrase that
-   many documents hold without being alike, and drops no link.
-4. Each class is compared with the class that leads most of its lists. The union of two sketches
-   estimates their similarity; pairs that may reach the threshold are verified on full sets.
-   Links make components.
-5. Classes in one list but still in different components are compared in the same way, so no link
-   between components is lost, while the pairs inside a large group of near copies are never made.
+3. Linked sets that fit their sketches share 3/5 of their lists less one, larger ones far more than
+   SHARED of them, so a class needs only the rarest of its lists to meet its partners (prefix
+   filter). That leaves out lists of a passage or phrase that many documents hold without being
+   alike, and drops no link.
+4. STARS times, each class is compared with the class that leads most of its lists, unless they are
+   in one component already or a member of the class's component has led before. A list is led by
+   the class that meets most others: of a text and its edited copies that is the text. The union
+   of two sketches estimates their similarity; pairs that may reach the threshold are verified on
+   full sets. Links make components.
+5. Classes whose lists still hold several components are joined on their full sets: in the order of
+   rarity among them, linked sets of n and m values share one of their first values, at places that
+   leave t (n + m) / (1 + t) behind (prefix and positional filter, exact). An edited copy's own
+   values come first, so copies that are too far from each other never meet, however many there
+   are. Pairs of different components are estimated and verified as before: no link between
+   components is lost, and the pairs inside a large group of near copies are never made.
 
 Defined cases: a document with fewer words than a shingle is one shingle; without words its set is
 empty and linked with nothing. Rows with a NULL doc_id take the component of their class (NULL
@@ -26,8 +33,6 @@ belong together through it. Other columns take no part.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexigraph.llm.common import let, lower_ascii, split_words, written
@@ -38,6 +43,7 @@ THRESHOLD = 80  # hundredths
 SKETCH = 64
 SHARED = 0.3
 MARGIN = 0.25  # five standard deviations of an estimate from SKETCH values
+STARS = 2
 ROUNDS = 60
 
 
@@ -47,7 +53,7 @@ def shingle_set(text: Column, n: int) -> Column:
 
     def hashes(w: Column) -> Column:
         runs = F.transform(
-            F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.slice(w, i, n))
+            F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(n)])
         )
         return (
             F.when(F.size(w) >= n, runs)
@@ -55,35 +61,33 @@ def shingle_set(text: Column, n: int) -> Column:
             .otherwise(F.array().cast("array<bigint>"))
         )
 
-    return F.array_sort(F.array_distinct(let(words, hashes)))
+    return F.sort_array(F.array_distinct(let(words, hashes)))
 
 
-def _estimates(left: pd.Series, right: pd.Series, a: pd.Series, b: pd.Series, k: int) -> pd.Series:
-    """Share of the union's smallest k values that both sketches hold; exact for whole sets."""
-    out = np.empty(len(left))
-    for i, (x, y) in enumerate(zip(left, right)):
-        both = np.union1d(x, y)
-        if a.iloc[i] > k or b.iloc[i] > k:
-            both = both[:k]
-        shared = np.intersect1d(x, y, assume_unique=True)
-        out[i] = np.searchsorted(shared, both[-1], side="right") / len(both)
-    return pd.Series(out)
+def union_estimate(s: Column, t: Column, n_x: Column, n_y: Column, k: int) -> Column:
+    """Share of the union's smallest k values that both sketches hold; exact for whole sets of
+    ``n_x`` and ``n_y`` values."""
+    def of(both: Column, shared: Column) -> Column:
+        last = F.element_at(F.sort_array(both), k)
+        cut = F.size(F.filter(shared, lambda v: v <= last)) / F.lit(float(k))
+        return F.when((n_x <= k) & (n_y <= k), F.size(shared) / F.size(both)).otherwise(cut)
+
+    return let(F.array_intersect(s, t), lambda shared: let(F.array_union(s, t), lambda both: of(both, shared)))
+
+
+def _similar_sizes(threshold: int) -> Column:
+    return F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * threshold
 
 
 def _may_link(pairs: DataFrame, sketches: DataFrame, threshold: int, k: int) -> DataFrame:
     """``pairs`` (x, y) whose sketches leave a link possible."""
-    def of_union(s: pd.Series, t: pd.Series, n_x: pd.Series, n_y: pd.Series) -> pd.Series:
-        return _estimates(s, t, n_x, n_y, k)
-
-    estimate = F.pandas_udf(of_union, "double")
     one = sketches.select(F.col("class").alias("x"), F.col("sketch").alias("s"), F.col("n").alias("n_x"))
     two = sketches.select(F.col("class").alias("y"), F.col("sketch").alias("t"), F.col("n").alias("n_y"))
-    sized = pairs.join(one, "x").join(two, "y").where(
-        (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * threshold)
-    )
-    whole = (F.col("n_x") <= k) & (F.col("n_y") <= k)
-    need = F.when(whole, threshold / 100 - 1e-9).otherwise(threshold / 100 - MARGIN)
-    return sized.where(estimate("s", "t", "n_x", "n_y") >= need).select("x", "y")
+    need = threshold / 100
+    least = F.when((F.col("n_x") <= k) & (F.col("n_y") <= k), need - 1e-9).otherwise(need - MARGIN)
+    estimate = union_estimate(F.col("s"), F.col("t"), F.col("n_x"), F.col("n_y"), k)
+    found = pairs.join(one, "x").join(two, "y").where(_similar_sizes(threshold) & (estimate >= least))
+    return written(found.select("x", "y").distinct(), "possible-pairs")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -137,41 +141,107 @@ def components(nodes: DataFrame, edges: DataFrame, name: str = "components") ->
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """key, class, size: the shared lists in which each class needs to stand."""
+    """class, key, central: the shared lists in which each class needs to stand, and how many
+    others it meets in all its lists."""
     sketch = F.col("sketch")
     keys = F.transform(
-        F.sequence(F.lit(1), F.size(sketch) - 1), lambda i: F.xxhash64(F.slice(sketch, i, 2))
+        F.sequence(F.lit(0), F.size(sketch) - 2), lambda i: F.xxhash64(F.get(sketch, i), F.get(sketch, i + 1))
     )
     stood = classes.where(F.size(sketch) > 1).select("class", F.size(sketch).alias("m"), F.explode(keys).alias("key"))
     sizes = written(
         stood.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1), "list-sizes"
     )
-    shared = stood.join(sizes, "key")
-    rank = F.row_number().over(Window.partitionBy("class").orderBy("size", "key"))
-    total = F.count(F.lit(1)).over(Window.partitionBy("class"))
+    found = stood.join(sizes, "key").groupBy("class", "m").agg(
+        F.sort_array(F.collect_list(F.struct("size", "key"))).alias("found"),  # fewer than SKETCH
+        (F.sum("size") - F.count(F.lit(1))).alias("central"),
+    )
     lists = F.col("m") - 1
-    # lists of their own come first in rarity; a small sketch may share a single list
-    need = F.when(F.col("m") < SKETCH, lists).otherwise(F.ceil(lists * (1 - SHARED)) + 1)
+    # Of i shared values at most i / 4 neighbourhoods are broken by a value that differs, and i is
+    # at least 4 / 5 of the set: whole sets share 3 / 5 of their lists, less one.
+    whole = F.floor(F.col("m") * 0.4) + 1
+    need = F.when(F.col("m") < 0.8 * SKETCH, whole).otherwise(F.ceil(lists * (1 - SHARED)) + 1)
+    # lists of their own come first in rarity
+    left = F.greatest(F.lit(0), need - (lists - F.size("found"))).cast("int")
+    kept = F.transform(F.slice("found", F.lit(1), left), lambda x: x.key)
+    return found.select("class", "central", F.explode(kept).alias("key"))
+
+
+def _led(members: DataFrame) -> DataFrame:
+    """(x, y): each class with the class that leads most of its lists. A list is led by the member
+    that meets most others: of a text and its edited copies that is the text."""
+    lead = F.max(F.struct("central", (-F.col("class")).alias("low"), "comp")).alias("lead")
+    leads = written(members.groupBy("key").agg(lead).select("key", "lead.*"), "leads")
+    own = leads.select("key", (-F.col("low")).alias("y"), F.col("comp").alias("led_by"))
     return (
-        shared.withColumn("rank", rank).withColumn("total", total)
-        .where(F.col("rank") + (lists - F.col("total")) <= need).select("key", "class")
+        members.join(own, "key").where(F.col("comp") != F.col("led_by"))
+        .groupBy(F.col("class").alias("x"), "y").agg(F.count(F.lit(1)).alias("votes"))
+        .groupBy("x").agg(F.max_by("y", F.struct("votes", "y")).alias("y"))
     )
 
 
-def _full_sets(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """``class, set`` of the classes in ``pairs``, from their leading documents' texts.
+def _mixed(members: DataFrame, comps: DataFrame, name: str) -> DataFrame:
+    """Members of the lists in which several components stand."""
+    placed = written(members.drop("comp").join(comps, "class"), f"{name}-placed")
+    several = written(
+        placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
+        .where(F.col("a") < F.col("b")).select("key"),
+        f"{name}-several",
+    )
+    return written(placed.join(several, "key", "left_semi"), name)
+
+
+def _full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """``class, set, n, set_id`` of the classes in ``ids``, from their leading documents' texts.
 
     Only those texts are cut again. Their ids are broadcast if a probe proves them few; else the
     texts are shuffled once.
     """
-    ids = written(
-        pairs.select(F.col("x").alias("doc_id")).unionByName(pairs.select(F.col("y").alias("doc_id"))).distinct(),
-        "compared",
+    ids = written(ids.distinct(), "compared")
+    own = docs.select(F.col("doc_id").cast("bigint").alias("class"), "text")
+    own = own.join(broadcast_if_bounded(ids)[0], "class", "left_semi")
+    sets = own.select("class", let(shingle_set(F.col("text"), shingle), lambda s: F.struct(
+        s.alias("set"), F.size(s).alias("n"), F.xxhash64(s).alias("set_id")
+    )).alias("s"))
+    return written(sets.select("class", "s.*"), "full-sets")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("class")).unionByName(pairs.select(F.col("y").alias("class")))
+
+
+def _crossing(sets: DataFrame, comps: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (x, y) of different components that may be linked, by their full ``sets``."""
+    # a class has several sets if its id is repeated with other texts
+    own = ["class", "set_id"]
+    values = sets.select("class", "set_id", "n", F.explode("set").alias("value"))
+    often = written(
+        values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).where(F.col("often") > 1), "frequent-values"
     )
-    own = docs.select("doc_id", "text").join(broadcast_if_bounded(ids)[0], "doc_id", "left_semi")
-    return written(
-        own.select(F.col("doc_id").alias("class"), shingle_set(F.col("text"), shingle).alias("set")), "full-sets"
+    # values of one class come before all others and meet nobody
+    common = values.join(often, "value")
+    rarest = Window.partitionBy(*own).orderBy("often", "value")
+    kept = F.ceil(F.col("n") * (threshold / 100) - 1e-9)
+    first = written(
+        common.withColumn("rank", F.row_number().over(rarest))
+        .withColumn("alone", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy(*own)))
+        .withColumn("place", F.col("alone") + F.col("rank"))
+        .where(F.col("place") <= F.col("n") - kept + 1)
+        .join(comps, "class").select("value", "class", "comp", "n", "place"),
+        "first-values",
     )
+    one = first.select("value", *_renamed(("class", "comp", "n", "place"), ("x", "c", "n_x", "i")))
+    two = first.select("value", *_renamed(("class", "comp", "n", "place"), ("y", "d", "n_y", "j")))
+    behind = 1 + F.least(F.col("n_x") - F.col("i"), F.col("n_y") - F.col("j"))
+    need = F.ceil((F.col("n_x") + F.col("n_y")) * (threshold / (100 + threshold)) - 1e-9)
+    found = one.join(
+        two,
+        (one["value"] == two["value"]) & (F.col("c") < F.col("d")) & _similar_sizes(threshold) & (behind >= need),
+    )
+    return written(found.select("x", "y").distinct(), "cross-pairs")
+
+
+def _renamed(columns: tuple[str, ...], names: tuple[str, ...]) -> list[Column]:
+    return [F.col(c).alias(n) for c, n in zip(columns, names)]
 
 
 def near_groups(
@@ -181,7 +251,7 @@ def near_groups(
     ``docs``."""
     same = ["n", "k1", "k2"]
     marked = written(
-        docs.select("doc_id", let(shingle_set(F.col("text"), shingle), lambda s: F.struct(
+        docs.select(F.col("doc_id").cast("bigint"), let(shingle_set(F.col("text"), shingle), lambda s: F.struct(
             F.size(s).alias("n"), F.xxhash64(s).alias("k1"), F.xxhash64(F.lit("2"), s).alias("k2"),
             F.slice(s, 1, sketch).alias("sketch"),
         )).alias("m")).select("doc_id", "m.*"),
@@ -197,40 +267,27 @@ def near_groups(
         .select(F.col("doc_id").alias("class"), "n", "sketch").distinct(),
         "leaders",
     )
-    lists = written(_lists(firsts), "lists")
-    leads = written(lists.groupBy("key").agg(F.min("class").alias("lead")), "leads")
-    best = (
-        lists.join(leads, "key").where(F.col("lead") < F.col("class"))
-        .groupBy("class", "lead").agg(F.count(F.lit(1)).alias("votes"))
-        .groupBy(F.col("class").alias("x")).agg(F.max_by("lead", F.struct("votes", "lead")).alias("y"))
-    )
-    best = written(_may_link(best, firsts, threshold, sketch), "star-pairs")
-    first = written(_verified(best, _full_sets(docs, best, shingle), threshold), "links-1")
+    members = _lists(firsts.select("class", "sketch"))
     nodes = firsts.select("class").distinct()
-    comps = components(nodes, first, "stars")
-
-    placed = written(lists.join(comps, "class"), "placed")
-    mixed = written(
-        placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
-        .where(F.col("a") < F.col("b")).select("key"),
-        "mixed-lists",
-    )
-    rest = written(
-        placed.join(mixed, "key", "left_semi").join(firsts.select("class", "n").distinct(), "class"), "rest"
-    )
-    one = rest.select("key", F.col("class").alias("x"), F.col("comp").alias("c"), F.col("n").alias("n_x"))
-    two = rest.select("key", F.col("class").alias("y"), F.col("comp").alias("d"), F.col("n").alias("n_y"))
-    across = (
-        one.join(
-            two,
-            (one["key"] == two["key"]) & (F.col("c") < F.col("d"))
-            & (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * threshold),
-        )
-        .select("x", "y").distinct()
-    )
-    maybe = written(_may_link(across, firsts, threshold, sketch), "cross-pairs")
-    second = _verified(maybe, _full_sets(docs, maybe, shingle), threshold)
-    comps = components(nodes, written(first.unionByName(second), "links-2"), "groups")
+    comps = nodes.select("class", F.col("class").alias("comp"))
+    links = leaders = None
+    for turn in range(1, STARS + 1):
+        members = _mixed(members, comps, f"star-{turn}")
+        voters = members
+        if leaders is not None:  # they have been compared; now the others elect
+            had = written(comps.join(leaders, "class").select("comp").distinct(), f"star-{turn}-had")
+            voters = members.join(had, "comp", "left_anti")
+        led = written(_led(voters), f"star-{turn}-led")
+        pairs = _may_link(led, firsts, threshold, sketch)
+        found = _verified(pairs, _full_sets(docs, _ends(pairs), shingle), threshold)
+        links = written(found if links is None else links.unionByName(found), f"star-{turn}-links")
+        comps = components(nodes, links, f"star-{turn}")
+        leaders = led.select(F.col("y").alias("class")).distinct()
+
+    sets = _full_sets(docs, _mixed(members, comps, "rest").select("class"), shingle)
+    pairs = _may_link(_crossing(sets, comps, threshold), firsts, threshold, sketch)
+    links = written(links.unionByName(_verified(pairs, sets, threshold)), "links")
+    comps = components(nodes, links, "groups")
 
     known = written(classes.join(comps, "class", "left").select(*same, "comp"), "class-components")
     rows = marked.select("doc_id", *same).join(known, same, "left")
@@ -246,4 +303,5 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, threshold: int = T
     all that carry the same id stay. Rows without an id stay, as none can stand for them."""
     groups = near_groups(docs, shingle, threshold)
     gone = written(groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "near-copies")
-    return docs.join(gone, "doc_id", "left_anti")
+    # texts are moved only if the ids are too many to send
+    return docs.join(broadcast_if_bounded(gone)[0], "doc_id", "left_anti")
