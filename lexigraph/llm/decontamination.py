@@ -168,5 +168,6 @@ def decontaminate(
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window stands."""
     hits = find_hits(docs, items)[1].select("doc_id", F.col("key").alias("_key")).distinct()
+    hits = _small(written(hits, "contaminated"))
     on = docs["doc_id"].eqNullSafe(hits["doc_id"]) & text_key(docs["text"]).eqNullSafe(hits["_key"])
     return docs.join(hits, on, "left_anti")
