@@ -14,7 +14,9 @@ file with other content or another library version is another version.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,16 +25,68 @@ from pyspark.sql import DataFrame, functions as F
 from lexigraph.llm.common import written
 
 LIMIT = 1024
-TEXTS_AT_ONCE = 64
+TEXTS_AT_ONCE = 256
+CACHED_UNITS = 700_000
+LONGEST_CACHED = 64
 CACHE_SCHEMA = "version string, digest string, n_tokens bigint"
 
 
+_CUT = re.compile(r"(?<=\w)(?=[ \n])")
+
+
 def tokenizer_version(definition: str) -> str:
     import tokenizers
 
     return hashlib.sha256(f"{tokenizers.__version__}\n{definition}".encode()).hexdigest()
 
 
+class Counter:
+    """Counts of whole texts, each distinct unit of which is encoded once.
+
+    Texts are cut between a word character and a blank or line end, where byte-level pre-tokenizers
+    always cut as well; a tokenizer that reads more than that at once gets whole texts.
+    """
+
+    def __init__(self, definition: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        parts = json.loads(definition)
+        self.cuts = (
+            parts.get("normalizer") is None
+            and (parts.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+            and not parts["pre_tokenizer"].get("add_prefix_space")
+            and parts["pre_tokenizer"].get("use_regex", True)
+            and not any(t["lstrip"] or t["rstrip"] or _CUT.search(t["content"]) for t in parts.get("added_tokens", []))
+        )
+        self.known: dict[str, int] = {}
+
+    def _encoded(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def counts(self, texts: list[str]) -> list[int]:
+        out: list[int] = []
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            part = texts[at : at + TEXTS_AT_ONCE]
+            out += self._cut_counts([_CUT.split(t) for t in part]) if self.cuts else self._encoded(part)
+        return out
+
+    def _cut_counts(self, texts: list[list[str]]) -> list[int]:
+        known = self.known
+        if len(known) > CACHED_UNITS:
+            known.clear()
+        unseen = list({u for units in texts for u in units if u not in known})
+        known.update(zip(unseen, self._encoded(unseen)))
+        found = [sum(map(known.__getitem__, units)) for units in texts]
+        for unit in unseen:
+            if len(unit) > LONGEST_CACHED:
+                del known[unit]
+        return found
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for each row of ``docs``."""
     spark = docs.sparkSession
@@ -61,17 +115,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, limit: int =
     shared = spark.sparkContext.broadcast(definition)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        counter = Counter(shared.value)
         for batch in batches:
-            counts: list[int] = []
-            for at in range(0, len(batch), TEXTS_AT_ONCE):
-                part = batch["content"].iloc[at : at + TEXTS_AT_ONCE].tolist()
-                counts += [len(e) for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            counts = counter.counts(batch["content"].tolist())
             yield pd.DataFrame({"version": version, "digest": batch["digest"], "n_tokens": counts})
 
     texts.mapInPandas(encode, CACHE_SCHEMA).distinct().write.mode("append").parquet(cache)
