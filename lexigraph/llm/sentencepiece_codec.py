@@ -24,8 +24,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from lexigraph.llm.common import add_results
+
 MARK = "▁"
-CACHED_UNITS = 400_000
+CACHED_UNITS = 600_000
 CACHED_PAIRS = 1_000_000
 LONGEST_CACHED = 64
 NEVER = float("-inf")
@@ -98,14 +100,12 @@ class Codec:
                 out[piece] = (left, right)
         return out
 
-    def compatible(self, a: str, b: str) -> bool:
+    def compatible(self, pair: tuple[str, str]) -> bool:
         """No merge across the border comes first while both strings merge side by side. Merges
         go by score, from the left among equals."""
-        known = self._pairs.get((a, b))
-        if known is None:
-            if len(self._pairs) >= CACHED_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[a, b] = self._compare(a, b)
+        if len(self._pairs) >= CACHED_PAIRS:
+            self._pairs.clear()
+        known = self._pairs[pair] = self._compare(*pair)
         return known
 
     def _compare(self, a: str, b: str) -> bool:
@@ -126,28 +126,37 @@ class Codec:
                 j += 1
 
     def _encode_unit(self, unit: str) -> bytes:
-        last: list[str] = [""] * (len(unit) + 1)
-        done = 0  # places up to here have their entry
-        compatible = self.compatible
+        last: list[str] = list(f" {unit}")  # a character that ends no piece stands for itself
+        found = bytearray(len(last))
+        pairs, compatible = self._pairs, self.compatible
         for at, piece in self._automaton.iter(unit):
-            while done < at:  # a character that no piece ends with
-                done += 1
-                last[done] = last[done] or unit[done - 1]
-            if not last[at + 1]:
-                before = at + 1 - len(piece)
-                if not before or compatible(last[before], piece):
-                    last[at + 1] = piece
-        while done < len(unit):
-            done += 1
-            last[done] = last[done] or unit[done - 1]
-        ids: list[int] = []
+            at += 1
+            if not found[at]:
+                before = at - len(piece)
+                if before:
+                    pair = (last[before], piece)
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = compatible(pair)
+                    if not fits:
+                        continue
+                last[at] = piece
+                found[at] = 1
+        parts: list[bytes] = []
         at = len(unit)
         while at:
             piece = last[at]
-            own = self.id.get(piece)
-            ids.extend([own] if own is not None else [self.byte[b] for b in reversed(piece.encode())])
+            parts.append(self._packed.get(piece) or self._bytes_of(piece))
             at -= len(piece)
-        return np.array(ids[::-1], dtype="<u4").tobytes()
+        parts.reverse()
+        return b"".join(parts)
+
+    @cached_property
+    def _packed(self) -> dict[str, bytes]:
+        return {p: self._edge(i) for p, i in self.id.items()}
+
+    def _bytes_of(self, character: str) -> bytes:
+        return b"".join(self._edge(self.byte[b]) for b in character.encode())
 
     _UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 
@@ -217,5 +226,4 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
             yield pd.DataFrame({"ids": ids, "decoded": [codec.decode(x) for x in ids]})
 
     coded = F.pandas_udf(run, "ids binary, decoded string")
-    found = docs.drop("ids", "decoded").withColumn("_coded", coded("text"))
-    return found.select(*[c for c in found.columns if c != "_coded"], "_coded.*")
+    return add_results(docs, coded("text"), ["ids", "decoded"])

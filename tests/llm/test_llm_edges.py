@@ -226,6 +226,26 @@ def test_token_counts_trust_the_cache_of_their_version_only(spark, tmp_path):
     assert token_counts.count_tokens(docs, path, str(tmp_path / "known")).first().n_tokens == 42
 
 
+def test_token_counts_of_units_add_up():
+    from hypothesis import given, settings, strategies as st
+    from tokenizers import Tokenizer
+
+    path = model_path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        counter = token_counts.Counter(f.read())
+    assert counter.cuts
+    library = Tokenizer.from_file(path)
+    some = st.sampled_from(["a", "the", " ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u3000", "é", "_", "1", "'s", ".", "<|endoftext|>", "日"])
+    other = st.characters(exclude_categories=["Cs"])
+
+    @settings(max_examples=500, deadline=None)
+    @given(st.lists(st.one_of(some, other), max_size=40).map("".join))
+    def same(text):
+        assert counter.counts([text]) == [len(library.encode(text, add_special_tokens=False).ids)]
+
+    same()
+
+
 def test_toxicity(spark):
     labels = spark.createDataFrame(
         [(i, 1, int(i % 3 == 0)) for i in range(300)] + [(4, 0, None), (None, 0, 1), (7, 0, 0)],
