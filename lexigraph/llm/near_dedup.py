@@ -86,8 +86,9 @@ def _may_link(pairs: DataFrame, sketches: DataFrame, threshold: int, k: int) ->
     need = threshold / 100
     least = F.when((F.col("n_x") <= k) & (F.col("n_y") <= k), need - 1e-9).otherwise(need - MARGIN)
     estimate = union_estimate(F.col("s"), F.col("t"), F.col("n_x"), F.col("n_y"), k)
+    # nothing is grouped here, so the rows of a class that many are compared with can be split
     found = pairs.join(one, "x").join(two, "y").where(_similar_sizes(threshold) & (estimate >= least))
-    return written(found.select("x", "y").distinct(), "possible-pairs")
+    return written(found.select("x", "y"), "possible-pairs")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
