@@ -14,8 +14,8 @@ every task needs, have a fixed size: (MAX_OWN + SHARED + 1) x STATES.
 2. Vocabularies are counted by Spark over all chunks and joined back: nothing that grows with the
    corpus is broadcast or collected. A chunk then meets its tokens' counts and classes.
 3. Each round of Baum-Welch runs the scaled forward and backward recursions over the chunks; Spark
-   sums the expected counts of all partitions and the driver gets one row per class. WARM_UP rounds
-   go over about WARM_UP_TOKENS tokens of documents chosen by hash, ROUNDS over all.
+   sums the expected counts of all partitions and the driver gets one row per class. All ROUNDS go
+   over all training documents, at every size.
 4. The scaled forward recursion scores each text exactly. A text longer than SEGMENT tokens is cut
    into segments that start in every state at once, and joined by matrix products.
 
@@ -43,9 +43,7 @@ CHUNK = 2_500_000
 #: Tokens whose states are held in memory at once, of whole texts.
 AT_ONCE = 1_000_000
 SEGMENT = 1_024
-WARM_UP = 8
-WARM_UP_TOKENS = 1_500_000
-ROUNDS = 2
+ROUNDS = 10
 SMOOTHING = 0.1
 #: Tokens' worth of class frequencies that each state's emissions are smoothed with.
 PRIOR = 200.0
@@ -339,12 +337,6 @@ def _of(row: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(row["classes"], dtype=CLASS), np.asarray(row["sizes"], dtype=np.int64)
 
 
-def _drawn(row: pd.Series, share: float) -> np.ndarray:
-    """The training documents of a chunk, or about ``share`` of them by a hash of their ids."""
-    number = np.asarray(row["docs"], dtype=np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ~np.asarray(row["held"], dtype=bool) & ((number >> np.uint64(32)) < share * 2.0**32)
-
-
 def _batches(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Classes and sizes of whole texts, about AT_ONCE tokens at a time."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -364,22 +356,6 @@ def _batches(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[
         yield np.concatenate([c for c, _ in held]), np.concatenate([n for _, n in held])
 
 
-def _some(coded: DataFrame, share: float) -> DataFrame:
-    """About ``share`` of the training documents, as a small table of the same form."""
-    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for _, row in batch.iterrows():
-                classes, sizes = _of(row)
-                keep = _drawn(row, share)
-                yield pd.DataFrame({
-                    "docs": [np.asarray(row["docs"])[keep]], "held": [np.zeros(keep.sum(), dtype=bool)],
-                    "sizes": [sizes[keep].astype("int32")], "classes": [classes[np.repeat(keep, sizes)].tobytes()],
-                })
-
-    schema = "docs array<bigint>, held array<boolean>, sizes array<int>, classes binary"
-    return written(coded.select("docs", "held", "sizes", "classes").mapInPandas(pick, schema), "lm-warm-up")
-
-
 def _round(coded: DataFrame, p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """One expectation step over the training documents."""
     shared = coded.sparkSession.sparkContext.broadcast(p)
@@ -393,7 +369,7 @@ def _round(coded: DataFrame, p: Parameters) -> tuple[np.ndarray, np.ndarray, np.
         def taught() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for batch in batches:
                 for _, row in batch.iterrows():
-                    (classes, sizes), keep = _of(row), _drawn(row, 1.0)
+                    (classes, sizes), keep = _of(row), ~np.asarray(row["held"], dtype=bool)
                     yield classes[np.repeat(keep, sizes)], sizes[keep]
 
         for classes, sizes in _batches(taught()):
@@ -408,7 +384,7 @@ def _round(coded: DataFrame, p: Parameters) -> tuple[np.ndarray, np.ndarray, np.
 
     schema = "row bigint, " + ", ".join(f"{n} double" for n in names)
     summed = (
-        coded.select("docs", "held", "sizes", "classes").mapInPandas(count, schema)
+        coded.select("held", "sizes", "classes").mapInPandas(count, schema)
         .groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     )
     n = len(p.emit)
@@ -418,12 +394,11 @@ def _round(coded: DataFrame, p: Parameters) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def train(coded: DataFrame, tokens: np.ndarray, states: int = STATES) -> Parameters:
-    """Rounds of Baum-Welch, over a small part first. ``tokens``: training tokens per class."""
+    """Rounds of Baum-Welch. ``tokens``: training tokens per class."""
     shares = (tokens + SMOOTHING) / (tokens + SMOOTHING).sum()
     p = first_parameters(shares, states)
-    few = _some(coded, min(1.0, WARM_UP_TOKENS / max(1.0, tokens.sum())))
-    for table in [few] * WARM_UP + [coded] * ROUNDS:
-        start, move, emit, _ = _round(table, p)
+    for _ in range(ROUNDS):
+        start, move, emit, _ = _round(coded, p)
         p = reestimated(start, move, emit, shares)
     return p
 

@@ -66,6 +66,21 @@ def test_language_model(spark):
     assert hmm_lm.score_documents(empty(spark)).count() == 0
 
 
+def test_every_round_of_the_language_model_sees_all_training_tokens(spark, monkeypatch):
+    seen, plain = [], hmm_lm._round
+
+    def counted(*args):
+        got = plain(*args)
+        seen.append(got[0].sum() + got[1].sum())
+        return got
+
+    monkeypatch.setattr(hmm_lm, "_round", counted)
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.expr("repeat('b a ', 500)").alias("text"))
+    trained = hmm_lm.score_documents(docs, states=2).select("train_tokens").first()[0]
+    assert trained > 1_700_000 and len(seen) == 10
+    assert np.allclose(seen, trained)
+
+
 def test_forward_and_expected_counts_equal_brute_force():
     rng = np.random.default_rng(0)
     k, c = 3, 7
