@@ -1,21 +1,24 @@
 """Hidden Markov language model: Baum-Welch over the whole corpus, exact likelihoods.
 
-A token is a word or the end of a text. The MAX_OWN most frequent training tokens are classes of
-their own; all others fall into SHARED classes by a hash of their last letters. States emit classes
-and a class emits its tokens by their smoothed training counts, whatever the state. So
+A token is a word or the end of a text. Tokens seen OWN_FROM times in training, at any size of the
+corpus, are classes of their own; all others fall into SHARED classes by a hash of their last
+letters. States emit classes and a class emits its tokens by their smoothed training counts,
+whatever the state. So
 
     P(text) = sum over state paths of prod a(s, s') b(s', class) * prod q(token | class),
 
-a proper distribution in which every token of the corpus counts, while the state's tables, which
-every task needs, have a fixed size: (MAX_OWN + SHARED + 1) x STATES.
+a proper distribution in which every token of the corpus counts. What every task needs has a fixed
+size: the moves and the emissions of the SHARED classes. The emissions of own classes grow with the
+vocabulary; they stand in parts of about PART classes, and a chunk gets those of its own tokens only.
 
 1. Texts are cut into tokens once, in chunks of about CHUNK tokens; a chunk holds token numbers and
    its own vocabulary.
 2. Vocabularies are counted by Spark over all chunks and joined back: nothing that grows with the
    corpus is broadcast or collected. A chunk then meets its tokens' counts and classes.
-3. Each round of Baum-Welch runs the scaled forward and backward recursions over the chunks; Spark
-   sums the expected counts of all partitions and the driver gets one row per class. All ROUNDS go
-   over all training documents, at every size.
+3. Each round of Baum-Welch runs the scaled forward and backward recursions over the chunks. The
+   expected counts of own classes are summed part by part, and the emissions sent back to the chunks
+   that asked; the driver gets the sums of moves and SHARED classes. All ROUNDS go over all training
+   documents, at every size.
 4. The scaled forward recursion scores each text exactly. A text longer than SEGMENT tokens is cut
    into segments that start in every state at once, and joined by matrix products.
 
@@ -25,6 +28,7 @@ that repeat a doc_id are scored one by one. Without training tokens all counts a
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -32,12 +36,16 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexigraph.llm.common import doc_remainder, written
+from lexigraph.session import scratch_dir
 
 STATES = 8
-MAX_OWN = 20_000
+#: Training tokens from which on a word is a class of its own.
+OWN_FROM = 5
+#: Own classes of a part, about.
+PART = 20_000
 SHARED = 2_048
 CHUNK = 2_500_000
 #: Tokens whose states are held in memory at once, of whole texts.
@@ -48,14 +56,17 @@ SMOOTHING = 0.1
 #: Tokens' worth of class frequencies that each state's emissions are smoothed with.
 PRIOR = 200.0
 SEED = 20
-CLASS = "<u2"
 FOLDS = 10
 
 END = b"\n"  # no word holds a line end
 
 _DOCS = "chunk bigint, docs array<bigint>, named array<boolean>, held array<boolean>, sizes array<int>, "
 _CHUNKS = _DOCS + "tokens binary, words array<string>, counts array<bigint>"
-_CODED = _DOCS + "classes binary, known array<bigint>, base array<double>, inside array<double>"
+_CODED = (
+    _DOCS + "classes binary, known array<bigint>, base array<double>, inside array<double>, "
+    "parts array<int>, asks array<binary>"
+)
+_COUNTED = "part int, chunk bigint, ask binary, n binary, rest array<double>"
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
@@ -132,40 +143,60 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 # ---- step 2: counts and classes ----------------------------------------------------------
 
-def classed_tokens(counts: DataFrame, own: int, shared: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """(word, c, class); of each class the training tokens, and the mass that its tokens share, an
-    unseen one included. Classes from ``shared`` on hold one token each, the end among them if it
-    is frequent."""
-    # written, so that the partitions' candidates don't meet in the driver
-    best = counts.where(F.col("c") > 0).orderBy(F.desc("c"), "word").limit(own).select("word")
-    best = written(best, "own-classes").toPandas().sort_values("word")
-    table = counts.sparkSession.createDataFrame(
-        [(w, shared + i) for i, w in enumerate(best["word"])], "word string, own int"
-    )
-    suffix = F.pmod(F.xxhash64(F.substring("word", -3, 3)), F.lit(shared)).cast("int")
-    # own and totals have at most own + shared rows
-    classed = written(
-        counts.join(F.broadcast(table), "word", "left").select("word", "c", F.coalesce("own", suffix).alias("class")),
-        "classes",
+@dataclass
+class Classes:
+    """``words``: (word, c, part, place); part -1 is the SHARED classes. ``parts``: (part, c), the training
+    tokens of a part's classes in order of their places. Of the shared classes, ``tokens`` has the
+    training tokens and ``mass`` what their tokens share, an unseen one included."""
+
+    words: DataFrame
+    parts: DataFrame
+    n_own: int
+    tokens: np.ndarray
+    mass: np.ndarray
+
+
+def classed_tokens(counts: DataFrame, own: int, shared: int) -> Classes:
+    is_own = F.col("c") >= own
+    n_own = counts.where(is_own).count()
+    part = F.pmod(F.xxhash64(F.lit("part"), "word"), F.lit(-(-n_own // PART) or 1)).cast("int").alias("part")
+    # hashing keeps the parts about equal, so a part's list has a bound
+    parts = written(
+        counts.where(is_own).select(part, "word", "c").groupBy("part")
+        .agg(F.sort_array(F.collect_list(F.struct("word", "c"))).alias("w")),
+        "own-classes",
     )
+    numbered = parts.select("part", F.posexplode("w").alias("place", "w"))
+    suffix = F.pmod(F.xxhash64(F.substring("word", -3, 3)), F.lit(shared)).cast("int").alias("place")
+    rare = counts.where(~is_own).select("word", "c", F.lit(-1).alias("part"), suffix)
     totals = (
-        classed.where(F.col("c") > 0).groupBy("class")
+        rare.where(F.col("c") > 0).groupBy("place")
         .agg(F.sum("c").alias("c_class"), F.count(F.lit(1)).alias("v_class"))
     )
-    totals = written(totals, "class-totals")
-    tokens, kinds = np.zeros(shared + own), np.zeros(shared + own)
+    tokens, kinds = np.zeros(shared), np.zeros(shared)
     for row in totals.collect():
-        tokens[row["class"]], kinds[row["class"]] = row["c_class"], row["v_class"]
-    return classed, tokens, tokens + SMOOTHING * (kinds + 1)
+        tokens[row["place"]], kinds[row["place"]] = row["c_class"], row["v_class"]
+    words = numbered.select("w.word", "w.c", "part", "place").unionByName(rare)
+    return Classes(
+        words, parts.select("part", F.col("w.c").alias("c")), n_own, tokens, tokens + SMOOTHING * (kinds + 1)
+    )
 
 
 def _code(total: int, kinds: int, mass: np.ndarray, shared: int):  # noqa: ANN202
-    """Chunks with their tokens' counts to chunks of classes with the scores that need no model."""
+    """Chunks with their tokens' counts to chunks of classes with the scores that need no model.
+    Own classes follow the shared ones, numbered by part and place among those of the chunk."""
     def run(chunks: pd.DataFrame, tokens: pd.DataFrame) -> pd.DataFrame:
         row = chunks.iloc[0]
         of = np.argsort(tokens["number"].to_numpy())
-        c, own = (tokens[x].to_numpy()[of] for x in ("c", "class"))
-        inside = np.where(own < shared, np.log10((c + SMOOTHING) / mass[own]), 0.0)
+        c, part, place = (tokens[x].to_numpy()[of] for x in ("c", "part", "place"))
+        rare = part < 0
+        inside = np.zeros(len(c))
+        inside[rare] = np.log10((c[rare] + SMOOTHING) / mass[place[rare]])
+        order = np.lexsort((place, part))[rare.sum():]
+        kind = place.astype(np.int64)
+        kind[order] = shared + np.arange(len(order))
+        cuts = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0]) if len(order) else np.zeros(0, dtype=int)
+        asks = [x.astype("<i4").tobytes() for x in np.split(place[order], cuts[1:])] if len(order) else []
         ids = _from_planes(row["tokens"])
         sizes = np.asarray(row["sizes"], dtype=np.int64)
         at = np.cumsum(sizes) - sizes
@@ -173,8 +204,9 @@ def _code(total: int, kinds: int, mass: np.ndarray, shared: int):  # noqa: ANN20
         sums = [np.add.reduceat(x[ids], at) for x in ((c > 0).astype(np.int64), base, inside)]
         return pd.DataFrame({
             **{k: [row[k]] for k in ("chunk", "docs", "named", "held", "sizes")},
-            "classes": [own.astype(CLASS)[ids].tobytes()],
+            "classes": [_planes(kind[ids])],
             "known": [sums[0]], "base": [sums[1]], "inside": [sums[2]],
+            "parts": [part[order][cuts].astype("int32")], "asks": [asks],
         })
 
     return run
@@ -193,20 +225,16 @@ class Parameters:
         return np.ascontiguousarray(self.emit.T)
 
 
-def first_parameters(shares: np.ndarray, states: int) -> Parameters:
-    """Sticky moves; emissions are the classes' shares, each tilted at random."""
-    tilt = np.random.default_rng(SEED).gamma(1.0, size=(len(shares), states)) + 0.1
-    emit = shares[:, None] * tilt
+def first_moves(states: int) -> tuple[np.ndarray, np.ndarray]:
+    """Any state first, then sticky moves."""
     move = np.full((states, states), 0.05 / max(1, states - 1))
     np.fill_diagonal(move, 0.95 if states > 1 else 1.0)
-    return Parameters(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
+    return np.full(states, 1 / states), move
 
 
-def reestimated(start: np.ndarray, move: np.ndarray, emit: np.ndarray, shares: np.ndarray) -> Parameters:
-    """Parameters from expected counts; nothing becomes impossible."""
-    start, move = start + SMOOTHING, move + SMOOTHING
-    emit = emit + PRIOR * shares[:, None]
-    return Parameters(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+def _tilted(shares: np.ndarray, states: int, part: int) -> np.ndarray:
+    """First emissions of a part's classes, not yet of sum 1: their shares, each tilted at random."""
+    return shares[:, None] * (np.random.default_rng([SEED, part + 1]).gamma(1.0, size=(len(shares), states)) + 0.1)
 
 
 class _Lanes:
@@ -334,7 +362,7 @@ def expected_counts(p: Parameters, classes: np.ndarray, sizes: np.ndarray, most:
 
 
 def _of(row: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["classes"], dtype=CLASS), np.asarray(row["sizes"], dtype=np.int64)
+    return _from_planes(row["classes"]), np.asarray(row["sizes"], dtype=np.int64)
 
 
 def _batches(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -356,85 +384,163 @@ def _batches(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[
         yield np.concatenate([c for c, _ in held]), np.concatenate([n for _, n in held])
 
 
-def _round(coded: DataFrame, p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """One expectation step over the training documents."""
-    shared = coded.sparkSession.sparkContext.broadcast(p)
-    states = len(p.start)
-    names = [f"s{s}" for s in range(states)]
+@dataclass
+class Model:
+    """What every task needs: ``common``, the emissions of shared classes; ``norm``, the sums over all
+    classes that emissions of own ones, sent as weights, are divided by."""
+
+    start: np.ndarray
+    move: np.ndarray
+    common: np.ndarray
+    norm: np.ndarray
+
+    def of(self, sent: pd.DataFrame) -> Parameters:
+        """Parameters for a chunk with the own classes' weights that were sent to it."""
+        states = len(self.start)
+        own = [np.frombuffer(x, "<f4").reshape(-1, states) for x in sent.sort_values("part")["w"]]
+        return Parameters(self.start, self.move, np.vstack([self.common, *(x / self.norm for x in own)]))
+
+
+def _sent(counted: DataFrame, parts: DataFrame, total: float, states: int, first: bool) -> DataFrame:
+    """(chunk, part, w): the weights of own classes, from the counts of all chunks, back to each."""
+    def serve(counts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        shares = (np.asarray(part["c"].iloc[0], dtype=np.float64) + SMOOTHING) / total
+        number = int(part["part"].iloc[0])
+        asks = [np.frombuffer(x, "<i4") for x in counts["ask"]]
+        if first:
+            weights = _tilted(shares, states, number)
+        else:
+            weights = np.repeat(PRIOR * shares[:, None], states, axis=1)
+            # in order of the chunks, so that sums come out the same
+            for i in np.argsort(counts["chunk"].to_numpy(), kind="stable"):
+                weights[asks[i]] += np.frombuffer(counts["n"].iloc[i], "<f4").reshape(-1, states)
+        return pd.DataFrame({
+            "chunk": counts["chunk"], "part": np.full(len(asks), number, dtype="int32"),
+            "w": [weights[a].astype("<f4").tobytes() for a in asks],
+        })
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q = shared.value
-        start, move, emit, log = np.zeros(states), np.zeros((states, states)), np.zeros_like(q.emit), 0.0
+    return (
+        counted.where(F.col("part") >= 0).select("part", "chunk", "ask", "n").groupBy("part")
+        .cogroup(parts.groupBy("part")).applyInPandas(serve, "chunk bigint, part int, w binary")
+    )
 
-        def taught() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for batch in batches:
-                for _, row in batch.iterrows():
-                    (classes, sizes), keep = _of(row), ~np.asarray(row["held"], dtype=bool)
-                    yield classes[np.repeat(keep, sizes)], sizes[keep]
 
-        for classes, sizes in _batches(taught()):
-            got = expected_counts(q, classes, sizes)
-            start, move, emit, log = start + got[0], move + got[1], emit + got[2], log + got[3]
-        used = np.flatnonzero(emit.any(axis=1))
-        # after the classes come the first states, the moves from each state and the likelihood
-        tail = np.vstack([start, move, np.full(states, log)])
-        out = pd.DataFrame(np.vstack([emit[used], tail]), columns=names)
-        out.insert(0, "row", np.r_[used, len(emit) + np.arange(len(tail))])
-        yield out
-
-    schema = "row bigint, " + ", ".join(f"{n} double" for n in names)
-    summed = (
-        coded.select("held", "sizes", "classes").mapInPandas(count, schema)
-        .groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    )
-    n = len(p.emit)
-    table = np.zeros((n + states + 2, states))
-    table[summed["row"].to_numpy(dtype=int)] = summed[names].to_numpy()
-    return table[n], table[n + 1 : n + 1 + states], table[:n], float(table[-1, 0])
+def _discard(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more; the shuffle files of plans that are gone go
+    with the driver's garbage."""
+    for path in paths:
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
-def train(coded: DataFrame, tokens: np.ndarray, states: int = STATES) -> Parameters:
-    """Rounds of Baum-Welch. ``tokens``: training tokens per class."""
-    shares = (tokens + SMOOTHING) / (tokens + SMOOTHING).sum()
-    p = first_parameters(shares, states)
-    for _ in range(ROUNDS):
-        start, move, emit, _ = _round(coded, p)
-        p = reestimated(start, move, emit, shares)
-    return p
+def _round(coded: DataFrame, sent: DataFrame, model: Model, path: str):  # noqa: ANN202
+    """One expectation step over the training documents: counts of first states, moves and shared
+    classes, and the log likelihood. The counts of own classes are written to ``path``."""
+    spark = coded.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    states, common = len(model.start), len(model.common)
 
+    def count(chunks: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        row, q = chunks.iloc[0], shared.value.of(own)
+        (classes, sizes), keep = _of(row), ~np.asarray(row["held"], dtype=bool)
+        start, move, emit, log = np.zeros(states), np.zeros((states, states)), np.zeros_like(q.emit), 0.0
+        for part in _batches([(classes[np.repeat(keep, sizes)], sizes[keep])]):
+            got = expected_counts(q, *part)
+            start, move, emit, log = start + got[0], move + got[1], emit + got[2], log + got[3]
+        ends = common + np.cumsum([len(a) // 4 for a in row["asks"]]).astype(int)
+        each = np.split(emit[common:].astype("<f4"), ends[:-1] - common) if len(ends) else []
+        rest = np.concatenate([start, move.ravel(), emit[:common].ravel(), [log]])
+        return pd.DataFrame({
+            "part": [*row["parts"], -1], "chunk": row["chunk"], "ask": [*row["asks"], None],
+            "n": [*(x.tobytes() for x in each), None], "rest": [*[None] * len(each), rest],
+        })
 
-def score_documents(docs: DataFrame, states: int = STATES, own: int = MAX_OWN, shared: int = SHARED) -> DataFrame:
+    (
+        coded.select("chunk", "held", "sizes", "classes", "parts", "asks").groupBy("chunk")
+        .cogroup(sent.groupBy("chunk")).applyInPandas(count, _COUNTED).write.option("compression", "zstd").parquet(path)
+    )
+    counted = spark.read.schema(_COUNTED).parquet(path)
+    rest = np.zeros(states + states * states + common * states + 1)
+    sums = counted.where(F.col("part") < 0).select(F.posexplode("rest")).groupBy("pos").agg(F.sum("col").alias("n")).toPandas()
+    rest[sums["pos"].to_numpy(dtype=int)] = sums["n"].to_numpy()
+    start, move, emit, log = np.split(rest, np.cumsum([states, states * states, common * states]))
+    return start, move.reshape(states, states), emit.reshape(common, states), float(log[0]), counted
+
+
+def train(coded: DataFrame, classes: Classes, states: int = STATES) -> tuple[Model, DataFrame]:
+    """Rounds of Baum-Welch: the model and the weights of own classes for each chunk."""
+    spark = coded.sparkSession
+    n_taught = classes.parts.select(F.explode("c").alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    total = float(n_taught + classes.tokens.sum() + SMOOTHING * (classes.n_own + len(classes.tokens)))
+    shares = (classes.tokens + SMOOTHING) / total
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part, c in zip(batch["part"], batch["c"]):
+                sums = _tilted((np.asarray(c, dtype=np.float64) + SMOOTHING) / total, states, int(part)).sum(axis=0)
+                yield pd.DataFrame({"s": np.arange(states), "n": sums})
+
+    norm = (common := _tilted(shares, states, -1)).sum(axis=0)
+    for s, n in classes.parts.mapInPandas(summed, "s int, n double").groupBy("s").agg(F.sum("n")).collect():
+        norm[s] += n
+    model = Model(*first_moves(states), common / norm, norm)
+    asked = coded.select("chunk", F.explode(F.arrays_zip("parts", "asks")).alias("a")).select(
+        F.col("a.parts").alias("part"), "chunk", F.col("a.asks").alias("ask"), F.lit(None).cast("binary").alias("n")
+    )
+    sent, old = _sent(asked, classes.parts, total, states, True), None
+    for _ in range(ROUNDS):
+        path = scratch_dir(spark, "lm-round")
+        start, move, emit, _, counted = _round(coded, sent, model, path)
+        # each state's expected tokens: those it starts with and those it is moved to
+        norm = start + move.sum(axis=0) + PRIOR
+        start, move = start + SMOOTHING, move + SMOOTHING
+        model = Model(
+            start / start.sum(), move / move.sum(axis=1, keepdims=True), (emit + PRIOR * shares[:, None]) / norm, norm
+        )
+        sent = _sent(counted, classes.parts, total, states, False)
+        _discard(spark, *([old] if old else []))
+        old = path
+    return model, sent
+
+
+def score_documents(docs: DataFrame, states: int = STATES, own: int = OWN_FROM, shared: int = SHARED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row per document,
     learnt from those whose crc32(doc_id) mod 10 is not 0."""
     texts = docs.select(
         F.col("doc_id").cast("bigint"), (doc_remainder(F.col("doc_id"), FOLDS) == 0).alias("held"), "text"
     )
-    chunks = written(texts.mapInPandas(_cut, _CHUNKS), "lm-chunks")
+    spark = docs.sparkSession
+    cut = scratch_dir(spark, "lm-chunks")
+    texts.mapInPandas(_cut, _CHUNKS).write.option("compression", "zstd").parquet(cut)
+    chunks = spark.read.schema(_CHUNKS).parquet(cut)
     vocabulary = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w")).select(
         "chunk", "number", F.col("w.words").alias("word"), F.col("w.counts").alias("n")
     )
     counts = written(vocabulary.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    if own + shared > np.iinfo(CLASS).max:
-        raise ValueError(f"more classes than {CLASS} can number")
-    classed, tokens, mass = classed_tokens(counts, own, shared)
-    found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(classed, "word").drop("word")
+    classes = classed_tokens(counts, max(1, own), shared)
+    found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(classes.words, "word").drop("word")
     coded = written(
         chunks.drop("words", "counts").groupBy("chunk").cogroup(found.groupBy("own"))
-        .applyInPandas(_code(size.n, size.v, mass, shared), _CODED),
+        .applyInPandas(_code(size.n, size.v, classes.mass, shared), _CODED),
         "lm-coded",
     )
-    model = docs.sparkSession.sparkContext.broadcast(train(coded, tokens, states))
+    del vocabulary, found
+    _discard(spark, cut)
+    found, sent = train(coded, classes, states)
+    model = spark.sparkContext.broadcast(found)
+
+    def score(chunks: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        row, q = chunks.iloc[0], model.value.of(own)
+        logs = np.concatenate([log_likelihoods(q, *part) for part in _batches([_of(row)])]) / np.log(10)
+        ids = pd.array(row["docs"], dtype="Int64")
+        ids[~np.asarray(row["named"], dtype=bool)] = pd.NA
+        return pd.DataFrame({
+            "doc_id": ids, "held_out": row["held"], "n_tokens": row["sizes"], "n_known": row["known"],
+            "base_score": row["base"], "score": logs + row["inside"],
+        })
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for _, row in batch.iterrows():
-                logs = np.concatenate([log_likelihoods(model.value, *part) for part in _batches([_of(row)])]) / np.log(10)
-                ids = pd.array(row["docs"], dtype="Int64")
-                ids[~np.asarray(row["named"], dtype=bool)] = pd.NA
-                yield pd.DataFrame({
-                    "doc_id": ids, "held_out": row["held"], "n_tokens": row["sizes"], "n_known": row["known"],
-                    "base_score": row["base"], "score": logs + row["inside"],
-                })
-
-    return coded.mapInPandas(score, _SCORED).withColumn("train_tokens", F.lit(size.n).cast("bigint"))
+    scored = coded.drop("parts", "asks").groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInPandas(score, _SCORED)
+    return scored.withColumn("train_tokens", F.lit(size.n).cast("bigint"))

@@ -81,6 +81,54 @@ def test_every_round_of_the_language_model_sees_all_training_tokens(spark, monke
     assert np.allclose(seen, trained)
 
 
+def test_every_word_seen_often_enough_is_a_class_of_its_own(spark):
+    counts = spark.range(45_000).select(
+        F.concat(F.lit("w"), "id").alias("word"), F.when(F.col("id") < 40_000, hmm_lm.OWN_FROM).otherwise(1).alias("c")
+    )
+    got = hmm_lm.classed_tokens(counts, hmm_lm.OWN_FROM, 16)
+    words = got.words.toPandas()
+    own = words[words.part >= 0]
+    assert got.n_own == len(own) == 40_000 and len(words) == 45_000
+    assert not own.duplicated(["part", "place"]).any() and (own.c == hmm_lm.OWN_FROM).all() and got.tokens.sum() == 5_000
+
+
+def test_rounds_over_parts_and_chunks_equal_rounds_in_one_place(spark, monkeypatch):
+    monkeypatch.setattr(hmm_lm, "PART", 7)
+    rng = np.random.default_rng(4)
+    texts = {i: " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 30) if x < 60) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    kept = {}
+    monkeypatch.setattr(hmm_lm, "classed_tokens", lambda *a, f=hmm_lm.classed_tokens: kept.setdefault("c", f(*a)))
+    got = hmm_lm.score_documents(docs, states=3, own=2, shared=4).toPandas().set_index("doc_id")
+    classes, words = kept["c"], {r.word: r for r in kept["c"].words.collect()}
+    own = sorted((r.part, r.place, r.c) for r in words.values() if r.part >= 0)
+    number = {(r[0], r[1]): 4 + i for i, r in enumerate(own)}
+    of = {w: r.place if r.part < 0 else number[r.part, r.place] for w, r in words.items()}
+    shares = np.r_[classes.tokens, [r[2] for r in own]] + hmm_lm.SMOOTHING
+    shares /= shares.sum()
+    of_part = [-1] * 4 + [r[0] for r in own]
+    emit = np.vstack([
+        hmm_lm._tilted(shares[[i for i, p in enumerate(of_part) if p == k]], 3, k) for k in sorted(set(of_part))
+    ])
+    p = hmm_lm.Parameters(*hmm_lm.first_moves(3), emit / emit.sum(axis=0))
+    coded = {i: np.array([of[w.decode()] for w in hmm_lm.tokens_of(t)]) for i, t in texts.items()}
+    taught = [i for i in texts if not got.held_out[i]]
+    for _ in range(hmm_lm.ROUNDS):
+        start, move, emit, _ = hmm_lm.expected_counts(
+            p, np.concatenate([coded[i] for i in taught]), np.array([len(coded[i]) for i in taught])
+        )
+        start, move, emit = start + 0.1, move + 0.1, emit + 200 * shares[:, None]
+        p = hmm_lm.Parameters(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    for i, t in texts.items():
+        inside = sum(
+            np.log10((words[w.decode()].c + 0.1) / classes.mass[of[w.decode()]])
+            for w in hmm_lm.tokens_of(t) if of[w.decode()] < 4
+        )
+        want = hmm_lm.log_likelihoods(p, coded[i], np.array([len(coded[i])]))[0] / np.log(10) + inside
+        assert np.isclose(got.score[i], want, rtol=1e-6)
+    assert len(set(of_part)) > 3 and 0 < len(taught) < 60
+
+
 def test_forward_and_expected_counts_equal_brute_force():
     rng = np.random.default_rng(0)
     k, c = 3, 7
