@@ -7,15 +7,25 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
+
+from ..session import scratch_dir
+from ..sinks.writers import materialise
 
 # A key with more than 1/HOT_KEYS of all rows is always among the HOT_KEYS largest, so the
 # broadcast list of hot keys never has more rows than this.
 HOT_KEYS = 4000
 HOT_ROWS = 100_000
 
-# Parts of a hot key's running total.
+# Parts of a hot key's running total, at each level.
 BUCKETS = 128
 
+# More levels than any number of rows needs.
+DEPTH = 9
+
+# Places over which the rows of hot keys spread in a lookup's shuffle.
+SPREAD = 1 << 20
+
 BROADCAST_ROWS = 500_000
 BROADCAST_CHARS = 64_000_000
 
@@ -52,11 +62,11 @@ def lookup(
 ) -> DataFrame:
     """Join ``table`` (one row per key) to ``df``, whatever share of ``df`` one key holds.
 
-    Keys with at least ``hot_rows`` rows, at most HOT_KEYS of them, are answered from a
-    broadcast, and their rows stay where they are; only the rows of all other keys are
-    shuffled. Without a hot key AQE drops that branch at run time. ``rows`` names the column
-    of ``table`` that holds the number of rows of ``df`` per key, and is left out of the
-    result; without it they are counted.
+    One pass over ``df``: a broadcast of the keys with at least ``hot_rows`` rows, at most
+    HOT_KEYS of them, flags their rows and answers them. In the one shuffle that follows flagged
+    rows spread over SPREAD places of their own, where they meet nothing; all others meet the
+    table. ``rows`` names the column of ``table`` that holds the number of rows of ``df`` per
+    key, and is left out of the result; without it they are counted.
     """
     keys = list(keys)
     extra = [c for c in table.columns if c not in keys and c != rows]
@@ -64,12 +74,17 @@ def lookup(
         hot = table.join(F.broadcast(hot_keys(df, keys, hot_rows)), keys)
     else:
         hot = _largest(table, rows, keys, hot_rows)
-    hot = F.broadcast(hot.select(*keys, F.struct(*extra).alias("_found")))
-    table = table.select(*keys, F.struct(*extra).alias("_found"))
-    cold = df.join(hot.select(*keys), keys, "left_anti")
+    hot = F.broadcast(hot.select(*keys, F.struct(F.lit(1).alias("_one"), *extra).alias("_hot")))
+    found = table.select(*keys, F.lit(0).alias("_spread"), F.struct(F.lit(1).alias("_one"), *extra).alias("_found"))
+    # equal rows of one partition share a place, as they have nothing else to tell them apart
+    row = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    place = F.pmod(F.xxhash64(*row, F.spark_partition_id()), F.lit(SPREAD)).cast("int") + 1
+    flagged = df.join(hot, keys, "left").withColumn("_spread", F.when(F.col("_hot").isNull(), 0).otherwise(place))
+    out = flagged.join(found, [*keys, "_spread"], "left").withColumn("_found", F.coalesce("_hot", "_found"))
+    if how != "left":
+        out = out.where(F.col("_found").isNull() if how == "anti" else F.col("_found").isNotNull())
     if how == "anti":
-        return cold.join(table, keys, "left_anti").select(*df.columns)
-    out = df.join(hot, keys).unionByName(cold.join(table, keys, how))
+        return out.select(*df.columns)
     return out.select(*df.columns, *[F.col(f"_found.{c}").alias(c) for c in extra])
 
 
@@ -144,36 +159,82 @@ def running_total(
     """Running sum of ``value`` per key along the number ``order``, unique per key.
 
     The rows of a key with at least ``hot_rows`` rows are cut into BUCKETS buckets at the
-    quantiles of its own order values, so sparse and dense orders are split alike. One window
-    runs within a bucket, one over a key's at most BUCKETS sums. NULL keys are a key, and rows
-    without an order value come first.
+    quantiles of its own order values, so sparse and dense orders are split alike; a bucket that
+    still has as many is cut again, as often as it takes (``bucket_rows``). One window runs
+    within a bucket. What comes before a bucket is summed up level by level, BUCKETS sums at a
+    time. NULL keys are a key, and rows without an order value come first.
     """
+    spark = df.sparkSession
     key = F.struct(*keys)  # never NULL itself, so that NULL keys meet in the join
-    cut = df.withColumn("_key", key).withColumn("_value", value)
-    hot = hot_keys(cut, ["_key"], hot_rows).select("_key")
-    ends = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    bounds = (
-        cut.join(F.broadcast(hot), "_key").groupBy("_key")
-        .agg(F.percentile_approx(order, ends, F.lit(100 * BUCKETS)).alias("_ends"))
-    )
-    # at most HOT_KEYS rows of BUCKETS numbers
-    cut = cut.join(F.broadcast(bounds), "_key", "left")
-    bucket = F.size(F.filter("_ends", lambda e: e < F.col(order)))
-    cut = cut.withColumn("_bucket", F.when(F.col("_ends").isNull(), 0).otherwise(bucket)).drop("_ends")
-    earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = (
-        cut.groupBy("_key", "_bucket")
-        .agg(F.sum("_value").alias("_sum"))
-        .select("_key", "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    )
-    within = Window.partitionBy("_key", "_bucket").orderBy(order).rowsBetween(
+    table = materialise(df.withColumn("_key", key).withColumn("_value", value), scratch_dir(spark, "running"))
+    cut, levels = bucket_rows(table, "_key", order, hot_rows)
+    group = ["_key", *levels]
+    within = Window.partitionBy(*group).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return (
-        cut.withColumn("_within", F.sum("_value").over(within))
-        .join(before, ["_key", "_bucket"])
-        .withColumn(name, F.col("_before") + F.col("_within"))
-        .select(*df.columns, name)
+    summed = cut.withColumn(name, F.sum("_value").over(within))
+    if not levels:
+        return summed.select(*df.columns, name)
+    # only keys that were cut have anything before a bucket
+    sums = materialise(
+        cut.where(F.col(levels[0]).isNotNull()).groupBy(*group).agg(F.sum("_value").alias("_sum")),
+        scratch_dir(spark, "bucket-sums"),
+    )
+    before = sums.select(*group, F.lit(0).alias("_before"))
+    for depth in range(len(levels), 0, -1):
+        parent, level = group[:depth], levels[depth - 1]
+        earlier = Window.partitionBy(*parent).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        step = (
+            sums.groupBy(*parent, level).agg(F.sum("_sum").alias("_sum"))
+            .withColumn("_step", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+        )
+        same = reduce(and_, [before[c].eqNullSafe(step[c]) for c in [*parent, level]])
+        before = before.join(step, same).select(
+            *[before[c] for c in group], (F.col("_before") + F.col("_step")).alias("_before")
+        )
+    before, _ = broadcast_if_bounded(materialise(before, scratch_dir(spark, "before")))
+    same = reduce(and_, [summed[c].eqNullSafe(before[c]) for c in group])
+    return summed.join(before, same, "left").select(
+        *[summed[c] for c in df.columns], (summed[name] + F.coalesce("_before", F.lit(0))).alias(name)
     )
+
+
+def bucket_rows(df: DataFrame, key: str, order: str, hot_rows: int) -> tuple[DataFrame, list[str]]:
+    """``df`` with a bucket column for every level that is needed until no group of key and
+    buckets has ``hot_rows`` rows, and the names of these columns.
+
+    A bucket is NULL where its group was small enough. Rows that the order can't tell apart
+    stay together. Groups to be cut are broadcast if a probe proves their list small, else
+    looked up, so their number has no limit.
+    """
+    levels: list[str] = []
+    ends = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    spark = df.sparkSession
+    for _ in range(DEPTH):
+        group = F.struct(key, *levels)
+        grouped = df.withColumn("_group", group)
+        large = materialise(
+            grouped.groupBy("_group")
+            .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_low"), F.max(order).alias("_high"))
+            .where((F.col("_n") >= hot_rows) & (F.col("_n") > 1) & (F.col("_low") < F.col("_high")))
+            .select("_group", "_n"),
+            scratch_dir(spark, "hot-groups"),
+        )
+        if large.isEmpty():
+            break
+        marked, small = broadcast_if_bounded(large.select("_group"))
+        hot = grouped.join(marked, "_group") if small else lookup(grouped, large, ["_group"], "inner", "_n", hot_rows)
+        bounds = materialise(
+            hot.groupBy("_group").agg(F.percentile_approx(order, ends, F.lit(100 * BUCKETS)).alias("_ends")),
+            scratch_dir(spark, "bounds"),
+        )
+        listed, small = broadcast_if_bounded(bounds)
+        if small:
+            cut = grouped.join(listed, "_group", "left")
+        else:
+            cut = lookup(grouped, bounds.join(large, "_group"), ["_group"], "left", "_n", hot_rows)
+        level = f"_bucket{len(levels)}"
+        bucket = F.size(F.filter("_ends", lambda e: e < F.col(order)))
+        df = cut.withColumn(level, F.when(F.col("_ends").isNotNull(), bucket)).drop("_group", "_ends")
+        levels.append(level)
+    return df, levels
