@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from lexigraph.llm import (
-    ann_search, decontamination, hmm_lm, language_id, line_dedup, near_dedup, pii, sentencepiece_codec,
-    token_counts, toxicity,
+    ann_search, decontamination, hmm_lm, language_id, line_dedup, merkle, mixing, near_dedup, pii,
+    sentencepiece_codec, spelling, token_counts, toxicity,
 )
 from lexigraph.llm.common import doc_remainder, read_table, sha256_hex
 from lexigraph.session import scratch_dir
@@ -90,11 +90,40 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).drop("key")
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan_mix(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return planned.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    touched = F.col("doc_id").isNotNull() & (doc_remainder(F.col("doc_id"), 5) == 0)
+    fields = {c: F.col(c) for c in merkle.FIELDS}
+    tampered = merkle.leaf_hash((fields | {"text": merkle.tampered_text(F.col("text"))}).values())
+    proved = merkle.proofs(merkle.build_manifest(docs, F.when(touched, tampered)))
+    # what each leaf shows with the stored siblings, before and after tampering
+    shown = proved.select(
+        "doc_id", "leaf", "subroot", merkle.fold(F.col("leaf"), F.col("path")).alias("root"),
+        sha256_hex(merkle.proof_text(F.col("path"))).alias("proof_sha256"),
+        F.when(F.col("made").isNotNull(), merkle.fold(F.col("made"), F.col("path"))).alias("other"),
+    )
+    return shown.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", F.coalesce("other", "root").alias("folded_root"),
+        (F.coalesce("other", "root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_hmm_language_model, op2_adaptive_dimension_scan, op3_bootstrapped_pii, op4_minhash_near_dedup,
         op5_token_counts, op6_toxicity, op7_sentencepiece_codec, op8_line_dedup, op9_language_id,
-        op10_benchmark_decontamination,
+        op10_benchmark_decontamination, op11_source_mixing, op12_merkle_manifest, op13_spelling_variants,
     ]
     return {f.__name__: f for f in found}
 
@@ -192,9 +221,137 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
+_MIX = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         CAST('0x' || substr(sha256('{seed}:' || doc_id), 1, 13) AS BIGINT) / 16.0**13 AS draw
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT source, source_size, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)),
+-- open sources by how soon they are full: all before the first that stays open are full
+ranked AS (
+  SELECT *, sum(source_size) OVER () AS words,
+         coalesce(sum(source_size) OVER earlier, 0) AS full_words, sum(w) OVER later AS open_w
+  FROM s
+  WINDOW earlier AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         later AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+level AS (
+  SELECT words - 3 * full_words AS left_words, open_w FROM ranked
+  WHERE CAST(w * (words - 3 * full_words) AS DOUBLE) / CAST(open_w AS DOUBLE) <= CAST(3 * source_size AS DOUBLE)
+  ORDER BY full_words LIMIT 1),
+t AS (
+  SELECT source, source_size,
+         least(CAST(3 * source_size AS DOUBLE), CAST(w * left_words AS DOUBLE) / CAST(open_w AS DOUBLE)) AS target
+  FROM s, level)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM (SELECT doc_id, size, source_size, target, draw,
+             CASE WHEN source_size = 0 THEN 0 ELSE target / CAST(source_size AS DOUBLE) END AS rate
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)"""
+
+
+def _crc32(data: str) -> str:
+    """Unsigned crc32 of a blob, bit by bit."""
+    step = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    byte = f"list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda z: 0::BIGINT)), lambda c, z: {step})"
+    data_bytes = (
+        f"list_transform(range(octet_length({data})), "
+        f"lambda i: CAST('0x' || substr(hex({data}), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+    )
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data_bytes}), lambda a, b: {byte}), 4294967295)"
+
+
+_FIELDS = ", ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars")
+)
+_LOWER_TEXT = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+# a tree for each source, then one of their tops; a node's run is its place without the last digit
+_MERKLE = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, source, sha256(concat({_FIELDS}, coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+         CASE WHEN {_crc32("encode(CAST(doc_id AS VARCHAR))")} % 5 = 0
+              THEN sha256(concat({_FIELDS}, coalesce(strlen({_LOWER_TEXT}) || ':' || {_LOWER_TEXT}, '-'))) END AS other
+  FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n FROM d),
+nodes AS (
+  SELECT source, 0 AS level, pos, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT source, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY source, level, pos // 16, n),
+tops AS MATERIALIZED (
+  SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, pos, n, h FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+  FROM upper WHERE n > 1 GROUP BY level, pos // 16, n),
+runs AS MATERIALIZED (
+  SELECT false AS top, source, level, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT true, NULL, level, pos // 16, list(h ORDER BY pos) FROM upper WHERE n > 1 GROUP BY ALL),
+steps AS MATERIALIZED (
+  SELECT top, source, level, run, hs, array_to_string(hs, '') AS joined FROM runs),
+walk AS (
+  SELECT p.doc_id, p.leaf, p.source, false AS top, 0 AS level, p.pos, p.leaf AS a, coalesce(p.other, p.leaf) AS b,
+         '' AS proof, t.pos AS top_pos, t.h AS subroot, p.n = 1 AS up
+  FROM placed p JOIN tops t ON p.source IS NOT DISTINCT FROM t.source
+  UNION ALL
+  SELECT doc_id, leaf, w.source, w.top, w.level + 1, w.pos // 16,
+         sha256(lefts || a || rights), sha256(lefts || b || rights), proof || lefts || rights, top_pos, subroot,
+         false
+  FROM (SELECT w.*, array_to_string(s.hs[1 : w.pos % 16], '') AS lefts,
+               array_to_string(s.hs[w.pos % 16 + 2 : ], '') AS rights
+        FROM (SELECT doc_id, leaf, source, top OR here AS top, CASE WHEN here THEN 0 ELSE level END AS level,
+                     CASE WHEN here THEN top_pos ELSE pos END AS pos, a, b, proof, top_pos, subroot
+              FROM (SELECT *, NOT top AND a = subroot AND (level > 0 OR up) AS here FROM walk)) w
+        JOIN steps s ON s.top = w.top AND (w.top OR s.source IS NOT DISTINCT FROM w.source)
+                    AND s.level = w.level AND s.run = w.pos // 16) w),
+ends AS (SELECT *, row_number() OVER (PARTITION BY doc_id, leaf ORDER BY length(proof) DESC, top DESC, level DESC) AS r FROM walk)
+SELECT doc_id, leaf, subroot, a AS root, sha256(proof) AS proof_sha256, b AS folded_root, a = b AS verified
+FROM ends WHERE r = 1"""
+
+_SPELLING = f"""
+WITH RECURSIVE runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc32("encode(doc_id || ':' || run)")} AS h FROM runs),
+spelt AS (
+  SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 : ] ELSE run END AS word, n
+  FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS MATERIALIZED (
+  SELECT word, i, word[1 : i - 1] || word[i + 1 : ] AS cut
+  FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cuts c JOIN words w ON w.word = c.cut
+  UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.cut),
+best AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS b, max(n) AS m
+  FROM near JOIN words ON words.word = b GROUP BY a),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN b END AS form,
+         CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM forms f JOIN chain c USING (word) JOIN forms e ON e.word = c.root WHERE e.form IS NULL"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_minhash_near_dedup": _NEAR,
         "op8_line_dedup": _LINES.format(min_words=line_dedup.MIN_WORDS),
         "op10_benchmark_decontamination": _DECONTAMINATION,
+        "op11_source_mixing": _MIX.format(seed=mixing.SEED),
+        "op12_merkle_manifest": _MERKLE,
+        "op13_spelling_variants": _SPELLING,
     }

@@ -1,0 +1,248 @@
+"""Mixing, manifest and spelling variants against brute-force versions, and their defined cases."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lexigraph.llm import merkle, mixing, spelling
+
+SCHEMA = "doc_id bigint, source string, lang string, n_chars int, text string"
+LONG = "word " * 30_000
+
+
+def documents(spark):
+    rows = [
+        (None, "b", "en", 3, "The Nameless Text"), (None, None, None, None, None), (1, "a", "en", None, "ONE two"),
+        (2, "a", None, 2, ""), (3, "", "en", 1, " \n\t "), (4, "big", "en", 9, LONG), (5, "big", "en", 9, LONG),
+        (5, "big", "en", 9, LONG), (6, "é", "fr", 1, "Été ÉTÉ été"), (7, "none", "en", 0, None), (8, "a", "en", 5, "x y z"),
+        (8, "a", "en", 5, "other text of eight"),
+    ]
+    clashing = ("has", "name", "size", "Target", "copies", "rate", "kept", "pos", "n", "hash", "word", "made", "doc", "a.b", "copy")
+    return spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("clash") for c in clashing})
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+# ---- mixing ----------------------------------------------------------------------------
+
+def targets(sizes, weights=mixing.WEIGHTS, most=mixing.MAX_EPOCHS):
+    """Shares by adding the excess to the open sources until there is none."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        left = total - sum(most * sizes[s] for s in full)
+        share = sum(weight[s] for s in names if s not in full)
+        out = {s: most * sizes[s] if s in full else weight[s] * left / share for s in names}
+        more = {s for s in names if out[s] > most * sizes[s]}
+        if not more:
+            return out
+        full |= more
+
+
+def test_mix_reaches_its_targets(spark):
+    rng = random.Random(1)
+    rows = [(i, rng.choice(["a", "b", "c", "d", None]), None, None, "w " * rng.randrange(0, 60)) for i in range(4000)]
+    rows += [(10_000 + i, "tiny", None, None, "w " * 5) for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = mixing.plan_mix(docs).collect()
+    sizes = Counter()
+    for _, source, _, _, text in rows:
+        sizes[source] += len(text.split())
+    want, taken = targets(sizes), Counter()
+    for r in got:
+        assert r["source_size"] == sizes[r.source] and r.target == pytest.approx(want[r.source])
+        assert r.copies in (int(r.rate), int(r.rate) + 1) and r.copies <= mixing.MAX_EPOCHS
+        taken[r.source] += r.copies * r.size
+    assert want["tiny"] == 3 * sizes["tiny"] == taken["tiny"]
+    assert sum(want.values()) == pytest.approx(sum(sizes.values()))
+    assert all(abs(taken[s] - want[s]) < 0.1 * want[s] for s in sizes)
+    mixed = mixing.mix_sources(docs)
+    assert mixed.count() == sum(r.copies for r in got)
+    again = {(r.doc_id, r.copies) for r in mixing.plan_mix(docs.repartition(13)).collect()}
+    assert again == {(r.doc_id, r.copies) for r in got}
+
+
+def test_shares_are_raised_more_than_once(spark):
+    sizes = {"a": 1, "b": 10, "c": 100, "d": 1000, "e": 10, "f": 100_000, None: 7, "zero": 0}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, size bigint")
+    got = {(r.source if r.has else None): r.target for r in mixing.source_targets(rows).collect()}
+    assert got == pytest.approx(targets(sizes))
+
+
+def test_mix_with_many_sources_is_looked_up(spark, monkeypatch):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).otherwise("hot").alias("source"),
+        F.lit("a b c").alias("text"),
+    )
+    expected = sorted(map(tuple, mixing.plan_mix(docs).collect()))
+    monkeypatch.setattr(mixing, "broadcast_if_bounded", lambda df: (df, False))
+    assert sorted(map(tuple, mixing.plan_mix(docs).collect())) == expected
+
+
+def test_mix_defined_cases(spark):
+    got = mixing.plan_mix(documents(spark))
+    assert [c for c in got.columns if c.lower() in mixing.RESULTS] == mixing.RESULTS
+    rows = got.collect()
+    assert len(rows) == 12
+    assert {r.source: r["size"] for r in rows if r.doc_id in (2, 3, 7)} == {"a": 0, "": 0, "none": 0}
+    assert all(r.target == 0 and r.copies == 0 for r in rows if r.source in ("none", "", None))
+    assert len({r.copies for r in rows if r.doc_id == 5}) == 1
+    assert "a.b" in mixing.mix_sources(documents(spark)).columns
+    assert mixing.plan_mix(empty(spark)).collect() == [] and mixing.mix_sources(empty(spark)).collect() == []
+
+
+# ---- manifest --------------------------------------------------------------------------
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    parts = [None if v is None else str(v) for v in row]
+    return sha("".join("-" if p is None else f"{len(p.encode())}:{p}" for p in parts))
+
+
+def tree(nodes):
+    """Root, and for each leaf the (left, right) siblings of each level, bottom up."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, k in enumerate(at):
+            first = k // 16 * 16
+            paths[i].append(("".join(nodes[first:k]), "".join(nodes[k + 1:first + 16])))
+        nodes = [sha("".join(nodes[k:k + 16])) for k in range(0, len(nodes), 16)]
+        at = [k // 16 for k in at]
+    return nodes[0], paths
+
+
+def brute_force_proofs(rows):
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(r[1], []).append((r[0] is not None, r[0] or 0, leaf(r), r))
+    order = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: tree([x[2] for x in sorted(by_source[s], key=lambda x: x[:3])]) for s in order}
+    root, upper = tree([trees[s][0] for s in order])
+    out = []
+    for s, above in zip(order, upper):
+        for (_, _, h, r), path in zip(sorted(by_source[s], key=lambda x: x[:3]), trees[s][1]):
+            out.append((r[0], h, trees[s][0], "".join(a + b for a, b in path + above)))
+    return root, sorted(out, key=repr)
+
+
+def proved(docs):
+    found = merkle.proofs(merkle.build_manifest(docs)).select(
+        "doc_id", "leaf", "subroot", merkle.proof_text(F.col("path")).alias("proof"), merkle.fold(F.col("leaf"), F.col("path")).alias("root")
+    ).collect()
+    return {r.root for r in found}, sorted((tuple(r)[:4] for r in found), key=repr)
+
+
+def test_proofs_equal_a_whole_tree(spark):
+    """Sources of 1 to 5,000 rows: one to four levels, whole and broken runs."""
+    rows = [
+        (i * 7 % 100_003, f"s{k}", "en", i, f"Text {i}")
+        for k, n in enumerate((1, 2, 15, 16, 17, 255, 256, 257, 300, 4097, 5000)) for i in range(n)
+    ] + [(i, f"more {i}", None, 0, "x") for i in range(300)]
+    root, expected = brute_force_proofs(rows)
+    assert proved(spark.createDataFrame(rows, SCHEMA).repartition(6)) == ({root}, expected)
+
+
+def test_manifest_defined_cases(spark):
+    docs = documents(spark)
+    rows = [tuple(r[c] for c in merkle.FIELDS) for r in docs.collect()]
+    root, expected = brute_force_proofs(rows)
+    assert proved(docs) == ({root}, expected)
+    assert merkle.proofs(merkle.build_manifest(empty(spark))).collect() == []
+    one = [(1, "s", "en", 1, "alone")]
+    assert proved(spark.createDataFrame(one, SCHEMA)) == ({leaf(one[0])}, [(1, leaf(one[0]), leaf(one[0]), "")])
+
+
+def test_only_a_changed_row_fails(spark):
+    rows = [(i, "s", "en", 1, "Text" if i % 3 else "text") for i in range(600)]
+    changed = merkle.leaf_hash([F.col(c) for c in merkle.FIELDS[:4]] + [merkle.tampered_text(F.col("text"))])
+    found = merkle.proofs(merkle.build_manifest(spark.createDataFrame(rows, SCHEMA), changed))
+    fails = found.where(merkle.fold(F.col("made"), F.col("path")) != merkle.fold(F.col("leaf"), F.col("path")))
+    assert sorted(r.doc_id for r in fails.collect()) == [i for i in range(600) if i % 3]
+
+
+# ---- spelling --------------------------------------------------------------------------
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(a) + 1 == len(b) and any(a == b[:i] + b[i + 1:] for i in range(len(b)))
+
+
+def brute_force_variants(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best and words[best] >= 5 * words[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, words[w], len(near[w]), words.get(form[w])))
+    return sorted(out, key=repr)
+
+
+def texts(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def test_variants_equal_brute_force(spark):
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abé") for _ in range(rng.randrange(5, 10))) for _ in range(60)] + ["aaaaaa", "aaaaaaa", "abcdefgh"]
+    words = set(base)
+    for w in base:
+        for _ in range(3):
+            i = rng.randrange(len(w))
+            words |= {w[:i] + w[i + 1:], w[:i] + rng.choice("abc") + w[i:], w[:i] + rng.choice("abc") + w[i + 1:]}
+    rows = [(i, " ".join(rng.choice([w, w.upper()]) for _ in range(rng.choice([5, 5, 30, 200])))) for i, w in enumerate(sorted(words))]
+    got = sorted((tuple(r) for r in spelling.group_variants(texts(spark, rows)).collect()), key=repr)
+    assert got == brute_force_variants(rows) and any(r[2] != r[0] for r in got)
+
+
+@pytest.mark.parametrize("hot_bucket, spread_rows", [(1, 1), (5, 10), (10**9, 10**9)])
+def test_hot_buckets_lose_no_pair(spark, rows, hot_bucket, spread_rows):
+    """Words that share their first or last half, or all but two letters."""
+    words = ["prefix" + "".join(t) for t in itertools.product("abcd", repeat=3)]
+    words += ["".join(t) + "suffix" for t in itertools.product("abcd", repeat=3)]
+    words += [a + "bbbb" + c for a in "abcdefg" for c in "abcdefg"] + ["prefixab", "suffix", "preefixaba"]
+    expected = sorted(((a, b) for a in set(words) for b in set(words) if one_edit(a, b) and (len(a), a) < (len(b), b)), key=repr)
+    got = spelling.near_pairs(texts(spark, [(0, w) for w in set(words)]).select(F.col("text").alias("word")), hot_bucket, spread_rows)
+    assert rows(got) == expected
+
+
+def test_spelling_defined_cases(spark):
+    chain = [("abcdefgh", 700), ("abcdefg", 130), ("abcdef", 25), ("abcxef", 5)]  # each leads to the one before
+    data = [(None, " ".join([w] * n)) for w, n in chain] + [(None, None), (1, ""), (2, "??"), (2, "??")]
+    got = {r.word: r for r in spelling.group_variants(texts(spark, data).withColumn("word", F.lit("clash"))).collect()}
+    assert {w: r.root for w, r in got.items()} == {w: "abcdefgh" for w, _ in chain}
+    assert got["abcdefgh"].form is None and got["abcdef"].form == "abcdefg"
+    assert got["abcdef"].n_near == 2 and got["abcdefgh"].form_n is None
+    # equally frequent forms: the first in code-point order
+    data = [(None, "bbbbbx " * 5 + "bbbbby " * 50 + "bbbbba " * 50)]
+    tied = {r.word: r.form for r in spelling.group_variants(texts(spark, data)).collect()}
+    assert tied == {"bbbbbx": "bbbbba", "bbbbby": None, "bbbbba": None}
+    assert spelling.group_variants(empty(spark)).collect() == []
