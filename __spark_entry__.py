@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexigraph.functions import text
 from lexigraph.functions.stop_words import ENGLISH, HEBREW
@@ -19,6 +19,7 @@ from lexigraph.plans.tracking import track_images
 from lexigraph.session import scratch_dir
 from lexigraph.sinks import writers
 from lexigraph.sources import readers
+from lexigraph.streaming import manager
 from lexigraph.streaming import tracking as stream
 
 
@@ -290,9 +291,12 @@ def thumbnails(spark: SparkSession, sf: str) -> DataFrame:
 def process_items(spark: SparkSession, sf: str) -> DataFrame:
     """Second part of an address's path; an address without one is an error."""
     items = d.table(spark, sf, "pages").select("page_id", F.col("url").alias("item"))
+    return tracking.process_column(items, *_second_part())
+
+
+def _second_part() -> tuple[Column, Column]:
     parts = F.split(F.btrim(F.coalesce(F.parse_url("item", F.lit("PATH")), F.lit("")), F.lit("/")), "/")
-    error = F.when(F.size(parts) < 2, "no second part")
-    return tracking.process_column(items, F.get(parts, 1), error)
+    return F.get(parts, 1), F.when(F.size(parts) < 2, "no second part")
 
 
 def tracked_thumbnails(spark: SparkSession, sf: str) -> DataFrame:
@@ -461,6 +465,72 @@ def completed_jobs_stream(spark: SparkSession, sf: str) -> DataFrame:
     return stream.read_completions(spark, path, "summaries")
 
 
+def match_results_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and replies in 16 files, in no order at all."""
+    inbox, out = scratch_dir(spark, "inbox"), scratch_dir(spark, "credits")
+    _send(d.unaddressed(spark, sf), inbox, 16)
+    stream.use_rocksdb(spark)
+    found = manager.match_results_stream(readers.read_message_stream(spark, inbox, files_per_trigger=4))
+    stream.write_available(found, out, scratch_dir(spark, "checkpoint"), timers=True).awaitTermination()
+    return manager.read_matched(spark, out)
+
+
+def terminate_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted and refused starts, and when each manager is drained, from files in no order."""
+    inbox, out = scratch_dir(spark, "inbox"), scratch_dir(spark, "stopping")
+    _send(d.stop_messages(spark, sf), inbox, 8)
+    stream.use_rocksdb(spark)
+    found = manager.terminate_stream(readers.read_message_stream(spark, inbox, files_per_trigger=2))
+    stream.write_available(found, out, scratch_dir(spark, "checkpoint"), timers=True).awaitTermination()
+    starts = manager.read_starts(spark, out).select(
+        F.when(F.col("accepted"), "accepted").otherwise("refused").alias("event"), "msg_id", "to_id",
+        F.lit(None).cast("bigint").alias("at"),
+    )
+    drained = manager.read_drained(spark, out).select(
+        F.lit("drained").alias("event"), F.lit(None).cast("string").alias("msg_id"), "to_id", "at"
+    )
+    return starts.unionByName(drained)
+
+
+def _tick(messages: DataFrame) -> DataFrame:
+    """A message far ahead in time, which says that all before have been sent."""
+    last = messages.agg(F.max("ts").alias("ts"))
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in messages.schema.fields if f.name not in ("msg_id", "ts")]
+    ahead = last.select(F.lit("tick").alias("msg_id"), (F.col("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts"), *blank)
+    return ahead.select(*messages.columns)
+
+
+def pending_messages_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages that were not handled within five hours, per manager; files in no order."""
+    queues = []
+    for part in (d.messages(spark, sf), d.handled_messages(spark, sf)):
+        inbox = scratch_dir(spark, "inbox")
+        _send(part, inbox, 4)
+        _send(_tick(part), inbox, 1)
+        queues.append(readers.read_message_stream(spark, inbox, files_per_trigger=2))
+    out = scratch_dir(spark, "pending")
+    found = manager.pending_messages_stream(*queues, within="5 HOURS", late="40 days")
+    stream.write_available(found, out, scratch_dir(spark, "checkpoint")).awaitTermination()
+    rows = spark.read.schema(readers.MESSAGE_SCHEMA).parquet(out)
+    return rows.groupBy("to_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def worker_chain_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders to replies to matching as two chained streams, both stopped and resumed on the way."""
+    inbox, outbox, out = (scratch_dir(spark, n) for n in ("inbox", "outbox", "credits"))
+    work, match = scratch_dir(spark, "checkpoint"), scratch_dir(spark, "checkpoint")
+    stream.use_rocksdb(spark)
+    orders = d.page_orders(spark, sf)
+    number = F.substring("msg_id", 2, 20).cast("bigint")
+    for half in (number % 2 == 0, number % 2 == 1):
+        _send(orders.where(half), inbox, 2)
+        manager.run_worker(spark, inbox, outbox, work, *_second_part(), number).awaitTermination()
+        both = readers.read_message_stream(spark, inbox).unionByName(readers.read_message_stream(spark, outbox))
+        found = manager.match_results_stream(both)
+        stream.write_available(found, out, match, timers=True).awaitTermination()
+    return manager.read_matched(spark, out)
+
+
 def running_worker_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     inbox, out = scratch_dir(spark, "work"), scratch_dir(spark, "workers")
     events = d.table(spark, sf, "events")
@@ -503,6 +573,7 @@ def queries() -> dict[str, Query]:
         pair_round_trip, item_list_round_trip, thumbnail_round_trip, routed_errors, hebrew_stop_words,
         rejected_lines,
         track_jobs_stream, completed_jobs_stream, running_worker_stats_stream, dedupe_stream,
+        match_results_stream, terminate_stream, pending_messages_stream, worker_chain_stream,
     ]
     named = {f.__name__: f for f in found}
     if LLM:
@@ -952,9 +1023,33 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'n-gram', count(*) FROM part WHERE p_size % 3 <> 1
             UNION ALL SELECT 'pair', count(*) FROM part WHERE p_size % 2 = 0
             UNION ALL SELECT 'message', count(*) FROM messages WHERE type IS NULL""",
-        "completed_jobs_stream": """SELECT 'j' || user_id AS job_id, 'job_ended' AS type,
-            max(event_id) + 1000000000000 AS seq, 'summaries/job_id=j' || user_id AS body
-            FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'signup') = 0""",
+        "completed_jobs_stream": """
+            SELECT 'j' || user_id || '-' || event_id % 20 AS job_id, 'job_ended' AS type,
+                   max(event_id) + 1000000000000 AS seq,
+                   'summaries/job_id=j' || user_id || '-' || event_id % 20 AS body
+            FROM events GROUP BY user_id, event_id % 20 HAVING count(*) FILTER (event_type = 'signup') = 0
+            UNION ALL
+            SELECT 'empty' || event_id, 'job_ended', NULL, 'summaries/job_id=empty' || event_id
+            FROM events WHERE event_id % 50 = 0""",
+        "terminate_stream": f"""WITH {_MESSAGES},
+            stops AS (SELECT to_id, min(ts) AS stop FROM messages
+                      WHERE type = 'terminate' AND ts >= TIMESTAMP '{d.STOP_FROM}' GROUP BY ALL),
+            starts AS (SELECT *, seq % 10 = 0 AND to_id = 'manager3' AS stuck
+                       FROM messages LEFT JOIN stops USING (to_id) WHERE type = 'start_job')
+            SELECT CASE WHEN stop IS NULL OR ts < stop THEN 'accepted' ELSE 'refused' END AS event, msg_id, to_id,
+                   CAST(NULL AS BIGINT) AS at FROM starts
+            UNION ALL
+            SELECT 'drained', NULL, to_id,
+                   epoch_us(greatest(stop, (SELECT max(ts) + INTERVAL 1 HOUR FROM starts s WHERE s.to_id = stops.to_id AND s.ts < s.stop)))
+            FROM stops
+            WHERE NOT EXISTS (SELECT 1 FROM starts s WHERE s.to_id = stops.to_id AND s.ts < s.stop AND s.stuck)""",
+        "pending_messages_stream": f"""WITH {_MESSAGES}
+            SELECT to_id, count(*) AS n FROM messages
+            WHERE type IS NULL OR type NOT IN ('thumbnail_ended', 'error_work') OR seq % 7 = 6 GROUP BY to_id""",
+        "worker_chain_stream": r"""SELECT page_id AS seq, CASE WHEN len(p) >= 2 THEN 'ok' ELSE 'error' END AS type,
+            url AS item, CASE WHEN len(p) >= 2 THEN p[2] END AS thumb, string_split(url, '/')[3] AS job_id
+            FROM (SELECT page_id, url,
+                  string_split(trim(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), '/') AS p FROM pages)""",
         "process_items": r"""SELECT page_id, url AS item,
             CASE WHEN len(p) >= 2 THEN 'ok' ELSE 'error' END AS status, CASE WHEN len(p) >= 2 THEN p[2] END AS result,
             CASE WHEN len(p) < 2 THEN 'no second part' END AS error
@@ -968,6 +1063,7 @@ def oracle_sql() -> dict[str, str]:
         "running_worker_stats_stream": _STATS,
         "dedupe_stream": f"WITH {_MESSAGES} SELECT msg_id, type, body FROM messages",
     }
+    found["match_results_stream"] = found["match_results"]
     if LLM:
         found |= LLM.oracle_sql()
     if PIPELINE and PIPELINE.ORACLE_SQL:

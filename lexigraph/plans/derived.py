@@ -183,8 +183,9 @@ def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_messages(spark: SparkSession, sf_dir: str, jobs: int | None = 10) -> tuple[DataFrame, DataFrame]:
-    """Work orders for the items of ``jobs`` jobs (None: one per user), and the replies."""
-    number = F.col("user_id") if jobs is None else F.col("user_id") % jobs
+    """Work orders for the items of ``jobs`` jobs (None: up to 20 per user), and the replies."""
+    many = F.concat_ws("-", "user_id", F.col("event_id") % 20)
+    number = many if jobs is None else F.col("user_id") % jobs
     base = table(spark, sf_dir, "events").select(
         F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("msg_id"),
         F.col("event_id").alias("seq"),
@@ -216,16 +217,75 @@ def job_messages(spark: SparkSession, sf_dir: str, jobs: int | None = 10) -> tup
 
 
 def job_starts(orders: DataFrame) -> DataFrame:
-    """A start message per job, whose body is the number of the job's orders."""
-    return orders.groupBy("job_id").agg(
-        F.min("ts").alias("ts"), F.count(F.lit(1)).cast("string").alias("body")
-    ).select(
+    """A start message per job, whose body is the number of the job's orders, and one of a job
+    without orders for every 50th order."""
+    sized = orders.groupBy("job_id").agg(F.min("ts").alias("ts"), F.count(F.lit(1)).cast("string").alias("body"))
+    empty = orders.where(F.col("seq") % 50 == 0).select(
+        F.concat(F.lit("empty"), F.col("seq").cast("string")).alias("job_id"), "ts", F.lit("0").alias("body")
+    )
+    return sized.unionByName(empty).select(
         F.concat("job_id", F.lit("-start")).alias("msg_id"), F.lit(-1).cast("bigint").alias("seq"), "ts",
         F.lit("client").alias("from_id"), F.lit(tracking.MANAGER).alias("to_id"),
         F.lit(tracking.START_JOB).alias("type"), "job_id", "body",
     )
 
 
+def unaddressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``jobs`` and ``results`` as messages: an order's seq is its job's submit_seq, and replies name
+    no job."""
+    columns = ["msg_id", "seq", "ts", "from_id", "to_id", "type", "job_id", "body"]
+    events = table(spark, sf_dir, "events")
+    number = F.col("user_id") % 10
+    orders = events.withColumns({
+        "msg_id": F.concat(F.lit("o"), F.col("event_id").cast("string")), "seq": number,
+        "from_id": F.lit(tracking.MANAGER), "to_id": F.lit("*"), "type": F.lit(tracking.INIT_WORK),
+        "job_id": F.concat(F.lit("j"), number.cast("string")), "body": F.col("props"),
+    })
+    error = F.col("event_type") == "error"
+    replies = events.withColumns({
+        "msg_id": F.concat(F.lit("r"), F.col("event_id").cast("string")), "seq": F.col("event_id"),
+        "from_id": F.lit("w"), "to_id": F.lit(tracking.MANAGER),
+        "type": F.when(error, tracking.ERROR_WORK).otherwise(tracking.FINISHED_WORK),
+        "job_id": F.lit(None).cast("string"),
+        "body": F.when(error, _result_item()).otherwise(text.summary_line(_result_item(), _thumb())),
+    })
+    return orders.select(*columns).unionByName(replies.select(*columns))
+
+
+STOP_FROM = "2024-01-16"
+
+
+def stop_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts (sign-ups) of one job each, stops (costly purchases from STOP_FROM on), and the end of
+    each job an hour after its start; every tenth job of one manager never ends."""
+    all_ = messages(spark, sf_dir)
+    starts = all_.where(F.col("type") == tracking.START_JOB).withColumn("job_id", F.col("msg_id"))
+    stops = all_.where((F.col("type") == tracking.TERMINATE) & (F.col("ts") >= F.lit(STOP_FROM).cast("timestamp")))
+    stuck = (F.col("to_id") == "manager3") & (F.col("seq") % 10 == 0)
+    ends = starts.where(~stuck).withColumns({
+        "msg_id": F.concat("msg_id", F.lit("-ended")), "ts": F.col("ts") + F.expr("INTERVAL 1 HOUR"),
+        "type": F.lit(tracking.JOB_ENDED),
+    })
+    return starts.unionByName(stops).unionByName(ends)
+
+
+def handled_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When the finished and failed messages were handled: up to six hours after they were sent."""
+    done = messages(spark, sf_dir).where(F.col("type").isin(tracking.FINISHED_WORK, tracking.ERROR_WORK))
+    return done.withColumn("ts", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("seq") % 7 * 3_600_000_000))
+
+
+def page_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order per page, of its host's job."""
+    host = F.substring_index(F.substring_index("url", "/", 3), "/", -1)
+    return table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("msg_id"),
+        F.crc32(host.cast("binary")).alias("seq"), F.timestamp_seconds(F.lit(0)).alias("ts"),
+        F.lit(tracking.MANAGER).alias("from_id"), F.lit("*").alias("to_id"),
+        F.lit(tracking.INIT_WORK).alias("type"), host.alias("job_id"), F.col("url").alias("body"),
+    )
+
+
 def work_of(events: DataFrame) -> DataFrame:
     """Events as work done; users are the workers."""
     error = F.col("event_type") == "error"

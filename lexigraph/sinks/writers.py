@@ -100,14 +100,18 @@ def write_thumbnails(thumbs: DataFrame, path: str, mode: str = FAIL) -> None:
     )
 
 
+# Times are sent in microseconds; by default JSON would cut them to milliseconds.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def send_messages(messages: DataFrame, path: str, mode: str = "append") -> None:
-    messages.write.mode(mode).json(path)
+    messages.write.mode(mode).options(**TIMES).json(path)
 
 
 def send_message_stream(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Stream messages to JSON files until all available input is consumed."""
     return (
-        messages.writeStream.format("json")
+        messages.writeStream.format("json").options(**TIMES)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

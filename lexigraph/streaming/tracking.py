@@ -9,49 +9,52 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators import tracking as ops
+from .manager import ENDED_SCHEMA, end_jobs
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 OUTCOME_SCHEMA = "job_id string, seq bigint, outcome string, item string, thumb string"
 
 
 class _Outstanding(StatefulProcessor):
-    """Open copies per item of one part of a job; an item's state goes when it has none."""
+    """Open copies per job and item of one part; an item's state goes when it has none."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getMapState("open", "item string", "n bigint")
+        self.open = handle.getMapState("open", "job_id string, item string", "n bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # One micro-batch of one part of one job; the trigger bounds its bytes.
+        # One micro-batch of one part; the trigger bounds its bytes.
         batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        held: dict[str, int] = {}
-        left: dict[str, int] = {}
+        held: dict[tuple, int] = {}
+        left: dict[tuple, int] = {}
         outcomes = []
-        for kind, item in zip(batch["type"], batch["item"]):
+        for kind, job, item in zip(batch["type"], batch["job_id"], batch["item"]):
             if kind == ops.START_JOB:
                 outcomes.append("started")
                 continue
             if item is None:
                 outcomes.append("alert")
                 continue
-            if item not in left:  # one read of the state per item
-                stored = self.open.getValue((item,)) if self.open.containsKey((item,)) else None
-                held[item] = left[item] = stored[0] if stored else 0
+            copy = (job, item)
+            if copy not in left:  # one read of the state per item
+                stored = self.open.getValue(copy)
+                held[copy] = left[copy] = stored[0] if stored else 0
             if kind == ops.INIT_WORK:
-                left[item] += 1
+                left[copy] += 1
                 outcomes.append("expected")
-            elif left[item] > 0:
-                left[item] -= 1
+            elif left[copy] > 0:
+                left[copy] -= 1
                 outcomes.append("done" if kind == ops.FINISHED_WORK else "failed")
             else:
                 outcomes.append("alert")
-        for item, n in left.items():  # and one write, if anything has changed
-            if n and n != held[item]:
-                self.open.updateValue((item,), (n,))
-            elif not n and held[item]:
-                self.open.removeKey((item,))
+        for copy, n in left.items():  # and one write, if anything has changed
+            if n and n != held[copy]:
+                self.open.updateValue(copy, (n,))
+            elif not n and held[copy]:
+                self.open.removeKey(copy)
         yield pd.DataFrame(
             {
-                "job_id": key[0],
+                "job_id": batch["job_id"].to_numpy(),
                 "seq": batch["seq"].to_numpy(),
                 "outcome": outcomes,
                 "item": batch["item"].to_numpy(),
@@ -66,9 +69,9 @@ class _Outstanding(StatefulProcessor):
 def match_stream(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """Outcome of every message of a job: started, expected, done, failed or alert.
 
-    State is kept per job and hash part of the item, so a large job is spread over tasks;
-    ``parts`` follows the number of shuffle partitions unless it is given. A start's item is
-    its body. The session must use the RocksDB state store (``use_rocksdb``).
+    State is kept per hash part of (job, item), so a large job is spread over tasks and a small
+    one costs no group of its own; ``parts`` follows the number of shuffle partitions unless it is
+    given. A start's item is its body. The session must use the RocksDB state store (``use_rocksdb``).
     """
     if parts is None:
         parts = 4 * int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -82,8 +85,8 @@ def match_stream(messages: DataFrame, parts: int | None = None) -> DataFrame:
         F.when(done, item).otherwise(F.col("body")).alias("item"),
         F.when(done, thumb).alias("thumb"),
     )
-    part = F.coalesce(F.pmod(F.xxhash64("item"), F.lit(parts)), F.lit(0))
-    return rows.withColumn("part", part).groupBy("job_id", "part").transformWithStateInPandas(
+    part = F.pmod(F.xxhash64("job_id", "item"), F.lit(parts))
+    return rows.withColumn("part", part).groupBy("part").transformWithStateInPandas(
         statefulProcessor=_Outstanding(),
         outputStructType=OUTCOME_SCHEMA,
         outputMode="Append",
@@ -109,16 +112,27 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to parquet files until all available input is consumed."""
-    return (
-        df.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def write_available(df: DataFrame, path: str, checkpoint: str, timers: bool = False) -> StreamingQuery:
+    """Append a stream to parquet files until all available input is consumed.
+
+    ``timers`` says that the stream has state with timers or a lifetime by the clock. Spark would
+    run batches without data for them for ever; here they wait for the next batch with data.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(NO_DATA_BATCHES)
+    try:
+        if timers:  # read when the query starts
+            spark.conf.set(NO_DATA_BATCHES, "false")
+        return (
+            df.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, before)
 
 
 def dedupe_stream(messages: DataFrame, keep: str = "180 seconds") -> DataFrame:
@@ -177,40 +191,16 @@ def read_merged(spark: SparkSession, path: str, key: str) -> DataFrame:
 # ---- completion ------------------------------------------------------------------------
 
 def write_completions(outcomes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """One JOB_ENDED row per job, in the micro-batch that completes it.
+    """One JOB_ENDED row per job, in the micro-batch that completes it (``manager.end_jobs``).
 
     ``outcomes`` come from ``match_stream``; a start's item is the number of the job's items.
-    The open jobs' counts are a table per micro-batch, made from the last one and the
-    outcomes of the batch, so a batch that is run again gives the same rows. A job that has
-    ended leaves the table, and outcomes of later repeats are alerts and don't count.
     """
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        answered = F.col("outcome").isin("done", "failed")
-        counts = batch.groupBy("job_id").agg(
-            F.max(F.when(F.col("outcome") == "started", ops.text.whole_number(F.col("item")))).alias("total"),
-            F.count_if(answered).alias("answered"),
-            F.max(F.when(answered, F.col("seq"))).alias("last"),
-        )
-        if batch_id:
-            before = spark.read.parquet(f"{path}/batch={batch_id - 1}").where("NOT ended").drop("ended")
-            counts = counts.unionByName(before).groupBy("job_id").agg(
-                F.max("total").alias("total"), F.sum("answered").alias("answered"), F.max("last").alias("last")
-            )
-        ended = F.coalesce(F.col("answered") >= F.col("total"), F.lit(False))
-        counts.withColumn("ended", ended).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return (
-        outcomes.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return write_available(end_jobs(outcomes), path, checkpoint, timers=True)
 
 
 def read_completions(spark: SparkSession, path: str, summaries: str) -> DataFrame:
     """The rows of ``operators.tracking.completed_jobs`` from ``write_completions``."""
-    ended = spark.read.parquet(path).where("ended")
+    ended = spark.read.schema(ENDED_SCHEMA).parquet(path)
     return ops.completed_jobs(
-        ended.select("job_id", F.lit(True).alias("complete"), F.col("last").alias("completed_at")), summaries
+        ended.select("job_id", F.lit(True).alias("complete"), F.col("seq").alias("completed_at")), summaries
     )
