@@ -25,11 +25,13 @@ from lexigraph.streaming import tracking as stream
 
 
 def _if_there(name: str) -> ModuleType | None:
-    """A module that may have been left out of an installation."""
+    """A module, unless it or the subpackage ``llm`` has been left out of an installation."""
     try:
         return importlib.import_module(name)
-    except ModuleNotFoundError:
-        return None
+    except ModuleNotFoundError as e:
+        if e.name in (name, "lexigraph.llm"):
+            return None
+        raise
 
 
 LLM = _if_there("lexigraph.llm.queries")
@@ -244,17 +246,22 @@ def worker_report_lines(spark: SparkSession, sf: str) -> DataFrame:
     return tracking.worker_report(d.work_of(d.table(spark, sf, "events")), digits=3)
 
 
-def summary_lines(spark: SparkSession, sf: str) -> DataFrame:
+def _page_matches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Jobs and matched results; the latter are read several times and so a table."""
     jobs, results = d.page_jobs(spark, sf)
-    return tracking.summary_lines(jobs, tracking.match_results(jobs, results)).select(
-        "job_id", "seq", "line"
-    )
+    return jobs, writers.materialise(tracking.match_results(jobs, results), scratch_dir(spark, "matched"))
+
+
+def _summary(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.materialise(tracking.summary_lines(*_page_matches(spark, sf)), scratch_dir(spark, "summary"))
+
+
+def summary_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return tracking.summary_lines(*_page_matches(spark, sf)).select("job_id", "seq", "line")
 
 
 def gallery_html(spark: SparkSession, sf: str) -> DataFrame:
-    jobs, results = d.page_jobs(spark, sf)
-    summary = tracking.summary_lines(jobs, tracking.match_results(jobs, results))
-    return tracking.gallery_html(summary, "http://thumbs/")
+    return tracking.gallery_html(_summary(spark, sf), "http://thumbs/")
 
 
 def url_parts(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,8 +330,7 @@ def work_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def completed_jobs(spark: SparkSession, sf: str) -> DataFrame:
-    jobs, results = d.page_jobs(spark, sf)
-    progress = tracking.job_progress(jobs, tracking.match_results(jobs, results))
+    progress = tracking.job_progress(*_page_matches(spark, sf))
     return tracking.completed_jobs(progress, "summaries")
 
 
@@ -386,6 +392,37 @@ def thumbnail_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("origin", "height", "width", F.md5("data").alias("pixels"))
 
 
+def report_lines_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """A report of collocations, summaries and galleries, written to files, and their lines with the
+    numbers that the files give them."""
+    path = {name: scratch_dir(spark, name) for name in ("report", "summaries", "gallery")}
+    found = colloc.collocations(
+        d.bigrams(spark, sf), MIN_NPMI, REL_MIN_NPMI, stop_words="eng", ordered=False, table=scratch_dir(spark, "pmi")
+    )
+    lines = colloc.decade_report(found, digits=4)
+    # the last digits differ by the order of a sum, and must not decide the order of lines
+    writers.write_decade_report(_rounded(lines, 6, "npmi"), path["report"])
+    summary = _summary(spark, sf)
+    writers.write_summaries(summary, path["summaries"])
+    writers.write_gallery(tracking.gallery_html(summary, "http://thumbs/"), path["gallery"])
+    parts = [
+        readers.read_ordered_lines(spark, path[name], key).select(F.lit(name).alias("report"), F.col(key).alias("key"), "line_no", "line")
+        for name, key in (("report", "decade"), ("summaries", "job_id"), ("gallery", "job_id"))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def decoded_thumbnails(spark: SparkSession, sf: str) -> DataFrame:
+    """Image files, broken ones among them, decoded and reduced by ratios that are not whole."""
+    path = scratch_dir(spark, "bitmaps")
+    d.write_page_bitmaps(spark, sf, path)
+    images = readers.read_images(imaging.image_session(spark), path)
+    return imaging.thumbnails(images, box=16).select(
+        text.base_name(F.col("origin")).alias("file"), "status", "error", "height", "width", "nChannels",
+        F.md5("data").alias("pixels"),
+    )
+
+
 def routed_errors(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "routed")
     writers.write_routed(process_items(spark, sf), path)
@@ -537,7 +574,7 @@ def running_worker_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     events.repartition(8, "event_id").write.parquet(inbox)
     arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
     stream.write_updates(
-        stream.running_worker_stats(d.work_of(arriving)), out, scratch_dir(spark, "checkpoint")
+        stream.running_worker_stats(d.work_of(arriving)), out, scratch_dir(spark, "checkpoint"), key="worker", every=2
     ).awaitTermination()
     return _stats_columns(stream.read_merged(spark, out, "worker"))
 
@@ -571,7 +608,7 @@ def queries() -> dict[str, Query]:
         pair_literals, thumbnails, process_items, tracked_thumbnails, work_orders, completed_jobs, refusals,
         text_lines_round_trip, sequence_lines_round_trip, shard_round_trip, key_value_round_trip,
         pair_round_trip, item_list_round_trip, thumbnail_round_trip, routed_errors, hebrew_stop_words,
-        rejected_lines,
+        rejected_lines, report_lines_in_order, decoded_thumbnails,
         track_jobs_stream, completed_jobs_stream, running_worker_stats_stream, dedupe_stream,
         match_results_stream, terminate_stream, pending_messages_stream, worker_chain_stream,
     ]
@@ -1031,6 +1068,48 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT 'empty' || event_id, 'job_ended', NULL, 'summaries/job_id=empty' || event_id
             FROM events WHERE event_id % 50 = 0""",
+        "report_lines_in_order": f"""WITH {_npmi_sql(_NO_STOP)}, {_PAGE_JOBS},
+            heads AS (SELECT decade, max(decade_npmi) AS total FROM found GROUP BY ALL),
+            rows AS (
+              SELECT 'report' AS report, decade AS key, 0 AS a, 0 AS b, '' AS c, '' AS d, 0 AS e, '' AS line FROM heads
+              UNION ALL SELECT 'report', decade, 1, 0, '', '', 0, 'Decade ' || decade || '0' || chr(9) || 'Total in decade was ' || printf('%.4f', total) FROM heads
+              UNION ALL SELECT 'report', decade, 2, 0, '', '', 0, chr(9) || chr(9) || 'W1' || chr(9) || chr(9) || 'W2' || chr(9) || chr(9) || 'npmi'
+                               || chr(9) || chr(9) || 'pmi' || chr(9) FROM heads
+              UNION ALL SELECT 'report', decade, 3, -round(npmi, 6), w1, w2, 0, chr(9) || chr(9) || w1 || chr(9) || chr(9) || w2 || chr(9) || chr(9)
+                               || printf('%.4f', npmi) || chr(9) || chr(9) || printf('%.4f', pmi) || chr(9) FROM found
+              UNION ALL SELECT 'summaries', job_id, 0, coalesce(seq, -1), '', '', 0, line FROM summary
+              UNION ALL SELECT 'gallery', job_id, 1, seq, '', '', 0, '<a href="' || item || '"><img src="http://thumbs/' || thumb
+                               || '" width="50" height="50"></a>' FROM summary WHERE item IS NOT NULL
+              UNION ALL SELECT 'gallery', job_id, s, 0, '', '', i, l
+                        FROM (SELECT DISTINCT job_id FROM summary), (VALUES (0, 0, '<HTML>'), (0, 1, '<HEAD>'), (0, 2, '</HEAD>'),
+                             (0, 3, '<BODY>'), (2, 0, '</BODY>'), (2, 1, '</HTML>')) v(s, i, l))
+            SELECT report, key, row_number() OVER (PARTITION BY report, key ORDER BY a, b, c, d, e) AS line_no, line FROM rows""",
+        "decoded_thumbnails": f"""WITH b AS MATERIALIZED (
+              SELECT page_id, hex(encode(html)) AS x, greatest(1, CAST(ceil(strlen(html) / {3 * d.BITMAP_WIDTH}.0) AS BIGINT)) AS h,
+                     {d.BITMAP_WIDTH} AS w FROM pages WHERE NOT contains(url, '?')),
+            s AS MATERIALIZED (
+              SELECT *, greatest(1, CAST(floor(h * 16 / greatest(h, w) + 0.5) AS BIGINT)) AS th,
+                     greatest(1, CAST(floor(w * 16 / greatest(h, w) + 0.5) AS BIGINT)) AS tw FROM b),
+            px AS (
+              SELECT page_id, h, w, th, tw, i // (3 * w) AS y, i % (3 * w) // 3 AS x, i % 3 AS c,
+                     CASE WHEN 2 * i < length(s.x) THEN CAST('0x' || substr(s.x, CAST(2 * i + 1 AS BIGINT), 2) AS INTEGER) ELSE 0 END AS v
+              FROM s, generate_series(0, 3 * w * h - 1) g(i)),
+            spread AS (
+              SELECT page_id, h, w, ty, tx, c,
+                     v * (least((y + 1) * th, (ty + 1) * h) - greatest(y * th, ty * h))
+                       * (least((x + 1) * tw, (tx + 1) * w) - greatest(x * tw, tx * w)) AS part
+              FROM (SELECT *, unnest(generate_series(y * th // h, ((y + 1) * th - 1) // h)) AS ty FROM px) a,
+                   LATERAL (SELECT unnest(generate_series(x * tw // w, ((x + 1) * tw - 1) // w)) AS tx)),
+            small AS (
+              SELECT page_id, ty, tx, c, CAST(sum(part) AS BIGINT) // (h * w) AS q, CAST(sum(part) AS BIGINT) % (h * w) AS r, h * w AS n
+              FROM spread GROUP BY page_id, h, w, ty, tx, c),
+            done AS (
+              SELECT page_id, md5(unhex(string_agg(printf('%02x', q + CASE WHEN 2 * r > n OR (2 * r = n AND q % 2 = 1) THEN 1 ELSE 0 END), ''
+                                                   ORDER BY ty, tx, c))) AS pixels
+              FROM small GROUP BY page_id)
+            SELECT 'p' || page_id || '.bmp' AS file, 'ok' AS status, NULL AS error, th AS height, tw AS width, 3 AS "nChannels", pixels
+            FROM s JOIN done USING (page_id)
+            UNION ALL SELECT 'p' || page_id || '.bmp', 'error', 'not an image', NULL, NULL, NULL, NULL FROM pages WHERE contains(url, '?')""",
         "terminate_stream": f"""WITH {_MESSAGES},
             stops AS (SELECT to_id, min(ts) AS stop FROM messages
                       WHERE type = 'terminate' AND ts >= TIMESTAMP '{d.STOP_FROM}' GROUP BY ALL),

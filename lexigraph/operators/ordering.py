@@ -37,14 +37,14 @@ def number_rows(
         sorted_rows.withColumn(PLACE, F.monotonically_increasing_id()), scratch_dir(spark, "ordered")
     )
     part = F.shiftright(PLACE, PART_BITS)
-    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = placed.groupBy(part.alias("_part_no")).agg(F.count(F.lit(1)).alias("_n"))
     # as many rows as partitions, whatever the number of rows
-    earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_part_no").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.select("_part_no", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     numbered = (
-        placed.withColumn("_part", part).join(F.broadcast(sums), "_part")
-        .withColumn(name, F.col("_before") + F.col(PLACE) - F.shiftleft("_part", PART_BITS) + 1)
-        .drop("_part", "_before", PLACE)
+        placed.withColumn("_part_no", part).join(F.broadcast(sums), "_part_no")
+        .withColumn(name, F.col("_before") + F.col(PLACE) - F.shiftleft("_part_no", PART_BITS) + 1)
+        .drop("_part_no", "_before", PLACE)
     )
     if not per and total is None:
         return numbered

@@ -37,6 +37,9 @@ RETRY = "retry"
 
 COPY_CHUNK = 4096
 
+# Milliseconds are summed up to a billionth.
+EXACT_MS = "decimal(28,9)"
+
 
 # ---- messages --------------------------------------------------------------------------
 
@@ -297,17 +300,19 @@ def gallery_html(summary: DataFrame, thumb_base: str) -> DataFrame:
 
 # ---- workers ---------------------------------------------------------------------------
 
-def worker_stats(work: DataFrame) -> DataFrame:
+def worker_stats(work: DataFrame, exact: bool = False) -> DataFrame:
     """Counts and times per worker. ``avg_ms`` is the time of successful items over the
-    number of all items, ``avg_ok_ms`` over the successful ones."""
+    number of all items, ``avg_ok_ms`` over the successful ones. ``exact`` sums times as decimals, so
+    that the last digits depend neither on partitions nor on micro-batches."""
     ok = F.col("status") == OK
+    ms = F.col("ms").cast(EXACT_MS) if exact else F.col("ms")
     start = F.col("start_ts").cast("timestamp")
     end = F.timestamp_micros(F.unix_micros(start) + (F.col("ms") * 1000).cast("bigint"))
     sums = work.groupBy("worker").agg(
         F.count(F.lit(1)).alias("processed"),
         F.count_if(ok).alias("ok"),
         F.count_if(~ok).alias("failed"),
-        F.coalesce(F.sum(F.when(ok, F.col("ms"))), F.lit(0.0)).alias("_ms"),
+        F.coalesce(F.sum(F.when(ok, ms)), F.lit(0)).cast("double").alias("_ms"),
         F.min(start).alias("start_ts"),
         F.max(end).alias("end_ts"),
     )

@@ -53,15 +53,24 @@ def clear_scratch(spark: SparkSession) -> int:
 
     Call it when nothing that reads them is needed any more.
     """
-    jvm = spark._jvm
     n = 0
     while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        n += bool(files.delete(path, True))
+        n += delete_path(spark, _SCRATCH.pop())
     return n
 
 
+def delete_path(spark: SparkSession, name: str) -> bool:
+    """Delete a file or folder, and return whether there was one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+
+
+def jvm_class(spark: SparkSession, name: str):
+    """A class of the JVM, for Hadoop's input and output formats."""
+    lang = spark._jvm.java.lang
+    return lang.Class.forName(name, True, lang.Thread.currentThread().getContextClassLoader())
+
+
 def widen(scan: DataFrame, key: str) -> DataFrame:
     """Spread a scan over all cores by ``key`` if it has fewer input splits than cores.
 

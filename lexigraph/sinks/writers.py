@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text
+from ..session import jvm_class, scratch_dir
 
 FAIL = "errorifexists"
 
@@ -20,15 +21,20 @@ def write_key_value(df: DataFrame, path: str, keys: int = 1, mode: str = FAIL) -
 
 
 def write_sequence_lines(lines: DataFrame, path: str) -> None:
-    """Lines of ``value`` as sequence files of (offset, line), the offset being 0."""
-    # The only file format without a DataFrame writer, hence the RDD.
-    pairs = lines.select("value").rdd.map(lambda row: (0, row[0]))
-    pairs.saveAsNewAPIHadoopFile(
-        path,
-        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
-        "org.apache.hadoop.io.IntWritable",
-        "org.apache.hadoop.io.Text",
-    )
+    """Lines of ``value`` as sequence files of (offset, line).
+
+    The only file format without a DataFrame writer: the JVM copies a text of the lines, without a
+    row in Python.
+    """
+    spark = lines.sparkSession
+    copy = scratch_dir(spark, "text-lines")
+    lines.select("value").write.text(copy)
+    jsc = spark.sparkContext._jsc
+    offset, line, source, target = (jvm_class(spark, f"org.apache.hadoop.{name}") for name in (
+        "io.LongWritable", "io.Text", "mapreduce.lib.input.TextInputFormat", "mapreduce.lib.output.SequenceFileOutputFormat",
+    ))
+    pairs = jsc.newAPIHadoopFile(copy, source, offset, line, jsc.hadoopConfiguration())
+    pairs.saveAsNewAPIHadoopFile(path, offset, line, target)
 
 
 def write_pairs(pairs: DataFrame, path: str, mode: str = FAIL) -> None:

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text
+from ..operators.ordering import number_rows
+from ..session import jvm_class, scratch_dir
 
 MESSAGE_SCHEMA = (
     "msg_id string, seq bigint, ts timestamp, from_id string, to_id string, "
@@ -19,11 +21,40 @@ def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_sequence_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Values of sequence files of (offset, line); the offset is not used."""
+    """Values of sequence files of any key, each a line of text.
+
+    The only file format without a DataFrame reader. The JVM writes the values as text in the
+    scratch folder, which is then scanned like any text; no row passes through Python. A value
+    that holds line ends is as many lines.
+    """
     paths = [path] if isinstance(path, str) else path
-    # The only file format without a DataFrame reader, hence the RDD.
-    lines = spark.sparkContext.sequenceFile(",".join(paths)).map(lambda kv: (kv[1],))
-    return spark.createDataFrame(lines, "value string", verifySchema=False)
+    context = spark.sparkContext
+    text_class = jvm_class(spark, "org.apache.hadoop.io.Text")
+    pairs = context._jsc.newAPIHadoopFile(
+        ",".join(paths),
+        jvm_class(spark, "org.apache.hadoop.mapreduce.lib.input.SequenceFileAsTextInputFormat"),
+        text_class, text_class, context._jsc.hadoopConfiguration(),
+    )
+    copy = scratch_dir(spark, "sequence-text")
+    pairs.values().saveAsTextFile(copy)
+    return spark.read.option("lineSep", "\n").text(copy)
+
+
+def read_ordered_lines(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(key, line_no, line) of what ``sinks.writers.write_ordered_lines`` has written.
+
+    Part files are in order of their number, blocks of a file in order of their offset, and lines of
+    a block as they are read, so lines get the numbers, from 1, that they had when written.
+    """
+    lines = spark.read.schema(f"value string, `{key}` string").option("lineSep", "\n").text(path)
+    file = F.col("_metadata.file_path")
+    placed = lines.select(
+        key, F.col("value").alias("line"), F.regexp_extract(file, r"part-(\d+)[^/]*$", 1).cast("int").alias("_file_no"),
+        file.alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    numbered = number_rows(placed, ["_file_no", "_file", "_start", "_row"], "line_no", [key])
+    return numbered.select(key, "line_no", "line")
 
 
 def read_lines(spark: SparkSession, path: str | list[str], fmt: str = "text") -> DataFrame:

@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators import tracking as ops
+from ..session import delete_path
 from .manager import ENDED_SCHEMA, end_jobs
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Micro-batches between two merges of what they have written.
+COMPACT_EVERY = 20
+
+# What stands before the first batch.
+NOTHING = -1
+
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 OUTCOME_SCHEMA = "job_id string, seq bigint, outcome string, item string, thumb string"
 
@@ -148,7 +155,7 @@ def dedupe_stream(messages: DataFrame, keep: str = "180 seconds") -> DataFrame:
 
 def running_worker_stats(work: DataFrame) -> DataFrame:
     """Statistics per worker so far, for ``write_updates``."""
-    return ops.worker_stats(work)
+    return ops.worker_stats(work, exact=True)
 
 
 def write_routed(processed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -163,13 +170,24 @@ def write_routed(processed: DataFrame, path: str, checkpoint: str) -> StreamingQ
     )
 
 
-def write_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_updates(
+    df: DataFrame, path: str, checkpoint: str, key: str | None = None, every: int = COMPACT_EVERY
+) -> StreamingQuery:
     """Write the rows of a streaming aggregate that a micro-batch has changed.
 
-    Every batch has its own folder, and a batch that is run again overwrites it.
+    Every batch has its own folder, and a batch that is run again overwrites it. With ``key``, the
+    last rows of all batches are merged after each ``every`` batches into one table. A merged
+    table counts once its mark is written, so a merge that was cut off is as if never begun and
+    made again with its batch. Batches and tables that an earlier mark has superseded are deleted.
     """
+    spark = df.sparkSession
+    for name in (f"batches/batch={NOTHING}", f"merged/upto={NOTHING}", f"marks/upto={NOTHING}"):
+        spark.createDataFrame([], df.schema).write.mode("ignore").parquet(f"{path}/{name}")
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batches/batch={batch_id}")
+        if key is not None and (batch_id + 1) % every == 0:
+            _compact(batch.sparkSession, path, key, batch_id)
 
     return (
         df.writeStream.foreachBatch(sink)
@@ -180,12 +198,43 @@ def write_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _marks(spark: SparkSession, path: str) -> list[int]:
+    """The batches up to which there are merged tables, as many as have not been deleted."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/marks")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    done = [f for f in (x.getPath().getName() for x in found) if f.startswith("upto=")]
+    return sorted(int(f.removeprefix("upto=")) for f in done)
+
+
+def _compact(spark: SparkSession, path: str, key: str, batch_id: int) -> None:
+    earlier = [m for m in _marks(spark, path) if m < batch_id]
+    base = max(earlier)
+    rows = _merged_rows(spark, path, key, base, batch_id)
+    rows.write.mode("overwrite").parquet(f"{path}/merged/upto={batch_id}")
+    spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{path}/marks/upto={batch_id}")
+    # one table is left for those who have begun to read it
+    for mark in earlier[:-1]:
+        for name in ("marks", "merged"):
+            delete_path(spark, f"{path}/{name}/upto={mark}")
+    for batch in range(max([NOTHING, *earlier[:-1]]) + 1, base + 1):
+        if batch != NOTHING:
+            delete_path(spark, f"{path}/batches/batch={batch}")
+
+
+def _merged_rows(spark: SparkSession, path: str, key: str, upto: int, last: int | None = None) -> DataFrame:
+    merged = spark.read.parquet(f"{path}/merged/upto={upto}")
+    later = spark.read.parquet(f"{path}/batches").where(F.col("batch") > upto)
+    if last is not None:
+        later = later.where(F.col("batch") <= last)
+    rows = later.unionByName(merged.withColumn("batch", F.lit(upto)))
+    rest = [c for c in merged.columns if c != key]
+    found = rows.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
+    return found.select(key, "_row.*")
+
+
 def read_merged(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The last row written for each ``key``."""
-    rows = spark.read.parquet(path)
-    rest = [c for c in rows.columns if c not in (key, "batch")]
-    last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
-    return last.select(key, "_row.*")
+    """The last row written for each ``key``: the merged table and the batches after it."""
+    return _merged_rows(spark, path, key, max(_marks(spark, path)))
 
 
 # ---- completion ------------------------------------------------------------------------

@@ -63,3 +63,30 @@ def test_pixels_against_brute_force(h, w):
             for b in range(w) if share(x, w, tw, b) > 0
         )
         assert np.abs(small[y, x].astype(float) - mean).max() <= 0.5 + 1e-6
+
+
+def test_ratios_that_are_not_whole_round_exactly():
+    """Weights as fractions: every pixel is the exact mean, halves go to the even neighbour."""
+    from fractions import Fraction
+
+    rng = np.random.default_rng(2)
+    for h, w, box in ((34, 30, 16), (7, 5, 3), (5, 9, 4), (2, 3, 5)):
+        image = rng.integers(0, 256, (h, w, 2)).astype(np.uint8)
+        small = imaging.resample(image, box)
+        th, tw, _ = small.shape
+        for ty in range(th):
+            for tx in range(tw):
+                for c in range(2):
+                    total = Fraction(0)
+                    for y in range(h):
+                        oy = min(Fraction(y + 1), Fraction((ty + 1) * h, th)) - max(Fraction(y), Fraction(ty * h, th))
+                        for x in range(w):
+                            ox = min(Fraction(x + 1), Fraction((tx + 1) * w, tw)) - max(Fraction(x), Fraction(tx * w, tw))
+                            if oy > 0 and ox > 0:
+                                total += oy * ox * int(image[y, x, c])
+                    assert small[ty, tx, c] == round(total * Fraction(th * tw, h * w))
+
+
+def test_overlaps_are_the_area_weights():
+    for size, target in ((7, 3), (3, 7), (16, 4), (5, 5)):
+        assert np.allclose(imaging.overlaps(size, target) / size, imaging.area_weights(size, target))

@@ -156,3 +156,48 @@ def test_messages_round_trip(spark, tmp_path, rows):
     stream = readers.read_message_stream(spark, str(tmp_path / "q"))
     writers.send_message_stream(stream, str(tmp_path / "q2"), str(tmp_path / "cp")).awaitTermination()
     assert rows(readers.read_messages(spark, str(tmp_path / "q2")), *sent.columns) == rows(sent)
+
+
+def test_lines_keep_their_numbers_over_files(spark, tmp_path, rows):
+    """A key that spans many part files, with empty lines, and files of several blocks."""
+    lines = spark.range(4000).select(
+        F.when(F.col("id") % 4 == 0, "small").otherwise("large").alias("key"),
+        (F.col("id") * 7919 % 4000).alias("at"),
+    ).withColumn("line", F.when(F.col("at") % 10 == 0, "").otherwise(F.concat(F.lit("line "), F.col("at").cast("string"))))
+    expected = []
+    for key in ("large", "small"):
+        found = sorted((r["at"], r.line) for r in lines.where(F.col("key") == key).collect())
+        expected += [(key, i + 1, line) for i, (_, line) in enumerate(found)]
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    try:
+        spark.conf.set(coalesce, "false")
+        writers.write_ordered_lines(lines, str(tmp_path / "out"), "key", "line", ["at"])
+        assert len(list((tmp_path / "out").glob("key=large/part*"))) > 1
+        for c in before:
+            spark.conf.set(c, "2000")
+        got = rows(readers.read_ordered_lines(spark, str(tmp_path / "out"), "key"))
+    finally:
+        spark.conf.unset(coalesce)
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert got == sorted(expected, key=repr)
+
+
+def test_sequence_files_pass_no_row_through_python(spark, tmp_path, rows):
+    lines = spark.createDataFrame([("a b\tc",), ("",), ("é",), ("ends with\r",)], "value string")
+    writers.write_sequence_lines(lines, str(tmp_path / "s"))
+    assert next((tmp_path / "s").glob("part-*")).read_bytes().startswith(b"SEQ\x06\x21org.apache.hadoop.io.LongWritable")
+    found = readers.read_sequence_lines(spark, str(tmp_path / "s"))
+    assert rows(found) == rows(lines.replace("ends with\r", "ends with"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan
+
+
+def test_written_times_keep_their_microseconds(spark, tmp_path):
+    sent = spark.createDataFrame([("m", 1, "2024-01-02 03:04:05.678901", None, None, None, None, None)],
+                                 readers.MESSAGE_SCHEMA.replace("timestamp", "string"))
+    sent = sent.withColumn("ts", F.col("ts").cast("timestamp"))
+    writers.send_messages(sent, str(tmp_path / "m"))
+    back = spark.read.schema(readers.MESSAGE_SCHEMA).json(str(tmp_path / "m"))
+    assert back.select(F.unix_micros("ts")).first()[0] == sent.select(F.unix_micros("ts")).first()[0]

@@ -102,3 +102,38 @@ def test_running_worker_statistics(spark, tmp_path, rows):
     ).awaitTermination()
     batch = ops.worker_stats(spark.read.parquet(str(tmp_path / "in")))
     assert rows(stream.read_merged(spark, str(tmp_path / "out"), "worker"), *batch.columns) == rows(batch)
+
+
+def test_updates_are_merged_every_few_batches(spark, tmp_path, rows):
+    """Merged tables take the place of batches; a batch that is run again, and a merge that was cut
+    off, change nothing."""
+    schema = "worker string, seq bigint, url string, start_ts timestamp, ms double, status string, error string"
+
+    def arrive(k):
+        data = [(f"w{i % 3}", 10 * k + i, "u", T0, 0.1 * i, "ok" if i else "error", None) for i in range(k + 1)]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        work = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        stream.write_updates(
+            stream.running_worker_stats(work), str(tmp_path / "out"), str(tmp_path / "cp"), key="worker", every=2
+        ).awaitTermination()
+
+    for k in range(5):
+        arrive(k)
+    run()
+    arrive(5)
+    run()
+    batch = ops.worker_stats(spark.read.parquet(str(tmp_path / "in")), exact=True)
+    merged = stream.read_merged(spark, str(tmp_path / "out"), "worker")
+    assert rows(merged, *batch.columns) == rows(batch)
+    assert stream._marks(spark, str(tmp_path / "out")) == [3, 5]
+    assert sorted(p.name for p in (tmp_path / "out" / "batches").glob("batch=*")) == ["batch=-1", "batch=4", "batch=5"]
+    # cut off before the mark and the commit: the batch and its merge are made again
+    for log in ("5", ".5.crc"):
+        (tmp_path / "cp" / "commits" / log).unlink(missing_ok=True)
+    (tmp_path / "out" / "marks" / "upto=5").rename(tmp_path / "gone")
+    assert rows(stream.read_merged(spark, str(tmp_path / "out"), "worker"), *batch.columns) == rows(batch)
+    run()
+    assert stream._marks(spark, str(tmp_path / "out")) == [3, 5]
+    assert rows(stream.read_merged(spark, str(tmp_path / "out"), "worker"), *batch.columns) == rows(batch)
