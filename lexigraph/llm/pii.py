@@ -1,9 +1,11 @@
 """Personal data: fixed forms, and forms that their contexts give away.
 
 Mentions of four kinds are found by fixed patterns (the base). The words around them make lexical
-patterns: the two words before a mention, and the word before with the word after. Other tokens
+patterns of graded generality: the two words before a mention, the word before with the word after,
+and the name of a field (``name:`` or ``name =``) that a mention is the value of. Other tokens
 that look like identifiers (with a digit or an at sign) and stand in the same contexts are
-candidates. Patterns and instances form a graph on which Spark passes confidence to and fro: a
+candidates, but for those that have the form of a kind and fail its test, such as a card number with a
+wrong check digit: they are known not to be any. Patterns and instances form a graph on which Spark passes confidence to and fro: a
 pattern's is the mean of its instances', an unseen instance's the noisy-or of its patterns'. Patterns
 that end with high confidence and enough different seeds mark their candidates as personal data.
 
@@ -16,6 +18,7 @@ candidate, the most confident wins, in the order of KINDS among equals.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -40,6 +43,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARKER = re.compile(r"[0-9@]")
 _EDGE = "\"'`.,;:!?()[]{}<>|*&%$#="
 _BLANK = re.compile(r"[\x20\x09-\x0D]")
+_NEXT = re.compile(rf"[^\x20\x09-\x0D{re.escape(_EDGE)}][^\x20\x09-\x0D]*+")
+_QUOTES_AND_BLANKS = frozenset("\"'` \t\n\v\f\r([{<")
+LONGEST_KEY = 64
 _FOUND = (
     "doc_id bigint, key bigint, base string, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
     "spans array<struct<kind: string, start: int, end: int, instance: string, contexts: array<string>>>"
@@ -117,7 +123,8 @@ def _candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[i
             i += 1
         free = i == len(taken) or taken[i][0] >= right
         if free and right - left >= MIN_CHARS and _MARKER.search(text, left, right):
-            yield left, right
+            if not _has_known_form(text[left:right]):
+                yield left, right
 
 
 def _word_before(text: str, at: int) -> tuple[str, int]:
@@ -130,19 +137,46 @@ def _word_before(text: str, at: int) -> tuple[str, int]:
     return text[start:end].strip(_EDGE).lower(), start
 
 
+def _field(text: str, start: int) -> str:
+    """The name of the field whose value starts here, with its mark, or nothing."""
+    at = start
+    while at and text[at - 1] in _QUOTES_AND_BLANKS:
+        at -= 1
+    if not at or text[at - 1] not in ":=":
+        return ""
+    name, _ = _word_before(text, at - 1)
+    return f"{_key(name)}{text[at - 1]}" if name else ""
+
+
+def _key(word: str) -> str:
+    """A word, or the digest of a long one, so that unlike words stay unlike."""
+    return word if len(word) <= LONGEST_KEY else hashlib.sha256(word.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def _contexts(text: str, start: int, end: int) -> list[str]:
     one, at = _word_before(text, start)
     two, _ = _word_before(text, at)
-    rest = text[end : end + 200].lstrip(_EDGE).split(maxsplit=1)
+    rest = _NEXT.search(text, end)
     after = rest[0].strip(_EDGE).lower() if rest else ""
+    field = _field(text, start)
     found = []
     if one and two:
-        found.append(f"{two[:50]} {one[:50]} _")
+        found.append(f"{_key(two)} {_key(one)} _")
     if one and after:
-        found.append(f"{one[:50]} _ {after[:50]}")
+        found.append(f"{_key(one)} _ {_key(after)}")
+    if field:
+        found.append(f"{field} _")
     return found
 
 
+def _has_known_form(text: str) -> bool:
+    """A whole token with the form of an ip, card or phone: no candidate, as the base has judged it."""
+    digits = len(_digits(text))
+    return bool(
+        _IP.fullmatch(text) or (16 <= digits <= 19 and _CARD.fullmatch(text)) or (8 <= digits <= 15 and _PHONE.fullmatch(text))
+    )
+
+
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
