@@ -37,15 +37,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     ``spark.checkpoint.dir`` is set by the cluster and must be reachable from every
     executor. Only a local session may fall back to a temporary folder of the machine.
     """
+    path = lasting_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.append(path)
+    return path
+
+
+_LOCAL_BASE: list[str] = []
+
+
+def lasting_dir(spark: SparkSession, name: str) -> str:
+    """The same path at every call, below the shared folder, for what later runs are to find."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lexigraph-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _SCRATCH.append(path)
-    return path
+        if not _LOCAL_BASE:
+            _LOCAL_BASE.append(tempfile.mkdtemp(prefix="lexigraph-"))
+            atexit.register(shutil.rmtree, _LOCAL_BASE[0], ignore_errors=True)
+        base = _LOCAL_BASE[0]
+    return f"{base.rstrip('/')}/{name}"
 
 
 def clear_scratch(spark: SparkSession) -> int:
