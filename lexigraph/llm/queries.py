@@ -14,7 +14,6 @@ from lexigraph.llm import (
     sentencepiece_codec, spelling, token_counts, toxicity,
 )
 from lexigraph.llm.common import doc_remainder, read_table, sha256_hex
-from lexigraph.session import scratch_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -38,7 +37,8 @@ def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER), scratch_dir(spark, "token-cache"))
+    path = public_tokenizers.path(TOKENIZER)
+    return token_counts.count_tokens(docs, path, token_counts.cache_folder(spark, path))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,9 +20,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexigraph.llm.common import written
+from lexigraph.session import lasting_dir
 
 LIMIT = 1024
 TEXTS_AT_ONCE = 256
@@ -40,6 +41,12 @@ def tokenizer_version(definition: str) -> str:
     return hashlib.sha256(f"{tokenizers.__version__}\n{definition}".encode()).hexdigest()
 
 
+def cache_folder(spark: SparkSession, tokenizer_path: str) -> str:
+    """A tokenizer version's cache in the shared folder, the same at every run."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        return lasting_dir(spark, f"token-cache-{tokenizer_version(f.read())}")
+
+
 class Counter:
     """Counts of whole texts, each distinct unit of which is encoded once.
 
@@ -93,7 +100,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, limit: int =
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()
     version = tokenizer_version(definition)
-    spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache)
+    spark.createDataFrame([], CACHE_SCHEMA).write.mode("ignore").parquet(cache)
 
     def stored() -> DataFrame:
         own = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("version") == version)
@@ -120,6 +127,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, limit: int =
             counts = counter.counts(batch["content"].tolist())
             yield pd.DataFrame({"version": version, "digest": batch["digest"], "n_tokens": counts})
 
-    texts.mapInPandas(encode, CACHE_SCHEMA).distinct().write.mode("append").parquet(cache)
+    if not missing.isEmpty():
+        texts.mapInPandas(encode, CACHE_SCHEMA).distinct().write.mode("append").parquet(cache)
     rows = marked.join(stored(), "digest", "left")
     return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
