@@ -15,12 +15,15 @@ vocabulary; they stand in parts of about PART classes, and a chunk gets those of
    its own vocabulary.
 2. Vocabularies are counted by Spark over all chunks and joined back: nothing that grows with the
    corpus is broadcast or collected. A chunk then meets its tokens' counts and classes.
-3. Each round of Baum-Welch runs the scaled forward and backward recursions over the chunks. The
-   expected counts of own classes are summed part by part, and the emissions sent back to the chunks
-   that asked; the driver gets the sums of moves and SHARED classes. All ROUNDS go over all training
-   documents, at every size.
+3. Coded chunks are written in buckets and stay where they are; only weights and counts move. Each
+   round of Baum-Welch runs the scaled forward and backward recursions over the chunks. The expected
+   counts of own classes are summed by part and slice of about FAN chunks, then FAN slices at a time,
+   and the emissions go back to the chunks slice by slice, so no group grows with the corpus. The
+   driver gets the sums of moves and SHARED classes. All ROUNDS go over all training documents, at
+   every size. Shuffle files are freed with each query.
 4. The scaled forward recursion scores each text exactly. A text longer than SEGMENT tokens is cut
-   into segments that start in every state at once, and joined by matrix products.
+   into segments that start in every state at once, and joined by matrix products. Segments are
+   held in memory AT_ONCE tokens at a time, so a text of any length takes the same.
 
 Defined cases: a NULL or empty text is its end alone. A document with a NULL id is held out. Rows
 that repeat a doc_id are scored one by one. Without training tokens all counts are 0.
@@ -28,10 +31,10 @@ that repeat a doc_id are scored one by one. Without training tokens all counts a
 
 from __future__ import annotations
 
-import gc
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -39,18 +42,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexigraph.llm.common import doc_remainder, written
-from lexigraph.session import scratch_dir
+from lexigraph.session import delete_path, scratch_dir
 
 STATES = 8
 #: Training tokens from which on a word is a class of its own.
 OWN_FROM = 5
 #: Own classes of a part, about.
 PART = 20_000
+#: Chunks, about, whose counts of a part are summed in one group.
+FAN = 64
 SHARED = 2_048
-CHUNK = 2_500_000
-#: Tokens whose states are held in memory at once, of whole texts.
-AT_ONCE = 1_000_000
-SEGMENT = 1_024
+CHUNK = 4_000_000
+#: Tokens whose states are held in memory at once, about.
+AT_ONCE = 500_000
+SEGMENT = 2_048
+MOST_BUCKETS = 10_000
 ROUNDS = 10
 SMOOTHING = 0.1
 #: Tokens' worth of class frequencies that each state's emissions are smoothed with.
@@ -59,14 +65,16 @@ SEED = 20
 FOLDS = 10
 
 END = b"\n"  # no word holds a line end
+_SPREAD = 0x9E3779B97F4A7C15  # 2^64 over the golden ratio, odd: spreads numbers evenly
 
 _DOCS = "chunk bigint, docs array<bigint>, named array<boolean>, held array<boolean>, sizes array<int>, "
 _CHUNKS = _DOCS + "tokens binary, words array<string>, counts array<bigint>"
 _CODED = (
     _DOCS + "classes binary, known array<bigint>, base array<double>, inside array<double>, "
-    "parts array<int>, asks array<binary>"
+    "parts array<int>, asks array<binary>, slice bigint"
 )
-_COUNTED = "part int, chunk bigint, ask binary, n binary, rest array<double>"
+_COUNTED = "part int, slice bigint, chunk bigint, ask binary, n binary"
+_SUMMED = "part int, slice bigint, n binary"
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
@@ -182,7 +190,7 @@ def classed_tokens(counts: DataFrame, own: int, shared: int) -> Classes:
     )
 
 
-def _code(total: int, kinds: int, mass: np.ndarray, shared: int):  # noqa: ANN202
+def _code(total: int, kinds: int, mass: np.ndarray, shared: int, slices: int):  # noqa: ANN202
     """Chunks with their tokens' counts to chunks of classes with the scores that need no model.
     Own classes follow the shared ones, numbered by part and place among those of the chunk."""
     def run(chunks: pd.DataFrame, tokens: pd.DataFrame) -> pd.DataFrame:
@@ -207,6 +215,7 @@ def _code(total: int, kinds: int, mass: np.ndarray, shared: int):  # noqa: ANN20
             "classes": [_planes(kind[ids])],
             "known": [sums[0]], "base": [sums[1]], "inside": [sums[2]],
             "parts": [part[order][cuts].astype("int32")], "asks": [asks],
+            "slice": [(int(row["chunk"]) * _SPREAD % (1 << 64) >> 32) % slices],
         })
 
     return run
@@ -220,10 +229,6 @@ class Parameters:
     move: np.ndarray  # (states, states)
     emit: np.ndarray  # (classes, states)
 
-    @cached_property
-    def by_state(self) -> np.ndarray:
-        return np.ascontiguousarray(self.emit.T)
-
 
 def first_moves(states: int) -> tuple[np.ndarray, np.ndarray]:
     """Any state first, then sticky moves."""
@@ -238,43 +243,68 @@ def _tilted(shares: np.ndarray, states: int, part: int) -> np.ndarray:
 
 
 class _Lanes:
-    """Segments of texts side by side, longest first: at step t the first ``alive[t]`` go on."""
+    """Segments side by side, longest first: at step t the first ``alive[t]`` go on. ``flat`` has their
+    classes step by step, ``seen`` a row per state with what it emits there, gathered once."""
 
-    def __init__(self, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
-        self.order = np.argsort(-lengths, kind="stable")
-        long, at = lengths[self.order], starts[self.order]
-        steps = np.arange(int(long[0]))
-        self.alive = np.searchsorted(-long, -steps, side="left")
+    def __init__(self, p: Parameters, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        steps = np.arange(int(lengths[0]))
+        self.alive = np.searchsorted(-lengths, -steps, side="left")
         self.offset = np.r_[0, np.cumsum(self.alive)]
-        # classes step by step
         self.flat = np.empty(self.offset[-1], dtype=np.int64)
         for t, n in enumerate(self.alive):
-            self.flat[self.offset[t] : self.offset[t + 1]] = classes[at[:n] + t]
+            self.flat[self.offset[t] : self.offset[t + 1]] = classes[starts[:n] + t]
+        self.seen = np.ascontiguousarray(p.emit.take(self.flat, axis=0).T)
 
 
 def _forward(p: Parameters, x: _Lanes, entry: np.ndarray, keep: bool = False):  # noqa: ANN202
     """The scaled forward recursion from ``entry``, the states' weights before a segment's first
-    emission: log likelihood and last weights of each lane; with ``keep`` also those of each step.
-    Arrays have a row per state, so that every operation runs along the lanes."""
+    emission: log likelihood and last weights of each lane; with ``keep`` also the weights of each step,
+    and the scales. Arrays have a row per state, so that every operation runs along the lanes."""
     states, lanes = entry.shape
-    log, last = np.zeros(lanes), entry.copy()
-    alphas = np.empty((states, len(x.flat))) if keep else None
-    scales = np.empty(len(x.flat)) if keep else None
+    last = np.empty_like(entry)
+    alphas = np.empty_like(x.seen) if keep else None
+    scales = np.empty(len(x.flat))
     alpha, onward = entry, np.ascontiguousarray(p.move.T)
+    ends = np.r_[x.alive[1:], 0]
     for t, n in enumerate(x.alive):
         here = slice(x.offset[t], x.offset[t + 1])
-        seen = p.by_state.take(x.flat[here], axis=1)
-        seen *= alpha if t == 0 else onward @ alpha[:, :n]
-        alpha = seen
-        scale = alpha.sum(axis=0)
-        alpha /= scale
-        log[:n] += np.log(scale)
-        last[:, :n] = alpha
-        if keep:
-            alphas[:, here], scales[here] = alpha, scale
+        now = alphas[:, here] if keep else np.empty((states, n))
+        if t:
+            np.matmul(onward, alpha[:, :n], out=now)
+            now *= x.seen[:, here]
+        else:
+            np.multiply(entry, x.seen[:, here], out=now)
+        np.add.reduce(now, axis=0, out=scales[here])
+        now /= scales[here]
+        if ends[t] < n:
+            last[:, ends[t] : n] = now[:, ends[t] :]
+        alpha = now
+    logs, log = np.log(scales), np.zeros(lanes)
+    for t, n in enumerate(x.alive):
+        log[:n] += logs[x.offset[t] : x.offset[t + 1]]
     return log, last, alphas, scales
 
 
+def _backward(p: Parameters, x: _Lanes, leave: np.ndarray, last: np.ndarray, alphas: np.ndarray, scales: np.ndarray):  # noqa: ANN202
+    """Expected moves inside the lanes, and for each lane the weights of its first emission with all that
+    follows. ``alphas`` become the states' probabilities, and ``x.seen`` is used up. With the scales of the
+    forward recursion both recursions' products sum to 1 at every step, if they do at the last."""
+    beta = leave / np.einsum("ij,ij->j", last, leave)
+    share = 1 / scales
+    moves = np.zeros_like(p.move)
+    for t in range(len(x.alive) - 1, -1, -1):
+        here, n = slice(x.offset[t], x.offset[t + 1]), x.alive[t]
+        after = beta[:, :n]
+        alphas[:, here] *= after
+        back = x.seen[:, here]
+        back *= after
+        back *= share[here]
+        if t:
+            moves += alphas[:, x.offset[t - 1] : x.offset[t - 1] + n] @ back.T
+            np.matmul(p.move, back, out=after)
+    return p.move * moves, x.seen[:, : x.alive[0]]
+
+
 def _segments(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, length and text of all segments of at most ``most`` tokens."""
     pieces = -(-sizes // most)
@@ -284,6 +314,14 @@ def _segments(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.
     return offset[text] + number * most, np.minimum(most, sizes[text] - number * most), text
 
 
+def _groups(lengths: np.ndarray) -> list[np.ndarray]:
+    """Segments of like length, about AT_ONCE tokens a group, each group longest first. Groups bound the
+    memory of a text of any length."""
+    order = np.argsort(-lengths, kind="stable")
+    before = np.cumsum(lengths[order]) - lengths[order]
+    return np.split(order, np.flatnonzero(np.diff(before // AT_ONCE)) + 1)
+
+
 def _borders(p: Parameters, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, text: np.ndarray):  # noqa: ANN202
     """For each segment (a column) the states' weights before its first emission, and those of what
     follows its last token, just as the recursions over the whole text give them."""
@@ -295,12 +333,13 @@ def _borders(p: Parameters, classes: np.ndarray, starts: np.ndarray, lengths: np
         return entry, leave
     through = np.empty((len(many), states, states))  # entered in, left in
     logs = np.empty((len(many), states))
-    x = _Lanes(classes, starts[many], lengths[many])
-    for s in range(states):
-        one = np.zeros((states, len(many)))
-        one[s] = 1.0
-        log, last, _, _ = _forward(p, x, one)
-        logs[x.order, s], through[x.order, s] = log, last.T
+    for lanes in _groups(lengths[many]):
+        x = _Lanes(p, classes, starts[many[lanes]], lengths[many[lanes]])
+        for s in range(states):
+            one = np.zeros((states, len(lanes)))
+            one[s] = 1.0
+            log, last, _, _ = _forward(p, x, one)
+            logs[lanes, s], through[lanes, s] = log, last.T
     through *= np.exp(logs - logs.max(axis=1, keepdims=True))[:, :, None]
     own = text[many]
     for i in range(1, len(many)):
@@ -320,70 +359,45 @@ def log_likelihoods(p: Parameters, classes: np.ndarray, sizes: np.ndarray, most:
     if len(sizes):
         starts, lengths, text = _segments(sizes, most)
         entry, _ = _borders(p, classes, starts, lengths, text)
-        x = _Lanes(classes, starts, lengths)
-        np.add.at(out, text[x.order], _forward(p, x, entry[:, x.order])[0])
+        log = np.empty(len(starts))
+        for lanes in _groups(lengths):
+            x = _Lanes(p, classes, starts[lanes], lengths[lanes])
+            log[lanes] = _forward(p, x, entry[:, lanes])[0]
+        np.add.at(out, text, log)
     return out
 
 
 def expected_counts(p: Parameters, classes: np.ndarray, sizes: np.ndarray, most: int = SEGMENT):  # noqa: ANN202
     """Counts of first states, moves and emissions expected under ``p``, and the log likelihood."""
     states = len(p.start)
-    start, move = np.zeros(states), np.zeros((states, states))
+    start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((states, len(p.emit)))
     if not len(sizes):
-        return start, move, np.zeros_like(p.emit), 0.0
+        return start, move, emit.T, 0.0
     starts, lengths, text = _segments(sizes, most)
     entry, leave = _borders(p, classes, starts, lengths, text)
-    x = _Lanes(classes, starts, lengths)
-    log, last, gammas, scales = _forward(p, x, entry[:, x.order], keep=True)
-    beta = leave[:, x.order]  # of a lane that has not begun: what follows its end
-    for t in range(len(x.alive) - 1, -1, -1):
-        here, n = slice(x.offset[t], x.offset[t + 1]), x.alive[t]
-        gamma = gammas[:, here]
-        gamma *= beta[:, :n]
-        gamma /= gamma.sum(axis=0)
-        back = p.by_state.take(x.flat[here], axis=1)
-        back *= beta[:, :n]
-        if t:
-            before = gammas[:, x.offset[t - 1] : x.offset[t - 1] + n]
-            moved = p.move @ back
-            back /= np.einsum("ij,ij->j", before, moved)
-            move += p.move * (before @ back.T)
-            np.divide(moved, scales[here], out=beta[:, :n])
-    first = np.r_[True, text[1:] != text[:-1]][x.order]
-    start += gammas[:, : x.alive[0]][:, first].sum(axis=1)
+    first = np.r_[True, text[1:] != text[:-1]]
+    ends, onto, total = np.empty_like(entry), np.empty_like(entry), 0.0
+    for lanes in _groups(lengths):
+        x = _Lanes(p, classes, starts[lanes], lengths[lanes])
+        log, last, gammas, scales = _forward(p, x, entry[:, lanes], keep=True)
+        inside, begun = _backward(p, x, leave[:, lanes], last, gammas, scales)
+        total += float(log.sum())
+        move += inside
+        start += gammas[:, : len(lanes)][:, first[lanes]].sum(axis=1)
+        ends[:, lanes], onto[:, lanes] = last, begun
+        for s in range(states):
+            emit[s] += np.bincount(x.flat, weights=gammas[s], minlength=len(p.emit))
     inner = np.flatnonzero(~first)
     if len(inner):  # moves from the end of one segment to the next
-        ends = np.empty_like(last)
-        ends[:, x.order] = last
-        before, onto = ends[:, x.order[inner] - 1], back[:, inner]
-        move += p.move * (before @ (onto / np.einsum("ij,ij->j", before, p.move @ onto)).T)
-    emit = np.stack([np.bincount(x.flat, weights=gammas[s], minlength=len(p.emit)) for s in range(states)], axis=1)
-    return start, move, emit, float(log.sum())
+        before, after = ends[:, inner - 1], onto[:, inner]
+        move += p.move * (before @ (after / np.einsum("ij,ij->j", before, p.move @ after)).T)
+    return start, move, emit.T, total
 
 
 def _of(row: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return _from_planes(row["classes"]), np.asarray(row["sizes"], dtype=np.int64)
 
 
-def _batches(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Classes and sizes of whole texts, about AT_ONCE tokens at a time."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    total = 0
-    for classes, sizes in chunks:
-        ends = np.cumsum(sizes)
-        part = ends // AT_ONCE
-        cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(sizes)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a < b:
-                held.append((classes[ends[a] - sizes[a] : ends[b - 1]], sizes[a:b]))
-                total += len(held[-1][0])
-            if total >= AT_ONCE // 2:
-                yield np.concatenate([c for c, _ in held]), np.concatenate([n for _, n in held])
-                held, total = [], 0
-    if held:
-        yield np.concatenate([c for c, _ in held]), np.concatenate([n for _, n in held])
-
-
 @dataclass
 class Model:
     """What every task needs: ``common``, the emissions of shared classes; ``norm``, the sums over all
@@ -401,77 +415,140 @@ class Model:
         return Parameters(self.start, self.move, np.vstack([self.common, *(x / self.norm for x in own)]))
 
 
-def _sent(counted: DataFrame, parts: DataFrame, total: float, states: int, first: bool) -> DataFrame:
-    """(chunk, part, w): the weights of own classes, from the counts of all chunks, back to each."""
-    def serve(counts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        shares = (np.asarray(part["c"].iloc[0], dtype=np.float64) + SMOOTHING) / total
-        number = int(part["part"].iloc[0])
-        asks = [np.frombuffer(x, "<i4") for x in counts["ask"]]
-        if first:
-            weights = _tilted(shares, states, number)
-        else:
-            weights = np.repeat(PRIOR * shares[:, None], states, axis=1)
-            # in order of the chunks, so that sums come out the same
-            for i in np.argsort(counts["chunk"].to_numpy(), kind="stable"):
-                weights[asks[i]] += np.frombuffer(counts["n"].iloc[i], "<f4").reshape(-1, states)
+def _sent(coded: DataFrame, weights: DataFrame, slices: int, states: int) -> DataFrame:
+    """(chunk, part, w): the weights of own classes to the chunks that ask. A group has one part and the
+    chunks of one slice, however many chunks there are."""
+    asked = coded.select("slice", "chunk", F.explode(F.arrays_zip("parts", "asks")).alias("a")).select(
+        F.col("a.parts").alias("part"), "slice", "chunk", F.col("a.asks").alias("ask")
+    )
+    spread = weights.select("part", "w", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<bigint>")).alias("slice"))
+
+    def serve(asks: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        w = np.frombuffer(part["w"].iloc[0], "<f4").reshape(-1, states)
         return pd.DataFrame({
-            "chunk": counts["chunk"], "part": np.full(len(asks), number, dtype="int32"),
-            "w": [weights[a].astype("<f4").tobytes() for a in asks],
+            "chunk": asks["chunk"].astype("int64"), "part": asks["part"].astype("int32"),
+            "w": [w[np.frombuffer(a, "<i4")].tobytes() for a in asks["ask"]],
         })
 
     return (
-        counted.where(F.col("part") >= 0).select("part", "chunk", "ask", "n").groupBy("part")
-        .cogroup(parts.groupBy("part")).applyInPandas(serve, "chunk bigint, part int, w binary")
+        asked.groupBy("part", "slice").cogroup(spread.groupBy("part", "slice"))
+        .applyInPandas(serve, "chunk bigint, part int, w binary")
     )
 
 
-def _discard(spark: SparkSession, *paths: str) -> None:
-    """Delete scratch tables that nothing reads any more; the shuffle files of plans that are gone go
-    with the driver's garbage."""
-    for path in paths:
-        there = spark._jvm.org.apache.hadoop.fs.Path(path)
-        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
-    gc.collect()
-    spark._jvm.System.gc()
+def _add_chunks(states: int):  # noqa: ANN202
+    """Counts of a part in the chunks of a slice to their sum, as far as the last class that they have.
+    Part -1 has the counts that every chunk has."""
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("chunk", kind="stable")  # so that sums come out the same
+        if (part := int(rows["part"].iloc[0])) < 0:
+            total = np.sum([np.frombuffer(n, "<f8") for n in rows["n"]], axis=0)
+        else:
+            asks = [np.frombuffer(a, "<i4") for a in rows["ask"]]
+            total = np.zeros((max(int(a.max()) for a in asks) + 1, states))
+            for ask, n in zip(asks, rows["n"]):
+                total[ask] += np.frombuffer(n, "<f4").reshape(-1, states)
+        return pd.DataFrame({
+            "part": np.array([part], dtype="int32"), "slice": [int(rows["slice"].iloc[0])], "n": [total.tobytes()]
+        })
+
+    return add
+
+
+def _add_slices(rows: pd.DataFrame) -> pd.DataFrame:
+    """Sums of several slices to one; a slice's sum may end before another's."""
+    found = [np.frombuffer(n, "<f8") for _, n in sorted(zip(rows["below"], rows["n"]))]
+    total = np.zeros(max(map(len, found)))
+    for n in found:
+        total[: len(n)] += n
+    return pd.DataFrame({
+        "part": rows["part"].iloc[:1].astype("int32"), "slice": rows["slice"].iloc[:1], "n": [total.tobytes()]
+    })
+
+
+def _whole(sums: DataFrame, slices: int) -> DataFrame:
+    """Sums over all slices, FAN at a time, as many levels as it takes."""
+    while slices > 1:
+        slices = -(-slices // FAN)
+        above = sums.select("part", F.floor(F.col("slice") / FAN).alias("slice"), F.col("slice").alias("below"), "n")
+        sums = written(above.groupBy("part", "slice").applyInPandas(_add_slices, _SUMMED), "lm-sums")
+    return sums
 
 
-def _round(coded: DataFrame, sent: DataFrame, model: Model, path: str):  # noqa: ANN202
+def _weights(parts: DataFrame, sums: DataFrame | None, total: float, states: int) -> DataFrame:
+    """(part, w): the weights of a part's classes, from the sums of all chunks or, without, the first ones."""
+    first = sums is None
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part, c, n in zip(batch["part"], batch["c"], batch["n"]):
+                shares = (np.asarray(c, dtype=np.float64) + SMOOTHING) / total
+                if first:
+                    w = _tilted(shares, states, int(part))
+                else:
+                    w = np.repeat(PRIOR * shares[:, None], states, axis=1)
+                    if n is not None:
+                        seen = np.frombuffer(n, "<f8").reshape(-1, states)
+                        w[: len(seen)] += seen
+                yield pd.DataFrame({"part": np.array([part], dtype="int32"), "w": [w.astype("<f4").tobytes()]})
+
+    if first:
+        rows = parts.withColumn("n", F.lit(None).cast("binary"))
+    else:
+        rows = parts.join(sums.where(F.col("part") >= 0).select("part", "n"), "part", "left")
+    return written(rows.mapInPandas(weigh, "part int, w binary"), "lm-weights")
+
+
+def _discard(df: DataFrame) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        delete_path(df.sparkSession, path)
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the query that wrote them; every query here writes a table or returns a row."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _round(coded: DataFrame, weights: DataFrame, model: Model, slices: int):  # noqa: ANN202
     """One expectation step over the training documents: counts of first states, moves and shared
-    classes, and the log likelihood. The counts of own classes are written to ``path``."""
-    spark = coded.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    classes, the log likelihood, and the table of the sums of own classes."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
     states, common = len(model.start), len(model.common)
 
     def count(chunks: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         row, q = chunks.iloc[0], shared.value.of(own)
         (classes, sizes), keep = _of(row), ~np.asarray(row["held"], dtype=bool)
-        start, move, emit, log = np.zeros(states), np.zeros((states, states)), np.zeros_like(q.emit), 0.0
-        for part in _batches([(classes[np.repeat(keep, sizes)], sizes[keep])]):
-            got = expected_counts(q, *part)
-            start, move, emit, log = start + got[0], move + got[1], emit + got[2], log + got[3]
+        start, move, emit, log = expected_counts(q, classes[np.repeat(keep, sizes)], sizes[keep])
         ends = common + np.cumsum([len(a) // 4 for a in row["asks"]]).astype(int)
         each = np.split(emit[common:].astype("<f4"), ends[:-1] - common) if len(ends) else []
         rest = np.concatenate([start, move.ravel(), emit[:common].ravel(), [log]])
         return pd.DataFrame({
-            "part": [*row["parts"], -1], "chunk": row["chunk"], "ask": [*row["asks"], None],
-            "n": [*(x.tobytes() for x in each), None], "rest": [*[None] * len(each), rest],
+            "part": [*row["parts"], -1], "slice": int(row["slice"]), "chunk": int(row["chunk"]),
+            "ask": [*row["asks"], None], "n": [*(x.tobytes() for x in each), rest.tobytes()],
         })
 
-    (
-        coded.select("chunk", "held", "sizes", "classes", "parts", "asks").groupBy("chunk")
-        .cogroup(sent.groupBy("chunk")).applyInPandas(count, _COUNTED).write.option("compression", "zstd").parquet(path)
+    counted = (
+        coded.select("slice", "chunk", "held", "sizes", "classes", "parts", "asks").groupBy("chunk")
+        .cogroup(_sent(coded, weights, slices, states).groupBy("chunk")).applyInPandas(count, _COUNTED)
     )
-    counted = spark.read.schema(_COUNTED).parquet(path)
-    rest = np.zeros(states + states * states + common * states + 1)
-    sums = counted.where(F.col("part") < 0).select(F.posexplode("rest")).groupBy("pos").agg(F.sum("col").alias("n")).toPandas()
-    rest[sums["pos"].to_numpy(dtype=int)] = sums["n"].to_numpy()
+    summed = counted.groupBy("part", "slice").applyInPandas(_add_chunks(states), _SUMMED)
+    sums = _whole(written(summed, "lm-sums"), slices)
+    row = sums.where(F.col("part") < 0).select("n").first()
+    rest = np.frombuffer(row["n"], "<f8") if row else np.zeros(states + states * states + common * states + 1)
     start, move, emit, log = np.split(rest, np.cumsum([states, states * states, common * states]))
-    return start, move.reshape(states, states), emit.reshape(common, states), float(log[0]), counted
+    return start, move.reshape(states, states), emit.reshape(common, states), float(log[0]), sums
 
 
-def train(coded: DataFrame, classes: Classes, states: int = STATES) -> tuple[Model, DataFrame]:
-    """Rounds of Baum-Welch: the model and the weights of own classes for each chunk."""
-    spark = coded.sparkSession
+def train(coded: DataFrame, classes: Classes, slices: int, states: int = STATES) -> tuple[Model, DataFrame]:
+    """Rounds of Baum-Welch: the model and the table of weights of own classes."""
     n_taught = classes.parts.select(F.explode("c").alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     total = float(n_taught + classes.tokens.sum() + SMOOTHING * (classes.n_own + len(classes.tokens)))
     shares = (classes.tokens + SMOOTHING) / total
@@ -486,23 +563,31 @@ def train(coded: DataFrame, classes: Classes, states: int = STATES) -> tuple[Mod
     for s, n in classes.parts.mapInPandas(summed, "s int, n double").groupBy("s").agg(F.sum("n")).collect():
         norm[s] += n
     model = Model(*first_moves(states), common / norm, norm)
-    asked = coded.select("chunk", F.explode(F.arrays_zip("parts", "asks")).alias("a")).select(
-        F.col("a.parts").alias("part"), "chunk", F.col("a.asks").alias("ask"), F.lit(None).cast("binary").alias("n")
-    )
-    sent, old = _sent(asked, classes.parts, total, states, True), None
+    weights = _weights(classes.parts, None, total, states)
     for _ in range(ROUNDS):
-        path = scratch_dir(spark, "lm-round")
-        start, move, emit, _, counted = _round(coded, sent, model, path)
+        start, move, emit, _, sums = _round(coded, weights, model, slices)
         # each state's expected tokens: those it starts with and those it is moved to
         norm = start + move.sum(axis=0) + PRIOR
         start, move = start + SMOOTHING, move + SMOOTHING
         model = Model(
             start / start.sum(), move / move.sum(axis=1, keepdims=True), (emit + PRIOR * shares[:, None]) / norm, norm
         )
-        sent = _sent(counted, classes.parts, total, states, False)
-        _discard(spark, *([old] if old else []))
-        old = path
-    return model, sent
+        old, weights = weights, _weights(classes.parts, sums, total, states)
+        _discard(old)
+        _discard(sums)
+    return model, weights
+
+
+def _by_chunk(df: DataFrame, buckets: int) -> DataFrame:
+    """``df`` written in buckets by chunk, so that rounds read the chunks where they lie. The name in the
+    catalog is only needed to read the table once; its files are those of a scratch folder."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "lm-coded")
+    name = f"lm_coded_{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, "chunk").saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # noqa: B018 - resolved before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def score_documents(docs: DataFrame, states: int = STATES, own: int = OWN_FROM, shared: int = SHARED) -> DataFrame:
@@ -512,29 +597,29 @@ def score_documents(docs: DataFrame, states: int = STATES, own: int = OWN_FROM,
         F.col("doc_id").cast("bigint"), (doc_remainder(F.col("doc_id"), FOLDS) == 0).alias("held"), "text"
     )
     spark = docs.sparkSession
-    cut = scratch_dir(spark, "lm-chunks")
-    texts.mapInPandas(_cut, _CHUNKS).write.option("compression", "zstd").parquet(cut)
-    chunks = spark.read.schema(_CHUNKS).parquet(cut)
-    vocabulary = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w")).select(
-        "chunk", "number", F.col("w.words").alias("word"), F.col("w.counts").alias("n")
-    )
-    counts = written(vocabulary.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
-    size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    classes = classed_tokens(counts, max(1, own), shared)
-    found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(classes.words, "word").drop("word")
-    coded = written(
-        chunks.drop("words", "counts").groupBy("chunk").cogroup(found.groupBy("own"))
-        .applyInPandas(_code(size.n, size.v, classes.mass, shared), _CODED),
-        "lm-coded",
-    )
-    del vocabulary, found
-    _discard(spark, cut)
-    found, sent = train(coded, classes, states)
+    with _shuffles_freed(spark):
+        chunks = written(texts.mapInPandas(_cut, _CHUNKS), "lm-chunks")
+        n_chunks = max(1, chunks.count())
+        slices = -(-n_chunks // FAN)
+        vocabulary = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w")).select(
+            "chunk", "number", F.col("w.words").alias("word"), F.col("w.counts").alias("n")
+        )
+        counts = written(vocabulary.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
+        size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+        classes = classed_tokens(counts, max(1, own), shared)
+        found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(classes.words, "word").drop("word")
+        coded = _by_chunk(
+            chunks.drop("words", "counts").groupBy("chunk").cogroup(found.groupBy("own"))
+            .applyInPandas(_code(size.n, size.v, classes.mass, shared, slices), _CODED),
+            min(MOST_BUCKETS, 2 * n_chunks),
+        )
+        _discard(chunks)
+        found, weights = train(coded, classes, slices, states)
     model = spark.sparkContext.broadcast(found)
 
     def score(chunks: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         row, q = chunks.iloc[0], model.value.of(own)
-        logs = np.concatenate([log_likelihoods(q, *part) for part in _batches([_of(row)])]) / np.log(10)
+        logs = log_likelihoods(q, *_of(row)) / np.log(10)
         ids = pd.array(row["docs"], dtype="Int64")
         ids[~np.asarray(row["named"], dtype=bool)] = pd.NA
         return pd.DataFrame({
@@ -542,5 +627,6 @@ def score_documents(docs: DataFrame, states: int = STATES, own: int = OWN_FROM,
             "base_score": row["base"], "score": logs + row["inside"],
         })
 
-    scored = coded.drop("parts", "asks").groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInPandas(score, _SCORED)
+    sent = _sent(coded, weights, slices, states).groupBy("chunk")
+    scored = coded.drop("parts", "asks", "slice").groupBy("chunk").cogroup(sent).applyInPandas(score, _SCORED)
     return scored.withColumn("train_tokens", F.lit(size.n).cast("bigint"))

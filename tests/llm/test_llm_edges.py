@@ -456,3 +456,48 @@ def test_pipeline_stages(spark, tmp_path):
                 docs = spark.read.schema(out.schema).parquet(path)
             else:
                 assert out.count() == docs.count()
+
+
+def test_language_model_sums_many_chunks_in_small_groups(spark, monkeypatch):
+    monkeypatch.setattr(hmm_lm, "FAN", 4)
+    monkeypatch.setattr(hmm_lm, "ROUNDS", 2)
+    groups, plain = [], hmm_lm._whole
+    counted = spark.sparkContext.accumulator(0)
+
+    def whole(sums, slices):
+        groups.append(slices)
+        got = plain(sums, slices)
+        counted.add(got.select("part").distinct().count() - got.count())
+        return got
+
+    monkeypatch.setattr(hmm_lm, "_whole", whole)
+    rng = np.random.default_rng(8)
+    texts = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 19) if x < 40)) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = hmm_lm.score_documents(docs.repartition(60), states=3, own=2, shared=4).toPandas().set_index("doc_id")
+    assert groups[0] == 15 and counted.value == 0  # a chunk a partition; after the levels, one row a part
+    one = hmm_lm.score_documents(docs.coalesce(1), states=3, own=2, shared=4).toPandas().set_index("doc_id")
+    assert groups[-1] == 1
+    assert np.allclose(got.score.sort_index(), one.score.sort_index(), rtol=1e-5)
+
+
+def test_language_model_cuts_the_memory_of_one_long_text(monkeypatch):
+    rng = np.random.default_rng(2)
+    k, c = 3, 9
+    p = hmm_lm.Parameters(
+        rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), size=k), rng.dirichlet(np.ones(c), size=k).T
+    )
+    classes, sizes = rng.integers(0, c, 5_000), np.array([4_700, 300])
+    want = hmm_lm.expected_counts(p, classes, sizes, 10_000)
+    held = []
+    plain = hmm_lm._Lanes.__init__
+
+    def counted(self, *args):
+        plain(self, *args)
+        held.append(len(self.flat))
+
+    monkeypatch.setattr(hmm_lm._Lanes, "__init__", counted)
+    monkeypatch.setattr(hmm_lm, "AT_ONCE", 200)
+    got = hmm_lm.expected_counts(p, classes, sizes, 50)
+    assert max(held) <= 250
+    assert all(np.allclose(x, y) for x, y in zip(got, want))
