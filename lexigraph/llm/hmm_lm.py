@@ -52,9 +52,9 @@ PART = 20_000
 #: Chunks, about, whose counts of a part are summed in one group.
 FAN = 64
 SHARED = 2_048
-CHUNK = 4_000_000
+CHUNK = 3_000_000
 #: Tokens whose states are held in memory at once, about.
-AT_ONCE = 500_000
+AT_ONCE = 250_000
 SEGMENT = 2_048
 MOST_BUCKETS = 10_000
 ROUNDS = 10
@@ -412,7 +412,13 @@ class Model:
         """Parameters for a chunk with the own classes' weights that were sent to it."""
         states = len(self.start)
         own = [np.frombuffer(x, "<f4").reshape(-1, states) for x in sent.sort_values("part")["w"]]
-        return Parameters(self.start, self.move, np.vstack([self.common, *(x / self.norm for x in own)]))
+        emit = np.empty((len(self.common) + sum(map(len, own)), states))  # filled in place: no second copy
+        emit[: len(self.common)] = self.common
+        at = len(self.common)
+        for w in own:
+            np.divide(w, self.norm, out=emit[at : at + len(w)])
+            at += len(w)
+        return Parameters(self.start, self.move, emit)
 
 
 def _sent(coded: DataFrame, weights: DataFrame, slices: int, states: int) -> DataFrame:
@@ -526,7 +532,9 @@ def _round(coded: DataFrame, weights: DataFrame, model: Model, slices: int):  #
     def count(chunks: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         row, q = chunks.iloc[0], shared.value.of(own)
         (classes, sizes), keep = _of(row), ~np.asarray(row["held"], dtype=bool)
-        start, move, emit, log = expected_counts(q, classes[np.repeat(keep, sizes)], sizes[keep])
+        classes, sizes = classes[np.repeat(keep, sizes)], sizes[keep]
+        start, move, emit, log = expected_counts(q, classes, sizes)
+        del q, classes  # before the counts are copied out
         ends = common + np.cumsum([len(a) // 4 for a in row["asks"]]).astype(int)
         each = np.split(emit[common:].astype("<f4"), ends[:-1] - common) if len(ends) else []
         rest = np.concatenate([start, move.ravel(), emit[:common].ravel(), [log]])
