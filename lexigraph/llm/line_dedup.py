@@ -2,11 +2,13 @@
 
 A document is its lines (cut at ``\\n``); lines without a word are never counted or removed.
 Of each shortest run of lines that holds MIN_WORDS words the line with the smallest hash is the
-run's fingerprint, so all copies of a repeated run of MIN_WORDS words or more share one. Runs
-whose fingerprint stands more than once are joined by content; all but the first in order of
-(doc_id, text hash, line) are repeats. Matches are extended both ways by the shortest runs that
-end, as well as those that start, at each line: together they cover a repeated stretch of any
-length exactly, without a pair of its copies being listed.
+run's fingerprint, so all copies of a repeated run of MIN_WORDS words or more share one. Only these
+minima are written, each with its place and the lines about it that a run with this fingerprint
+can reach. Places are joined by fingerprint; those that stand alone go. From each place that is left
+the match is extended both ways to all shortest runs with this fingerprint, which are joined by
+content; all but the first in order of (doc_id, text hash, line) are repeats. The runs that end, as
+well as those that start, at each line cover a repeated stretch of any length exactly, without a pair
+of its copies being listed.
 
 Defined cases: a NULL text stays NULL, an empty one empty. Rows equal in doc_id and text are one
 document: both keep or lose the same lines. A NULL doc_id sorts first. A run that repeats within
@@ -85,56 +87,89 @@ def _spans(sums: Column, n: Column, min_words: int) -> Column:
     return F.array_distinct(F.concat(F.filter(forth, lambda r: r.e <= n), F.filter(back, lambda r: r.s >= 1)))
 
 
-def _runs(lines: Column, min_words: int) -> Column:
-    """Runs of lines: first line ``s``, place ``p`` of the fingerprint ``mark``, content hashes
-    and the lines' places in the document."""
-    def cut(hashes: Column, others: Column, at: Column, spans: Column) -> Column:
+def _first_least(hashes: Column, r: Column) -> Column:
+    """Place of the first of the smallest hashes of a run."""
+    own = F.slice(hashes, r.s, r.e - r.s + 1)
+    return (r.s + F.array_position(own, F.array_min(own)) - 1).cast("int")
+
+
+def _reach(sums: Column, n: Column, p: Column, min_words: int) -> tuple[Column, Column]:
+    """First and last line that a shortest run over line ``p`` can have."""
+    before = F.slice(sums, F.greatest(p - min_words, F.lit(0)) + 1, F.least(p, F.lit(min_words)))
+    fewer = F.size(F.filter(before, lambda x: x > F.get(sums, p - 1) - min_words))
+    more = F.size(F.filter(F.slice(sums, p + 1, min_words), lambda x: x < F.get(sums, p) + min_words))
+    return F.greatest(p - fewer, F.lit(1)), F.least(p + more, n)
+
+
+def _fingerprints(lines: Column, min_words: int) -> Column:
+    """The window minima: hash ``mark``, place ``p``, and the lines ``near`` from place ``lo`` on that
+    runs with this fingerprint can reach."""
+    def about(l: Column, sums: Column, p: Column, hashes: Column) -> Column:
+        lo, hi = _reach(sums, F.size(l), p, min_words)
+        return F.struct(
+            F.get(hashes, p - 1).alias("mark"), p.alias("p"), lo.alias("lo"), F.slice(l, lo, hi - lo + 1).alias("near")
+        )
+
+    return let(lines, lambda l: let(F.transform(l, lambda x: x.h), lambda h: let(
+        _running(F.transform(l, lambda x: x.c.cast("bigint"))), lambda sums: F.transform(
+            F.array_distinct(F.transform(_spans(sums, F.size(l), min_words), lambda r: _first_least(h, r))),
+            lambda p: about(l, sums, p, h),
+        ))))
+
+
+def _extended(near: Column, at: Column, min_words: int) -> Column:
+    """The shortest runs of the lines ``near`` whose fingerprint is line ``at`` of them: first line
+    ``s``, content hashes and the lines' places in the document."""
+    def cut(l: Column, hashes: Column, spans: Column) -> Column:
         def run(r: Column) -> Column:
-            n_lines = r.e - r.s + 1
-            own = F.slice(hashes, r.s, n_lines)
+            own = F.slice(l, r.s, r.e - r.s + 1)
             return F.struct(
-                r.s.alias("s"), F.array_min(own).alias("mark"),
-                (r.s + F.array_position(own, F.array_min(own))).alias("p"),
-                F.xxhash64(own).alias("k1"), F.xxhash64(F.slice(others, r.s, n_lines)).alias("k2"),
-                F.slice(at, r.s, n_lines).alias("places"),
+                r.s.alias("s"), F.xxhash64(F.transform(own, lambda x: x.h)).alias("k1"),
+                F.xxhash64(F.transform(own, lambda x: x.g)).alias("k2"),
+                F.transform(own, lambda x: x.i).alias("places"),
             )
 
-        return F.transform(spans, run)
+        over = F.filter(spans, lambda r: (r.s <= at) & (r.e >= at))
+        return F.transform(F.filter(over, lambda r: _first_least(hashes, r) == at), run)
 
-    return let(lines, lambda l: let(F.transform(l, lambda x: x.h), lambda h: let(
-        F.transform(l, lambda x: x.g), lambda g: let(
-            F.transform(l, lambda x: x.i), lambda at: let(
-                _running(F.transform(l, lambda x: x.c.cast("bigint"))), lambda sums: let(
-                    _spans(sums, F.size(l), min_words), lambda spans: cut(h, g, at, spans)
-                ))))))
+    return let(F.transform(near, lambda x: x.h), lambda h: let(
+        _running(F.transform(near, lambda x: x.c.cast("bigint"))),
+        lambda sums: cut(near, h, _spans(sums, F.size(near), min_words)),
+    ))
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, key, gone: the places (from 0) of the lines that repeat an earlier run."""
-    runs = docs.select(
+    minima = docs.select(
         "doc_id", text_key(F.col("text")).alias("key"),
-        F.explode(_runs(_filled_lines(F.col("text")), min_words)).alias("r"),
+        F.explode(_fingerprints(_filled_lines(F.col("text")), min_words)).alias("f"),
     )
-    runs = written(runs.select("doc_id", "key", "r.*"), "line-runs")
+    minima = written(minima.select("doc_id", "key", "f.*"), "line-fingerprints")
     # A mark that stands in one place only belongs to no repeated run. What is grouped by a key
     # is written before it is joined on that key, so that a hot key's partition can be split.
     line = F.struct("doc_id", "key", "p")
     marks = written(
-        runs.groupBy("mark")
+        minima.groupBy("mark")
         .agg(F.min(line).alias("a"), F.max(line).alias("b"))
         .where(~F.col("a").eqNullSafe(F.col("b"))).select("mark"),
         "line-marks",
     )
     # what is joined here grows with the corpus, so it is merged at every size
-    shared = runs.join(marks.hint("merge"), "mark", "left_semi")
+    joined = minima.join(marks.hint("merge"), "mark", "left_semi")
+    runs = joined.select(
+        "doc_id", "key", "lo", F.explode(_extended(F.col("near"), F.col("p") - F.col("lo") + 1, min_words)).alias("r")
+    )
+    runs = written(
+        runs.select("doc_id", "key", (F.col("lo") + F.col("r.s") - 1).alias("s"), "r.k1", "r.k2", "r.places"), "line-runs"
+    )
     here = F.struct("doc_id", "key", "s")
     first = written(
-        shared.groupBy("k1", "k2")
+        runs.groupBy("k1", "k2")
         .agg(F.min(here).alias("first"), F.max(here).alias("last"))
         .where(~F.col("first").eqNullSafe(F.col("last"))).select("k1", "k2", "first"),
         "first-runs",
     )
-    later = shared.join(first.hint("merge"), ["k1", "k2"]).where(~here.eqNullSafe(F.col("first")))
+    later = runs.join(first.hint("merge"), ["k1", "k2"]).where(~here.eqNullSafe(F.col("first")))
     return (
         later.select("doc_id", "key", F.explode("places").alias("i")).distinct()
         .groupBy("doc_id", "key").agg(F.collect_list("i").alias("gone"))
