@@ -4,9 +4,10 @@ Each word that the training texts know votes with its log frequency in every lan
 of all languages. An unseen word votes by its character n-grams of the longest length of which one
 is known, weighted less the shorter they are. Votes are added up over the whole text.
 
-Fitting takes at most about SAMPLE labelled documents of each language, chosen by a hash of the id;
-VOCABULARY words and GRAMS n-grams at most are kept, the most frequent first. The model's size is
-bound by these, so it is broadcast. Texts that are to be predicted are read whole.
+Fitting takes at most about SAMPLE labelled documents and SAMPLE_CHARS characters of each language,
+chosen by a hash of the id. All words and n-grams that stand LEAST times in a language's sample are
+known, whatever their rank or number. The sample bounds the model's size, so it is broadcast. Texts
+that are to be predicted are read whole.
 
 Defined cases: a text that is NULL, empty or has no letter is ``und`` with score 0. Ties go to the
 language that sorts first. Documents without a language teach nothing; without any labelled
@@ -27,8 +28,9 @@ from pyspark.sql import DataFrame, functions as F
 from lexigraph.llm.common import add_results, doc_remainder, written
 
 SAMPLE = 4_000
-VOCABULARY = 200_000
-GRAMS = 200_000
+SAMPLE_CHARS = 32_000_000
+#: Times that a word or n-gram must stand in a language's sample to be known there.
+LEAST = 2
 LONGEST = 4
 SMOOTHING = 0.5
 #: Weight of a vote by n-grams of 4, 3, 2, 1 characters.
@@ -91,13 +93,15 @@ def _votes(counts: pd.DataFrame, langs: list[str], totals: dict[str, float]) ->
     return row, share
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY, grams: int = GRAMS) -> Model:
+def fit(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS, least: int = LEAST) -> Model:
     """Learns from the text and lang of documents whose crc32(doc_id) mod 4 is not 2."""
     taught = docs.where(F.col("lang").isNotNull() & (doc_remainder(F.col("doc_id"), 4) != 2))
-    sizes = taught.groupBy("lang").count().withColumn("share", F.lit(float(sample)) / F.col("count"))
+    chars = F.greatest(F.coalesce(F.sum(F.char_length("text")), F.lit(0)), F.lit(1))
+    share = F.least(F.lit(float(sample)) / F.count(F.lit(1)), F.lit(float(sample_chars)) / chars)
+    sizes = taught.groupBy("lang").agg(share.alias("share"))
     drawn = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     bounded = (
-        taught.select("doc_id", "text", "lang").join(F.broadcast(sizes.select("lang", "share")), "lang")
+        taught.select("doc_id", "text", "lang").join(F.broadcast(sizes), "lang")
         .where(drawn < F.col("share")).select("text", "lang")
     )
     words = written(
@@ -108,18 +112,17 @@ def fit(docs: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY, gra
     )
     langs = sorted(r.lang for r in words.select("lang").distinct().collect())
 
-    def most(counts: DataFrame, limit: int) -> pd.DataFrame:
-        seen = counts.where(F.col("n") > 1)
-        return written(seen.orderBy(F.desc("n"), "gram", "lang").limit(limit), "most-frequent").toPandas()
+    def known_ones(counts: DataFrame) -> pd.DataFrame:
+        return counts.where(F.col("n") >= least).toPandas()
 
     def totals(counts: DataFrame) -> dict[str, float]:
         return {r.lang: float(r.n) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
 
-    known, votes = _votes(most(words, vocabulary), langs, totals(words))
+    known, votes = _votes(known_ones(words), langs, totals(words))
     # n-grams of one length share a total, so lengths are normalised apart
     tables = []
     rows: dict[str, int] = {}
-    kept = most(parts, grams)
+    kept = known_ones(parts)
     for k in range(1, LONGEST + 1):
         of_length = parts.where(F.char_length("gram") == k)
         row, share = _votes(kept[kept["gram"].str.len() == k], langs, totals(of_length))

@@ -2,6 +2,8 @@
 columns with clashing names."""
 
 import hashlib
+import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -403,6 +405,30 @@ def test_line_dedup_equals_brute_force(spark, monkeypatch, seed):
     assert {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, 10).collect()} == whole_runs_gone(texts, 10)
 
 
+def test_only_window_minima_are_fingerprints(spark):
+    lines = [" ".join(f"l{i}w{j}" for j in range(5)) for i in range(200)]
+    docs = spark.createDataFrame([(1, "\n".join(lines))], "doc_id bigint, text string")
+    made = line_dedup._fingerprints(line_dedup._filled_lines(F.col("text")), 50)
+    got = docs.select(F.inline(made)).collect()
+    hashes = [r.h for r in docs.select(F.explode(F.split("text", "\n")).alias("t")).select(F.xxhash64("t").alias("h")).collect()]
+    windows = [hashes[i : i + 10] for i in range(191)]
+    assert {r.p - 1 for r in got} == {i + w.index(min(w)) for i, w in enumerate(windows)}
+    assert len(got) < 80 and all(r.mark == hashes[r.p - 1] for r in got)
+
+
+def test_line_dedup_finds_parts_of_shared_runs(spark):
+    """Runs that start and end anywhere, in documents whose other lines differ."""
+    rng = np.random.default_rng(3)
+    shared = [" ".join(f"s{i}w{j}" for j in range(rng.integers(1, 30))) for i in range(30)]
+    texts = {}
+    for d in range(80):
+        a, b = sorted(rng.integers(0, 31, 2))
+        own = [f"own{d}x{i} " * int(rng.integers(1, 4)) for i in range(4)]
+        texts[d] = "\n".join([*own[:2], *shared[a:b], *own[2:]])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()} == whole_runs_gone(texts, 50)
+
+
 def test_language(spark):
     docs = documents(spark)
     model = language_id.fit(docs)
@@ -425,6 +451,61 @@ def test_words_back_off_to_shorter_grams(spark):
     assert not voters.backoff("###").any()
 
 
+def plain_language(rows, text, least=2):
+    """The vote by counting alone."""
+    langs = sorted({lang for _, lang in rows})
+
+    def shares(counted):  # log shares of the languages, of all that one language has often enough
+        total = {x: sum(n for (lang, _), n in counted.items() if lang == x) for x in langs}
+        often = {key: n for key, n in counted.items() if n >= least}
+        kinds = {g for _, g in often}
+        logs = {g: [math.log((often.get((x, g), 0) + 0.5) / (total[x] + 0.5 * (len(kinds) + 1))) for x in langs] for g in kinds}
+        return {g: [v - math.log(sum(map(math.exp, vs))) for v in vs] for g, vs in logs.items()}
+
+    def cuts(word, k):
+        word = f"^{word}$" if k > 1 else word
+        return [word[i : i + k] for i in range(len(word) - k + 1)]
+
+    taught = [(lang, w) for t, lang in rows for w in t.lower().split()]
+    words = shares(Counter(taught))
+    grams = {k: shares(Counter((lang, g) for lang, w in taught for g in cuts(w, k))) for k in (1, 2, 3, 4)}
+    sums = [0.0] * len(langs)
+    for w in text.lower().split():
+        votes, weight = [words[w]] if w in words else [], 1.0
+        for k, reduced in ((4, 0.7), (3, 0.5), (2, 0.3), (1, 0.1)):
+            if not votes:
+                votes, weight = [grams[k][g] for g in cuts(w, k) if g in grams[k]], reduced
+        for x in range(len(langs)):
+            sums[x] += weight * sum(v[x] for v in votes) / max(1, len(votes))
+    best = max(range(len(langs)), key=lambda x: (sums[x], -x))
+    return langs[best], 1 / sum(math.exp(v - sums[best]) for v in sums)
+
+
+def test_language_votes_equal_brute_force(spark):
+    rng = np.random.default_rng(9)
+    letters = {"aa": "abcdeo", "bb": "bcdexy", "cc": "ceioxz"}
+    stock = {lang: ["".join(rng.choice(list(x), rng.integers(1, 7))) for _ in range(60)] for lang, x in letters.items()}
+    rows = [(" ".join(rng.choice(stock[lang], 12)), lang) for lang in letters for _ in range(12)]
+    docs = spark.createDataFrame([(8, t, lang) for t, lang in rows], "doc_id bigint, text string, lang string")
+    voters = language_id._Voters(language_id.fit(docs))
+    unseen = [" ".join("".join(rng.choice(list("abcdeiowxyzq"), rng.integers(1, 9))) for _ in range(4)) for _ in range(60)]
+    for text in [*unseen, *(t for t, _ in rows)]:
+        lang, score = plain_language(rows, text)
+        found = language_id.predict_text(voters, text)
+        assert found == (lang, pytest.approx(score))
+
+
+def test_language_knows_words_of_any_rank(spark):
+    """A word is known by its own count, however many are more frequent; the sample bounds the characters."""
+    rows = [(8, " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(600)), "xx")] * 3
+    docs = spark.createDataFrame([*rows, (8, "rare rare", "xx"), (8, "once", "xx")], "doc_id bigint, text string, lang string")
+    model = language_id.fit(docs)
+    assert len(model.words) == 601 and "rare" in model.words and "once" not in model.words
+    many = docs.select(F.explode(F.sequence(F.lit(1), F.lit(400))).alias("doc_id"), "text", "lang")
+    part = language_id.fit(many, sample_chars=20_000)
+    assert 0 < len(part.words) and len(language_id.fit(many, sample_chars=0).words) == 0
+
+
 def test_decontamination(spark):
     rows = by_id(
         decontamination.decontaminate(documents(spark), benchmark(spark)), "n_words", "n_hit", "n_items", "contaminated"
