@@ -502,7 +502,7 @@ def test_language_knows_words_of_any_rank(spark):
     model = language_id.fit(docs)
     assert len(model.words) == 601 and "rare" in model.words and "once" not in model.words
     many = docs.select(F.explode(F.sequence(F.lit(1), F.lit(400))).alias("doc_id"), "text", "lang")
-    part = language_id.fit(many, sample_chars=20_000)
+    part = language_id.fit(many, sample_chars=200_000)
     assert 0 < len(part.words) and len(language_id.fit(many, sample_chars=0).words) == 0
 
 
