@@ -8,7 +8,7 @@ smallest of them. Documents are linked if their sets' Jaccard similarity reaches
    Sets that are linked have at least four shared values for each differing one, so by the
    pigeonhole principle two shared values are neighbours in both: among sets that fit the sketch
    none is missed. Among larger ones a pair at the threshold goes unseen with a chance of up to
-   5.3e-6 here and 4.2e-6 at the estimate, reached when one set holds the other.
+   6.1e-9 here and 4.4e-9 at the estimate, reached when one set holds the other.
 3. Linked sets that fit their sketches share 3/5 of their lists less one, larger ones far more than
    SHARED of them, so a class needs only the rarest of its lists to meet its partners (prefix
    filter). That leaves out lists of a passage or phrase that many documents hold without being
@@ -41,8 +41,8 @@ from lexigraph.operators.keyed import broadcast_if_bounded
 SHINGLE = 5
 THRESHOLD = 80  # hundredths
 SKETCH = 64
-SHARED = 0.3
-MARGIN = 0.25  # five standard deviations of an estimate from SKETCH values
+SHARED = 0.2
+MARGIN = 0.32  # more than six standard deviations of an estimate from SKETCH values
 STARS = 2
 ROUNDS = 60
 
