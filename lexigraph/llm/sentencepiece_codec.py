@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 from lexigraph.llm.common import add_results
 
 MARK = "▁"
-CACHED_UNITS = 600_000
-CACHED_PAIRS = 1_000_000
+CACHED_UNITS = 200_000
+CACHED_PAIRS = 300_000
 LONGEST_CACHED = 64
 NEVER = float("-inf")
 
