@@ -44,8 +44,11 @@ def read_ordered_lines(spark: SparkSession, path: str, key: str) -> DataFrame:
     """(key, line_no, line) of what ``sinks.writers.write_ordered_lines`` has written.
 
     Part files are in order of their number, blocks of a file in order of their offset, and lines of
-    a block as they are read, so lines get the numbers, from 1, that they had when written.
+    a block as they are read, so lines get the numbers, from 1, that they had when written. Where no
+    line was written there is no folder of a key, and no row.
     """
+    if not _has_folder(spark, path, f"{key}="):
+        return spark.createDataFrame([], f"`{key}` string, line_no bigint, line string")
     lines = spark.read.schema(f"value string, `{key}` string").option("lineSep", "\n").text(path)
     file = F.col("_metadata.file_path")
     placed = lines.select(
@@ -57,6 +60,17 @@ def read_ordered_lines(spark: SparkSession, path: str, key: str) -> DataFrame:
     return numbered.select(key, "line_no", "line")
 
 
+def _has_folder(spark: SparkSession, path: str, prefix: str) -> bool:
+    """Whether a folder in ``path`` begins with ``prefix``; the listing ends at the first one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatusIterator(folder)
+    while found.hasNext():
+        entry = found.next()
+        if entry.isDirectory() and entry.getPath().getName().startswith(prefix):
+            return True
+    return False
+
+
 def read_lines(spark: SparkSession, path: str | list[str], fmt: str = "text") -> DataFrame:
     if fmt == "text":
         return read_text_lines(spark, path)

@@ -184,6 +184,14 @@ def test_lines_keep_their_numbers_over_files(spark, tmp_path, rows):
     assert got == sorted(expected, key=repr)
 
 
+def test_no_lines_are_read_back_as_none(spark, tmp_path):
+    """A report without a line has no folder of a key."""
+    lines = spark.createDataFrame([], "job_id string, seq bigint, line string")
+    writers.write_summaries(lines, str(tmp_path / "none"))
+    found = readers.read_ordered_lines(spark, str(tmp_path / "none"), "job_id")
+    assert found.columns == ["job_id", "line_no", "line"] and found.collect() == []
+
+
 def test_sequence_files_pass_no_row_through_python(spark, tmp_path, rows):
     lines = spark.createDataFrame([("a b\tc",), ("",), ("é",), ("ends with\r",)], "value string")
     writers.write_sequence_lines(lines, str(tmp_path / "s"))
