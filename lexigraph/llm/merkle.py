@@ -180,13 +180,20 @@ def _descend(tables: list[DataFrame], top: DataFrame, keys: list[str], name: str
 
 
 def proofs(manifest: Manifest) -> DataFrame:
-    """A row per leaf: doc_id, made (what it carries along), leaf, subroot, and ``path``, the
-    siblings from the leaf up to the root, bottom up."""
+    """A row per leaf: doc_id, made (what it carries along), leaf, subroot, root, and ``path``, the
+    siblings from the leaf up to the root, bottom up. Subroot and root are those of the stored trees."""
     no_path = F.array().cast("array<struct<left: string, right: string>>")
-    start = manifest.upper[-1].select("all", "block", no_path.alias("path"), F.lit("").alias("seen"))
+    hashes = F.transform("nodes", lambda x: x.hash)
+    start = manifest.upper[-1].select("all", "block", no_path.alias("path"), _top(hashes, F.col("n")).alias("seen"))
     sources = _descend(manifest.upper, start, ["all"], "merkle-top-paths")
-    top = written(
-        sources.select("kept.*", F.lit(0).cast("bigint").alias("block"), "path", F.col("hash").alias("seen")), "source-paths"
-    )
+    seen = F.struct(F.col("hash").alias("subroot"), F.col("seen").alias("root"))
+    top = written(sources.select("kept.*", F.lit(0).cast("bigint").alias("block"), "path", seen.alias("seen")), "source-paths")
     leaves = _descend(manifest.levels, top, TREE, "merkle-paths")
-    return leaves.select("kept.doc_id", "kept.made", F.col("hash").alias("leaf"), F.col("seen").alias("subroot"), "path")
+    return leaves.select("kept.doc_id", "kept.made", F.col("hash").alias("leaf"), "seen.subroot", "seen.root", "path")
+
+
+def check_proofs(proved: DataFrame) -> DataFrame:
+    """Each leaf's proof against the manifest: ``folded_root`` is recomputed from what the leaf carries
+    along, else the leaf, and ``verified`` if that is the root of the stored trees."""
+    folded = fold(F.coalesce("made", "leaf"), F.col("path"))
+    return proved.withColumn("folded_root", folded).withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -103,15 +103,9 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = {c: F.col(c) for c in merkle.FIELDS}
     tampered = merkle.leaf_hash((fields | {"text": merkle.tampered_text(F.col("text"))}).values())
     proved = merkle.proofs(merkle.build_manifest(docs, F.when(touched, tampered)))
-    # what each leaf shows with the stored siblings, before and after tampering
-    shown = proved.select(
-        "doc_id", "leaf", "subroot", merkle.fold(F.col("leaf"), F.col("path")).alias("root"),
-        sha256_hex(merkle.proof_text(F.col("path"))).alias("proof_sha256"),
-        F.when(F.col("made").isNotNull(), merkle.fold(F.col("made"), F.col("path"))).alias("other"),
-    )
-    return shown.select(
-        "doc_id", "leaf", "subroot", "root", "proof_sha256", F.coalesce("other", "root").alias("folded_root"),
-        (F.coalesce("other", "root") == F.col("root")).alias("verified"),
+    return merkle.check_proofs(proved).select(
+        "doc_id", "leaf", "subroot", "root", sha256_hex(merkle.proof_text(F.col("path"))).alias("proof_sha256"),
+        "folded_root", "verified",
     )
 
 

@@ -172,6 +172,21 @@ def test_only_a_changed_row_fails(spark):
     assert sorted(r.doc_id for r in fails.collect()) == [i for i in range(600) if i % 3]
 
 
+def test_proofs_are_checked_against_the_stored_root(spark):
+    """A leaf that was changed in the stored blocks proves itself to no root, nor does its block."""
+    rows = [(i, "s", "en", 1, f"Text {i}") for i in range(600)]
+    manifest = merkle.build_manifest(spark.createDataFrame(rows, SCHEMA))
+    root, _ = brute_force_proofs(rows)
+    whole = merkle.check_proofs(merkle.proofs(manifest)).collect()
+    assert {(r.root, r.folded_root, r.verified) for r in whole} == {(root, root, True)}
+    bad = F.transform("nodes", lambda x: x.withField("hash", F.when(x.pos == 300, F.sha2(F.lit("bad"), 256)).otherwise(x.hash)))
+    manifest.levels[0] = manifest.levels[0].withColumn("nodes", bad)
+    found = merkle.check_proofs(merkle.proofs(manifest)).collect()
+    assert {r.root for r in found} == {root}
+    # the blocks are of 256 leaves, numbered from 1
+    assert sorted(r.doc_id for r in found if not r.verified) == list(range(256, 512))
+
+
 # ---- spelling --------------------------------------------------------------------------
 
 def one_edit(a, b):
