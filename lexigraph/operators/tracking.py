@@ -142,7 +142,8 @@ def match_results(jobs: DataFrame, results: DataFrame, hot_rows: int = HOT_ROWS)
         results.select(*columns).where(F.col("item").isNotNull()),
         ["item"], "seq", F.lit(1).cast("bigint"), "_k", hot_rows,
     )
-    found = numbered.join(copies, ["item", "_k"], "left").select(*columns, "job_id")
+    # By merge: the claims look small to the planner, which would broadcast all their copies.
+    found = numbered.join(copies.hint("merge"), ["item", "_k"], "left").select(*columns, "job_id")
     nameless = results.select(*columns).where(F.col("item").isNull())
     return found.unionByName(nameless.withColumn("job_id", F.lit(None).cast(found.schema["job_id"].dataType)))
 

@@ -224,3 +224,15 @@ def test_a_result_that_was_not_stored_gets_no_reply(spark):
     items = messages(spark).where("seq = 8").withColumn("item", F.col("body")).withColumn("result", F.lit("t"))
     assert ops.to_replies(items.withColumn("status", F.lit(ops.RETRY)), "w").isEmpty()
     assert ops.to_replies(items.withColumn("status", F.lit(ops.OK)), "w").count() == 1
+
+
+def test_copies_of_few_claims_are_not_broadcast(spark):
+    """One claim stands for as many rows as it has copies."""
+    jobs = spark.range(20_000).select(F.lit("j").alias("job_id"), F.lit(1).cast("bigint").alias("submit_seq"), F.lit("a").alias("item"))
+    results = spark.range(20_001).select(
+        F.col("id").alias("seq"), F.lit("ok").alias("type"), F.lit("a").alias("item"), F.lit("t").alias("thumb")
+    )
+    found = ops.match_results(jobs, results)
+    assert [r.seq for r in found.collect() if r.job_id is None] == [20_000]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
