@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -17,13 +19,11 @@ from ..functions import text
 from ..operators import tracking as ops
 from ..sources import readers
 from ..sinks import writers
+from .state import NONE, Clock, Table, nullable, or_none, part_and_bucket, same
 
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
 
-# Parts of the replies that name no item.
-NAMELESS_PARTS = 64
-
 CREDIT_SCHEMA = "item string, seq bigint, type string, thumb string, job_id string, rev int"
 ENDED_SCHEMA = "job_id string, seq bigint"
 STOP_SCHEMA = (
@@ -120,15 +120,128 @@ class _Credits(StatefulProcessor):
         pass
 
 
-def match_results_stream(messages: DataFrame, keep_ms: int = HOUR_MS) -> DataFrame:
+class _PartCredits(StatefulProcessor):
+    """``_Credits`` for the items of one part: an ordered multiset of claims (submit_seq, job, copies) each, and the
+    replies that may still be credited otherwise.
+
+    Replies in order of seq take the copies in order of submit_seq, so a reply or job that comes
+    late moves those behind it. After ``keep_ms`` a reply is settled: it leaves with the copy it
+    has taken. What is left are the open copies, and nothing once there are none.
+    """
+
+    CLAIMS = pa.schema([
+        ("bucket", pa.int32()), ("item", pa.string()), ("submit_seq", pa.int64()), ("job_id", pa.string()), ("n", pa.int64()),
+    ])
+    REPLIES = pa.schema([
+        ("bucket", pa.int32()), ("item", pa.string()), ("seq", pa.int64()), ("type", pa.string()), ("thumb", pa.string()),
+        ("submit_seq", pa.int64()), ("job_id", pa.string()), ("rev", pa.int32()), ("arrived", pa.int64()),
+    ])
+
+    def __init__(self, keep_ms: int) -> None:
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.claims = Table(handle, "claims", self.CLAIMS)
+        self.replies = Table(handle, "replies", self.REPLIES)
+        self.clock = Clock(handle, self.keep_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        batch = pd.concat(list(rows), ignore_index=True)  # the trigger bounds the bytes of a micro-batch
+        order = (batch["type"] == ops.INIT_WORK).to_numpy()
+        orders = batch[order].rename(columns={"seq": "submit_seq"}).assign(n=1)
+        arrived = batch[~order].assign(submit_seq=NONE, rev=0, arrived=now, job_id=None)
+        nameless = arrived["item"].isna()
+        # what names no item is credited to none, and leaves no state
+        none = arrived[nameless].drop_duplicates("seq").assign(rev=1)
+        arrived = arrived[~nameless]
+        changed = [none]
+        buckets = np.unique(np.concatenate([orders["bucket"], arrived["bucket"]]))
+        if len(buckets):
+            stored = self.replies.read(buckets)
+            replies = pd.concat([stored, arrived[self.REPLIES.names]], ignore_index=True) if len(stored) else arrived
+            # the one that came first
+            replies = replies.drop_duplicates(["item", "seq"]).sort_values(["item", "seq"], ignore_index=True)
+            claims = self._claims(orders, buckets)
+            job, submitted = self._credited(claims, replies)
+            moved = (replies["rev"] == 0).to_numpy() | ~same(job, replies["job_id"]) | (submitted != replies["submit_seq"].to_numpy())
+            replies = replies.assign(job_id=job, submit_seq=submitted, rev=replies["rev"] + moved)
+            changed.append(replies[moved])
+            self._write(claims, replies, buckets, now)
+            if len(replies):
+                self.clock.wind(now)
+        out = pd.concat(changed, ignore_index=True)
+        yield pd.DataFrame({
+            "item": out["item"], "seq": nullable(out["seq"]), "type": out["type"], "thumb": out["thumb"],
+            "job_id": out["job_id"], "rev": out["rev"].astype("int32"),
+        })
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        claims, replies = self.claims.read(), self.replies.read()
+        left = self._write(claims, replies, np.union1d(claims["bucket"], replies["bucket"]), now)
+        self.clock.rang(now, again=left > 0)
+        return iter(())
+
+    def _claims(self, orders: pd.DataFrame, buckets: np.ndarray) -> pd.DataFrame:
+        """Copies per item, submit_seq and job, in this order, with those in the state."""
+        stored = self.claims.read(buckets)
+        claims = pd.concat([stored, orders[self.CLAIMS.names]], ignore_index=True) if len(stored) else orders
+        keys = ["item", "submit_seq", "job_id"]
+        return claims.groupby(keys, dropna=False).agg(bucket=("bucket", "first"), n=("n", "sum")).reset_index()
+
+    @staticmethod
+    def _credited(claims: pd.DataFrame, replies: pd.DataFrame) -> tuple[pd.Series, np.ndarray]:
+        """Job and submit_seq of the copy that each reply takes."""
+        items = pd.factorize(pd.concat([claims["item"], replies["item"]], ignore_index=True), sort=True)[0].astype("int64")
+        claimed, replied = items[:len(claims)], items[len(claims):]
+        place = replies.groupby(replied).cumcount().to_numpy() if len(replies) else np.zeros(0, "int64")
+        # the number of an item's last copy up to each claim, items one after the other
+        last = claims["n"].groupby(claimed).cumsum().to_numpy().astype("int64")
+        width = max(last.max(initial=0), place.max(initial=0)) + 1
+        at = np.searchsorted(claimed * width + last, replied * width + place, "right")
+        found = at < len(claims)
+        at = np.where(found, at, 0)
+        if len(claims):
+            found &= claimed[at] == replied
+        job = pd.Series(None, index=replies.index, dtype=object)
+        submitted = np.full(len(replies), NONE)
+        if found.any():
+            job = pd.Series(np.where(found, claims["job_id"].to_numpy(dtype=object)[at], None), index=replies.index, dtype=object)
+            submitted = np.where(found, claims["submit_seq"].to_numpy()[at], NONE)
+        return job, submitted
+
+    def _write(self, claims: pd.DataFrame, replies: pd.DataFrame, buckets: np.ndarray, now: int) -> int:
+        """Settle what has been kept long enough; the number of replies that are left."""
+        kept = (replies["arrived"] + self.keep_ms >= now).to_numpy()
+        taken = replies[~kept & replies["job_id"].notna().to_numpy()]
+        if len(taken):
+            keys = ["item", "submit_seq", "job_id"]
+            n = taken.groupby(keys).size().rename("_taken").reset_index()
+            claims = claims.merge(n, "left", keys)
+            claims["n"] = claims["n"] - claims["_taken"].fillna(0).astype("int64")
+        self.claims.write(claims[claims["n"] > 0], buckets)
+        self.replies.write(replies[kept], buckets)
+        return int(kept.sum())
+
+    def close(self) -> None:
+        pass
+
+
+def match_results_stream(
+    messages: DataFrame, keep_ms: int = HOUR_MS, parts: int | None = None, by_item: bool = False
+) -> DataFrame:
     """``match_results`` of a stream of orders and replies, which need no job id.
 
     An order's ``seq`` is its job's submit_seq, as ``expand_jobs`` makes it; a reply's is its own.
     Repeats are to be dropped before. Rows are for ``read_latest`` by seq. Decisions stay open for
-    ``keep_ms`` after a reply came. An item is one queue and thus one state: what a task holds of
-    it are its open jobs, and the replies of that time. The session must use the RocksDB state
-    store (``use_rocksdb``).
+    ``keep_ms`` after a reply came. State is held by hash parts of the items, as a group of its own
+    costs more than most items' few rows; an item is one queue, so what a task holds of it are its
+    open jobs, and the replies of that time. ``by_item`` makes each item a group all the same, for few
+    items. The session must use the RocksDB state store (``use_rocksdb``).
     """
+    if parts is None:
+        parts = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     item, thumb = text.split_first(F.col("body"))
     done = F.col("type") == ops.FINISHED_WORK
     order = F.col("type") == ops.INIT_WORK
@@ -138,12 +251,20 @@ def match_results_stream(messages: DataFrame, keep_ms: int = HOUR_MS) -> DataFra
         F.when(order, F.col("job_id")).alias("job_id"), F.when(done, thumb).alias("thumb"),
     )
     nameless = F.col("item").isNull()
-    part = F.when(nameless, F.pmod(F.xxhash64("seq"), F.lit(NAMELESS_PARTS))).otherwise(0).alias("part")
+    # replies that name no item are spread by their own number
+    key = F.when(nameless, F.col("seq").cast("string")).otherwise(F.col("item"))
     # an order without an item claims nothing
-    return rows.where(~(nameless & (F.col("type") == ops.INIT_WORK))).withColumn("part", part).groupBy(
-        "item", "part"
-    ).transformWithStateInPandas(
-        statefulProcessor=_Credits(keep_ms), outputStructType=CREDIT_SCHEMA, outputMode="Append",
+    claiming = rows.where(~(nameless & (F.col("type") == ops.INIT_WORK))).withColumn("key", key)
+    if not by_item:
+        claiming = claiming.withColumn("seq", or_none(F.col("seq")))
+    placed = claiming.select("*", *part_and_bucket("key", parts=parts)).drop("key")
+    if by_item:
+        part = F.when(nameless, F.col("part")).otherwise(0).alias("part")
+        grouped, processor = placed.withColumn("part", part).groupBy("item", "part"), _Credits(keep_ms)
+    else:
+        grouped, processor = placed.groupBy("part"), _PartCredits(keep_ms)
+    return grouped.transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=CREDIT_SCHEMA, outputMode="Append",
         timeMode="ProcessingTime",
     )
 
@@ -192,24 +313,80 @@ class _Ending(StatefulProcessor):
         pass
 
 
-def end_jobs(outcomes: DataFrame, keep_ms: int = DAY_MS, parts: int | None = None) -> DataFrame:
+class _PartEnding(StatefulProcessor):
+    """``_Ending`` with the jobs of a bucket as one value."""
+
+    SCHEMA = pa.schema([
+        ("bucket", pa.int32()), ("job_id", pa.string()), ("total", pa.int64()), ("answered", pa.int64()),
+        ("last", pa.int64()), ("ended", pa.int64()),
+    ])
+
+    def __init__(self, keep_ms: int) -> None:
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.jobs = Table(handle, "jobs", self.SCHEMA)
+        self.clock = Clock(handle, self.keep_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        batch = pd.concat(list(rows), ignore_index=True)  # one micro-batch of one part; the trigger bounds its bytes
+        buckets = np.unique(batch["bucket"])
+        stored = self._fresh(self.jobs.read(buckets), now)
+        over = stored["ended"] != NONE
+        late = batch["job_id"].isin(stored.loc[over, "job_id"])
+        both = pd.concat([stored[~over].assign(given=False), batch[~late].assign(ended=NONE, given=True)], ignore_index=True)
+        # the total of this batch goes before the stored one
+        both["given"] &= both["total"] != NONE
+        total = both[both["given"]].groupby("job_id")["total"].max()
+        jobs = both.groupby("job_id", sort=False).agg(
+            bucket=("bucket", "first"), total=("total", "max"), answered=("answered", "sum"), last=("last", "max"), ended=("ended", "first"),
+        )
+        jobs.loc[total.index, "total"] = total
+        done = (jobs["total"] != NONE) & (jobs["answered"] >= jobs["total"]) & jobs.index.isin(batch["job_id"])
+        jobs.loc[done, "ended"] = now
+        self.jobs.write(pd.concat([stored[over], jobs.reset_index()], ignore_index=True), buckets)
+        if done.any():
+            self.clock.wind(now)
+        yield pd.DataFrame({"job_id": jobs.index[done].to_numpy(dtype=object), "seq": nullable(jobs.loc[done, "last"]).array})
+
+    def _fresh(self, jobs: pd.DataFrame, now: int) -> pd.DataFrame:
+        return jobs[(jobs["ended"] == NONE) | (jobs["ended"] + self.keep_ms >= now)]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        jobs = self.jobs.read()
+        fresh = self._fresh(jobs, now)
+        self.jobs.write(fresh, np.unique(jobs["bucket"]))
+        self.clock.rang(now, again=bool((fresh["ended"] != NONE).any()))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def end_jobs(outcomes: DataFrame, keep_ms: int = DAY_MS, parts: int | None = None, by_job: bool = False) -> DataFrame:
     """(job_id, seq) of every job, once, in the micro-batch that completes it.
 
     ``outcomes`` are those of ``match_stream``: a start's item is the number of the job's items,
     answers count, and orders and alerts don't, so they make no state. State is kept for open
     jobs, and a flag for jobs that ended within ``keep_ms``; it is held by hash parts of the jobs,
-    as a group of its own costs more than a job's few numbers.
+    as a group of its own costs more than a job's few numbers. ``by_job`` makes each job a value of its
+    own in its part's state, for micro-batches of few jobs.
     """
     answered = F.col("outcome").isin("done", "failed")
     started = F.col("outcome") == "started"
     if parts is None:
         parts = int(outcomes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = F.when(started, text.whole_number(F.col("item"))).cast("bigint")
     rows = outcomes.where(answered | started).select(
-        F.pmod(F.xxhash64("job_id"), F.lit(parts)).alias("part"), "job_id", F.when(started, text.whole_number(F.col("item"))).cast("bigint").alias("total"),
-        F.when(answered, 1).otherwise(0).alias("answered"), F.when(answered, F.col("seq")).alias("last"),
+        *part_and_bucket("job_id", parts=parts), "job_id", total.alias("total"),
+        F.when(answered, 1).otherwise(0).cast("bigint").alias("answered"), F.when(answered, F.col("seq")).alias("last"),
     )
+    if not by_job:
+        rows = rows.withColumns({c: or_none(F.col(c)) for c in ("total", "last")})
     return rows.groupBy("part").transformWithStateInPandas(
-        statefulProcessor=_Ending(keep_ms), outputStructType=ENDED_SCHEMA, outputMode="Append",
+        statefulProcessor=_Ending(keep_ms) if by_job else _PartEnding(keep_ms), outputStructType=ENDED_SCHEMA, outputMode="Append",
         timeMode="ProcessingTime",
     )
 
@@ -219,98 +396,106 @@ def end_jobs(outcomes: DataFrame, keep_ms: int = DAY_MS, parts: int | None = Non
 class _Stopping(StatefulProcessor):
     """One manager: when it was told to stop, its jobs, and how many accepted ones are open."""
 
+    JOBS = pa.schema([
+        ("bucket", pa.int32()), ("job", pa.string()), ("msg_id", pa.string()), ("from_id", pa.string()), ("body", pa.string()),
+        ("start", pa.int64()), ("end", pa.int64()), ("accepted", pa.int8()), ("rev", pa.int32()), ("arrived", pa.int64()),
+    ])
+
     def __init__(self, keep_ms: int) -> None:
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.jobs = handle.getMapState(
-            "jobs", "job string",
-            "msg_id string, from_id string, body string, start bigint, end bigint, accepted boolean, rev int, arrived bigint",
-        )
+        self.jobs = Table(handle, "jobs", self.JOBS)
         # n_open, last_end: of accepted jobs
         self.tally = handle.getValueState("tally", "stop bigint, n_open bigint, last_end bigint, at bigint, rev int")
+        self.clock = Clock(handle, self.keep_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
         stop, n_open, last_end, at, rev = self.tally.get() or (None, 0, None, None, 0)
-        touched: dict[str, list] = {}
-        earliest = stop
-        for batch in rows:
-            for row in batch.itertuples(index=False):
-                when = int(row.ts)
-                if row.type == ops.TERMINATE:
-                    earliest = when if earliest is None else min(earliest, when)
-                    continue
-                job = touched.get(row.job)
-                if job is None:
-                    stored = self.jobs.getValue((row.job,))
-                    job = touched[row.job] = [list(stored) if stored else [None, None, None, None, None, None, 0, now], stored]
-                if row.type == ops.START_JOB:
-                    if job[0][3] is None:
-                        job[0][:4] = [row.msg_id, row.from_id, row.body, when]
-                elif job[0][4] is None or when < job[0][4]:
-                    job[0][4] = when
-        out = []
-
-        def decide(name: str, job: list) -> None:
-            accepted = None if job[3] is None else earliest is None or job[3] < earliest
-            if accepted is not None and accepted != job[5]:
-                job[5:7] = [accepted, job[6] + 1]
-                out.append(("start", job[0], job[1], key[0], name, job[2], accepted, job[3], job[6]))
-
-        for name, (job, _) in touched.items():
-            decide(name, job)
-            self.jobs.updateValue((name,), tuple(job))
-        if earliest != stop:  # an earlier stop refuses jobs that were accepted before
+        batch = pd.concat(list(rows), ignore_index=True)  # the trigger bounds the bytes of a micro-batch
+        batch = batch[batch["ts"] != NONE]
+        told = batch["type"] == ops.TERMINATE
+        earliest = min((t for t in (stop, *batch.loc[told, "ts"].nsmallest(1)) if t is not None), default=None)
+        earliest = None if earliest is None else int(earliest)
+        touched = batch[~told]
+        # an earlier stop refuses jobs that were accepted before
+        again = earliest != stop
+        stored = self.jobs.read(None if again else np.unique(touched["bucket"]))
+        buckets = np.union1d(stored["bucket"], touched["bucket"])
+        jobs = self._merged(stored, touched, now)
+        before = jobs["accepted"].to_numpy()
+        begun = (jobs["start"] != NONE).to_numpy()
+        accepted = np.where(begun, 1 if earliest is None else (jobs["start"] < earliest).to_numpy().astype("int8"), -1)
+        changed = accepted != before
+        jobs = jobs.assign(accepted=accepted.astype("int8"), rev=jobs["rev"] + changed)
+        if again:
             n_open, last_end = 0, None
-            changed = []
-            for (name,), stored in self.jobs.iterator():
-                job = list(stored)
-                decide(name, job)
-                if job != list(stored):
-                    changed.append((name, job))
-                n_open, last_end = self._count(job, n_open, last_end)
-            for name, job in changed:
-                self.jobs.updateValue((name,), tuple(job))
         else:
-            for job, stored in touched.values():
-                if stored and stored[5] and stored[4] is None:
-                    n_open -= 1  # counted again as it is now
-                n_open, last_end = self._count(job, n_open, last_end)
+            # counted again as they are now
+            n_open -= int(((stored["accepted"] == 1) & (stored["end"] == NONE)).sum())
+        running = (accepted == 1) & (jobs["end"] == NONE).to_numpy()
+        n_open += int(running.sum())
+        ends = jobs["end"].to_numpy()[(accepted == 1) & ~running]
+        last_end = max((t for t in (last_end, int(ends.max()) if len(ends) else None) if t is not None), default=None)
+        self.jobs.write(jobs, buckets)
+        moved = jobs[changed]
+        out = pd.DataFrame({
+            "kind": "start", "msg_id": moved["msg_id"], "from_id": moved["from_id"], "to_id": key[0], "job_id": moved["job"],
+            "body": moved["body"], "accepted": (moved["accepted"] == 1).astype("boolean"), "at": moved["start"].astype("Int64"),
+            "rev": moved["rev"].astype("int32"),
+        })
         drained = max(earliest, last_end or earliest) if earliest is not None and n_open == 0 else None
         if drained != at:
             rev += 1
-            out.append(("drained", None, None, key[0], None, None, None, drained, rev))
+            row = pd.DataFrame({
+                "kind": ["drained"], "msg_id": [None], "from_id": [None], "to_id": [key[0]], "job_id": [None], "body": [None],
+                "accepted": pd.array([None], "boolean"), "at": pd.array([drained], "Int64"), "rev": np.array([rev], "int32"),
+            })
+            out = pd.concat([out, row], ignore_index=True) if len(out) else row
         self.tally.update((earliest, n_open, last_end, drained, rev))
-        self.handle.registerTimer(now + self.keep_ms + 1)
-        yield pd.DataFrame(out, columns=["kind", "msg_id", "from_id", "to_id", "job_id", "body", "accepted", "at", "rev"]).astype(
-            {"at": "Int64", "accepted": "boolean"}
+        self.clock.wind(now)
+        yield out
+
+    def _merged(self, stored: pd.DataFrame, touched: pd.DataFrame, now: int) -> pd.DataFrame:
+        """The stored jobs with the first start and the earliest end of each job of a batch."""
+        starting = touched["type"] == ops.START_JOB
+        start = touched[starting].drop_duplicates("job").rename(columns={"ts": "start"})
+        end = touched[~starting].groupby("job", sort=False).agg(bucket=("bucket", "first"), end=("ts", "min")).reset_index()
+        blank = {"msg_id": None, "from_id": None, "body": None, "start": NONE, "end": NONE, "accepted": -1, "rev": 0, "arrived": now}
+        rows = [stored, *(x.assign(**{k: v for k, v in blank.items() if k not in x})[self.JOBS.names] for x in (start, end))]
+        rows = pd.concat([r for r in rows if len(r)] or rows[:1], ignore_index=True)
+        ends = rows["end"].mask(rows["end"] == NONE, -(NONE + 1)).groupby(rows["job"], dropna=False).min()
+        # the stored row comes first, then the first start
+        begun = rows[rows["start"] != NONE].drop_duplicates("job")
+        rest = rows[~rows["job"].isin(begun["job"])].drop_duplicates("job")
+        seen = rows.drop_duplicates("job").set_index("job")
+        jobs = pd.concat([begun, rest]) if len(rest) else begun
+        known = seen.loc[jobs["job"]]
+        found = ends.loc[jobs["job"]].to_numpy()
+        return jobs.assign(
+            end=np.where(found == -(NONE + 1), NONE, found),
+            **{c: known[c].to_numpy() for c in ("accepted", "rev", "arrived")},
         )
 
-    @staticmethod
-    def _count(job: list, n_open: int, last_end: int | None) -> tuple[int, int | None]:
-        if not job[5]:
-            return n_open, last_end
-        if job[4] is None:
-            return n_open + 1, last_end
-        return n_open, job[4] if last_end is None else max(last_end, job[4])
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Jobs that have ended, or were refused, are settled."""
-        before = timerValues.getCurrentProcessingTimeInMs() - self.keep_ms
-        settled = [
-            name for name, job in self.jobs.iterator()
-            if job[7] < before and job[3] is not None and (job[4] is not None or not job[5])
-        ]
-        for name in settled:
-            self.jobs.removeKey(name)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        jobs = self.jobs.read()
+        over = (jobs["end"] != NONE) | (jobs["accepted"] != 1)
+        kept = jobs[~((jobs["arrived"] < now - self.keep_ms) & (jobs["start"] != NONE) & over)]
+        self.jobs.write(kept, np.unique(jobs["bucket"]))
+        self.clock.rang(now, again=len(kept) > 0)
         return iter(())
 
     def close(self) -> None:
         pass
 
 
+# Buckets of a manager's jobs.
+JOB_BUCKETS = 256
+
+
 def terminate_stream(messages: DataFrame, keep_ms: int = DAY_MS) -> DataFrame:
     """Whether a manager accepts each start, and when it is drained.
 
@@ -321,10 +506,11 @@ def terminate_stream(messages: DataFrame, keep_ms: int = DAY_MS) -> DataFrame:
     rows = messages.where(
         F.col("to_id").isNotNull() & F.col("type").isin(ops.START_JOB, ops.TERMINATE, ops.JOB_ENDED)
     ).select(
-        "to_id", "type", F.unix_micros("ts").alias("ts"), "msg_id", "from_id", "body",
+        "to_id", "type", or_none(F.unix_micros("ts")).alias("ts"), "msg_id", "from_id", "body",
         F.coalesce("job_id", "msg_id").alias("job"),
     )
-    return rows.groupBy("to_id").transformWithStateInPandas(
+    _, bucket = part_and_bucket("job", parts=1, buckets=JOB_BUCKETS)
+    return rows.withColumn("bucket", bucket).groupBy("to_id").transformWithStateInPandas(
         statefulProcessor=_Stopping(keep_ms), outputStructType=STOP_SCHEMA, outputMode="Append",
         timeMode="ProcessingTime",
     )

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import random
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from lexigraph.operators import tracking as ops
 from lexigraph.sinks import writers
 from lexigraph.sources import readers
-from lexigraph.streaming import manager
+from lexigraph.streaming import manager, state
 from lexigraph.streaming import tracking as stream
 
 T0 = dt.datetime(2024, 1, 1)
@@ -189,3 +190,132 @@ def test_settled_replies_keep_their_copies():
     assert p.replies.rows == [] and p.claims.rows == [(2, "j2", 1)]
     assert step(21, (ops.OK, 4, None, None)) == [(4, "ok", None, "j2", 1)]  # takes what is left
     assert step(22, (ops.OK, 3, None, None)) == [(3, "ok", None, "j2", 1), (4, "ok", None, None, 2)]
+
+
+class Values:
+    """A map or value state."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def getValue(self, key):
+        return self.rows.get(key)
+
+    def containsKey(self, key):
+        return key in self.rows
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+    def iterator(self):
+        return iter(list(self.rows.items()))
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return self.rows.get("value")
+
+    def update(self, value):
+        self.rows["value"] = value
+
+    def clear(self):
+        self.rows = {}
+
+
+class Handle:
+    """States by name, the calls for them, and the timers and time."""
+
+    def __init__(self):
+        self.states, self.timers, self.now = {}, [], 0
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, Values())
+
+    getValueState = getMapState
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def stepper(processor, columns):
+    handle = Handle()
+    processor.init(handle)
+
+    def step(now, *data):
+        handle.now = now
+        frame = pd.DataFrame(data, columns=columns)
+        frame["bucket"] = 1
+        return [tuple(r) for f in processor.handleInputRows((0,), iter([frame]), handle) for r in f.itertuples(index=False)]
+
+    return handle, step
+
+
+def test_jobs_of_a_bucket_end_once_and_their_flags_go():
+    p = manager._PartEnding(10)
+    handle, step = stepper(p, ["job_id", "total", "answered", "last"])
+    no = state.NONE
+    assert step(1, ("a", 2, 0, no), ("b", 1, 0, no), ("c", 0, 0, no)) == [("c", pd.NA)]
+    assert step(1, ("a", no, 1, 7), ("b", no, 1, 3)) == [("b", 3)]
+    assert step(2, ("b", 1, 1, 9), ("c", 0, 0, no)) == []
+    assert step(2, ("a", no, 1, 5)) == [("a", 7)]
+    assert handle.timers == [12]
+    handle.now = 50
+    list(p.handleExpiredTimer((0,), handle, None))
+    assert not handle.states["jobs"].rows and handle.timers == [12]
+
+
+def test_settled_replies_of_a_bucket_keep_their_copies():
+    p = manager._PartCredits(10)
+    handle, step = stepper(p, ["item", "type", "seq", "job_id", "thumb"])
+    assert step(0, ("x", ops.INIT_WORK, 2, "j2", None), ("x", ops.OK, 5, None, "t5"), ("y", ops.OK, 6, None, "t6")) == [
+        ("x", 5, "ok", "t5", "j2", 1), ("y", 6, "ok", "t6", None, 1)]
+    assert step(5, ("x", ops.INIT_WORK, 1, "j1", None)) == [("x", 5, "ok", "t5", "j1", 2)]  # still open: moved
+    assert step(6, ("x", ops.OK, 5, None, "again")) == []
+    handle.now = 20
+    list(p.handleExpiredTimer((0,), handle, None))
+    assert not handle.states["replies"].rows and len(p.claims.read()) == 1
+    assert step(21, ("x", ops.OK, 4, None, None)) == [("x", 4, "ok", None, "j2", 1)]  # takes what is left
+    assert step(22, ("x", ops.OK, 3, None, None)) == [("x", 3, "ok", None, "j2", 1), ("x", 4, "ok", None, None, 2)]
+
+
+def test_a_batch_of_many_items_calls_the_state_a_few_times():
+    """Items, jobs and copies used to cost calls of their own each."""
+    n = 5000
+    for p, columns, data in (
+        (manager._PartCredits(10), ["item", "type", "seq", "job_id", "thumb"], [(f"i{k}", ops.OK, k, None, "t") for k in range(n)]),
+        (manager._PartEnding(10), ["job_id", "total", "answered", "last"], [(f"j{k}", 1, k % 2, k) for k in range(n)]),
+        (stream._Outstanding(), ["job_id", "type", "item", "seq", "thumb"], [(f"j{k}", ops.INIT_WORK, "i", k, None) for k in range(n)]),
+    ):
+        handle, step = stepper(p, columns)
+        assert len(step(0, *data)) == (n // 2 if "total" in columns else n)
+        assert sum(len(s.rows) for s in handle.states.values()) <= 3
+
+
+def test_outcomes_follow_the_order_of_messages():
+    """Against one message after the other, over several batches."""
+    rng = random.Random(4)
+    handle, step = stepper(stream._Outstanding(), ["type", "job_id", "item", "seq", "thumb"])
+    open_ = Counter()
+    for batch in range(5):
+        data = [(rng.choice((ops.INIT_WORK, ops.FINISHED_WORK, ops.ERROR_WORK)), rng.choice("ab"), rng.choice(("x", "y", None)), k, None) for k in range(60)]
+        expected = []
+        for kind, job, item, k, _ in data:
+            if item is None:
+                expected.append("alert")
+            elif kind == ops.INIT_WORK:
+                open_[job, item] += 1
+                expected.append("expected")
+            elif open_[job, item]:
+                open_[job, item] -= 1
+                expected.append("done" if kind == ops.FINISHED_WORK else "failed")
+            else:
+                expected.append("alert")
+        rng.shuffle(data)
+        assert [(r[1], r[2]) for r in step(batch, *data)] == list(enumerate(expected))
