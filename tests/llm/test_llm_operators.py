@@ -35,7 +35,10 @@ def test_query_equals_its_sql(spark, name):
     want, got = db.execute(llm.oracle_sql()[name]).df(), run(spark, name, SMALL)
     columns = sorted(want.columns)
     assert columns == sorted(got.columns)
-    a, b = (x[columns].sort_values("doc_id" if "doc_id" in columns else columns).reset_index(drop=True).astype(str) for x in (want, got))
+    by = "doc_id" if "doc_id" in columns else columns
+    if by is columns:  # op13; pandas makes counts with NULL floats on one side only
+        want, got = want.convert_dtypes(), got.convert_dtypes()
+    a, b = (x[columns].sort_values(by).reset_index(drop=True).astype(str) for x in (want, got))
     pd.testing.assert_frame_equal(a, b)
 
 
