@@ -1,3 +1,6 @@
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from lexigraph.operators import keyed
@@ -75,3 +78,29 @@ def test_broadcast_only_what_is_proven_small(spark):
     assert not keyed.broadcast_if_bounded(df, 9)[1]
     assert not keyed.broadcast_if_bounded(df, 10, max_chars=9)[1]
     assert not keyed.broadcast_if_bounded(df, 0)[1]
+
+
+def plan_without_broadcasts(spark, made):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        return made()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_lookup_deals_flagged_rows_by_their_place(spark):
+    df = spark.range(1000).selectExpr("id", "id % 3 AS k")
+    table = spark.range(3).selectExpr("id AS k", "'a' || id AS v", "334L AS _rows")
+    plan = plan_without_broadcasts(spark, lambda: keyed.lookup(df, table, ["k"], "inner", "_rows", 10))
+    assert re.search(r"hashpartitioning\(k#\d+L, _spread#", plan)
+
+
+@pytest.mark.parametrize("table_rows, join", [(None, "SortMergeJoin"), (3, "ShuffledHashJoin"), (10**9, "SortMergeJoin")])
+def test_lookup_hashes_a_table_only_if_its_parts_are_small(spark, table_rows, join):
+    df = spark.range(1000).selectExpr("id", "id % 3 AS k")
+    table = spark.range(3).selectExpr("id AS k", "'a' || id AS v", "334L AS _rows")
+    made = lambda: keyed.lookup(df, table, ["k"], "left", "_rows", 10, table_rows)
+    assert join in plan_without_broadcasts(spark, made)
+    assert made().where("v = 'a' || k").count() == 1000
