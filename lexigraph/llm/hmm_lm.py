@@ -38,6 +38,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -54,8 +56,12 @@ FAN = 64
 SHARED = 2_048
 CHUNK = 3_000_000
 #: Tokens whose states are held in memory at once, about.
-AT_ONCE = 250_000
-SEGMENT = 2_048
+AT_ONCE = 160_000
+#: Pieces that a longer text is cut into. Cutting changes no result, and costs as many forward runs as
+#: there are states, so only texts go through it that are too long to run side by side with others.
+SEGMENT = 16_384
+#: Steps after which weights are scaled again; in between they shrink by far less than a double holds.
+RESCALE = 4
 MOST_BUCKETS = 10_000
 ROUNDS = 10
 SMOOTHING = 0.1
@@ -86,14 +92,6 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 # ---- step 1: chunks ----------------------------------------------------------------------
 
-class _Numbers(dict):
-    """Numbers of tokens in the order in which they are first asked for."""
-
-    def __missing__(self, token: bytes) -> int:
-        number = self[token] = len(self)
-        return number
-
-
 def _planes(numbers: np.ndarray) -> bytes:
     """All lowest bytes, then all second ones and so on: the high ones, mostly 0, compress well."""
     return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -103,50 +101,78 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+#: A-Z to lower case, what cuts words to a blank, other bytes as they are.
+_PLAIN = bytes(32 if i in b"\t\n\v\f\r" else i for i in bytes(range(256)).lower())
+
+
+def _words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in order, and how many each has: ``tokens_of`` without the ends."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    _, offsets, data = texts.buffers()
+    plain = pa.py_buffer((data.to_pybytes() if data else b"").translate(_PLAIN))
+    texts = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, offsets, plain], 0, texts.offset)
+    found = pc.split_pattern(texts, " ")
+    words, own = found.flatten(), np.asarray(pc.list_parent_indices(found))
+    some = np.asarray(pc.binary_length(words)) > 0  # blanks around a text leave empty ones
+    return words.filter(pa.array(some)), np.bincount(own[some], minlength=len(texts))
+
+
 class _Chunk:
-    """Texts gathered so far, as numbers in a vocabulary of their own."""
+    """Texts gathered so far."""
 
     def __init__(self, number: int) -> None:
         self.number = number
-        self.docs: list[int] = []
-        self.named: list[bool] = []
-        self.held: list[bool] = []
-        self.sizes: list[int] = []
-        self.parts: list[np.ndarray] = []
-        self.vocabulary = _Numbers()
+        self.rows: list[pa.RecordBatch] = []
+        self.words: list[pa.Array] = []
+        self.sizes: list[np.ndarray] = []
         self.total = 0
 
-    def add(self, doc_id: int | None, held: bool, text: str | None) -> None:
-        words = tokens_of(text)
-        self.parts.append(np.fromiter(map(self.vocabulary.__getitem__, words), dtype=np.int64, count=len(words)))
-        self.docs.append(0 if pd.isna(doc_id) else int(doc_id))
-        self.named.append(not pd.isna(doc_id))
-        self.held.append(bool(held))
-        self.sizes.append(len(words))
-        self.total += len(words)
-
-    def row(self) -> pd.DataFrame:
-        tokens = np.concatenate(self.parts)
-        taught = np.repeat(~np.array(self.held), self.sizes)
-        counts = np.bincount(tokens[taught], minlength=len(self.vocabulary))
-        return pd.DataFrame({
-            "chunk": [self.number], "docs": [self.docs], "named": [self.named], "held": [self.held],
-            "sizes": [self.sizes], "tokens": [_planes(tokens)], "words": [[w.decode() for w in self.vocabulary]],
-            "counts": [counts.astype("int64")],
-        })
-
-
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(self, rows: pa.RecordBatch, words: pa.Array, n_words: np.ndarray) -> None:
+        self.rows.append(rows.select(["doc_id", "held"]))
+        self.words.append(words)
+        self.sizes.append(n_words + 1)
+        self.total += len(words) + len(rows)
+
+    def row(self) -> pa.RecordBatch:
+        """The texts as numbers in a vocabulary of their own, the end its last."""
+        rows, sizes = pa.Table.from_batches(self.rows), np.concatenate(self.sizes)
+        ids, held = rows["doc_id"].combine_chunks(), np.asarray(rows["held"])
+        coded = pa.concat_arrays(self.words).dictionary_encode()
+        tokens = np.full(self.total, len(coded.dictionary), dtype=np.int64)
+        is_word = np.ones(self.total, dtype=bool)
+        is_word[np.cumsum(sizes) - 1] = False
+        tokens[is_word] = coded.indices
+        counts = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(coded.dictionary) + 1)
+        words = pa.concat_arrays([coded.dictionary, pa.array([END], pa.large_binary())])
+        made = {
+            "docs": ids.fill_null(0), "named": ids.is_valid(), "held": pa.array(held),
+            "sizes": pa.array(sizes, pa.int32()), "words": words.cast(pa.string()), "counts": pa.array(counts, pa.int64()),
+        }
+        columns = {k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for k, v in made.items()}
+        columns |= {"chunk": pa.array([self.number], pa.int64()), "tokens": pa.array([_planes(tokens)], pa.binary())}
+        names = ["chunk", "docs", "named", "held", "sizes", "tokens", "words", "counts"]
+        return pa.RecordBatch.from_arrays([columns[k] for k in names], names)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # rows come in the scan's order, so a task that runs again makes the same chunks
     chunk = _Chunk(TaskContext.get().partitionId() << 32)
     for batch in batches:
-        for doc_id, held, text in zip(batch["doc_id"], batch["held"], batch["text"]):
-            chunk.add(doc_id, held, text)
+        words, n_words = _words_of(batch["text"])
+        ends, row = np.r_[0, np.cumsum(n_words)], 0
+        sums = ends + np.arange(len(ends))  # tokens before each row, ends included
+        while row < len(batch):
+            # up to the row that fills the chunk
+            to = min(len(batch), int(np.searchsorted(sums, sums[row] + CHUNK - chunk.total)))
+            chunk.add(batch.slice(row, to - row), words.slice(ends[row], ends[to] - ends[row]), n_words[row:to])
+            row = to
             if chunk.total >= CHUNK:
                 yield chunk.row()
                 chunk = _Chunk(chunk.number + 1)
-    if chunk.docs:
+    if chunk.rows:
         yield chunk.row()
+    del chunk
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 # ---- step 2: counts and classes ----------------------------------------------------------
@@ -244,65 +270,75 @@ def _tilted(shares: np.ndarray, states: int, part: int) -> np.ndarray:
 
 class _Lanes:
     """Segments side by side, longest first: at step t the first ``alive[t]`` go on. ``flat`` has their
-    classes step by step, ``seen`` a row per state with what it emits there, gathered once."""
+    classes step by step, ``seen`` a block per step: what each state (a row) emits there, gathered once
+    from ``emit``, which has a row per state too."""
 
-    def __init__(self, p: Parameters, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+    def __init__(self, emit: np.ndarray, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
         steps = np.arange(int(lengths[0]))
-        self.alive = np.searchsorted(-lengths, -steps, side="left")
-        self.offset = np.r_[0, np.cumsum(self.alive)]
+        alive = np.searchsorted(-lengths, -steps, side="left")
+        self.alive, self.offset = alive.tolist(), np.r_[0, np.cumsum(alive)].tolist()
         self.flat = np.empty(self.offset[-1], dtype=np.int64)
+        self.seen = self.blocks(len(emit))
         for t, n in enumerate(self.alive):
-            self.flat[self.offset[t] : self.offset[t + 1]] = classes[starts[:n] + t]
-        self.seen = np.ascontiguousarray(p.emit.take(self.flat, axis=0).T)
+            here = self.flat[self.offset[t] : self.offset[t + 1]]
+            here[:] = classes[t:].take(starts[:n])
+            emit.take(here, axis=1, out=self.seen[t], mode="clip")
+
+    def blocks(self, rows: int) -> list[np.ndarray]:
+        """Room for ``rows`` numbers of each lane at each step. What a step uses lies together."""
+        room = np.empty(rows * len(self.flat))
+        return [room[rows * a : rows * b].reshape(rows, -1) for a, b in zip(self.offset, self.offset[1:])]
 
 
 def _forward(p: Parameters, x: _Lanes, entry: np.ndarray, keep: bool = False):  # noqa: ANN202
     """The scaled forward recursion from ``entry``, the states' weights before a segment's first
-    emission: log likelihood and last weights of each lane; with ``keep`` also the weights of each step,
-    and the scales. Arrays have a row per state, so that every operation runs along the lanes."""
-    states, lanes = entry.shape
-    last = np.empty_like(entry)
-    alphas = np.empty_like(x.seen) if keep else None
-    scales = np.empty(len(x.flat))
+    emission: log likelihood and last weights of each lane, and what these are scaled by; with ``keep``
+    also the weights and scales of each step. Arrays have a row per state, so that every operation runs
+    along the lanes. Every RESCALE steps weights are scaled to sum 1."""
+    last, log = np.empty_like(entry), np.zeros(entry.shape[1])
+    alphas = x.blocks(len(entry)) if keep else None
+    scales: dict[int, np.ndarray] = {}
     alpha, onward = entry, np.ascontiguousarray(p.move.T)
-    ends = np.r_[x.alive[1:], 0]
-    for t, n in enumerate(x.alive):
-        here = slice(x.offset[t], x.offset[t + 1])
-        now = alphas[:, here] if keep else np.empty((states, n))
+    for t, (n, stay, seen) in enumerate(zip(x.alive, [*x.alive[1:], 0], x.seen)):
+        now = alphas[t] if keep else np.empty_like(seen)
         if t:
             np.matmul(onward, alpha[:, :n], out=now)
-            now *= x.seen[:, here]
+            now *= seen
         else:
-            np.multiply(entry, x.seen[:, here], out=now)
-        np.add.reduce(now, axis=0, out=scales[here])
-        now /= scales[here]
-        if ends[t] < n:
-            last[:, ends[t] : n] = now[:, ends[t] :]
+            np.multiply(entry, seen, out=now)
+        if t % RESCALE == 0:
+            scale = np.add.reduce(now, axis=0)
+            now /= scale
+            log[:n] += np.log(scale)
+            if keep:
+                scales[t] = scale
+        if stay < n:
+            last[:, stay:n] = now[:, stay:]
         alpha = now
-    logs, log = np.log(scales), np.zeros(lanes)
-    for t, n in enumerate(x.alive):
-        log[:n] += logs[x.offset[t] : x.offset[t + 1]]
-    return log, last, alphas, scales
-
-
-def _backward(p: Parameters, x: _Lanes, leave: np.ndarray, last: np.ndarray, alphas: np.ndarray, scales: np.ndarray):  # noqa: ANN202
-    """Expected moves inside the lanes, and for each lane the weights of its first emission with all that
-    follows. ``alphas`` become the states' probabilities, and ``x.seen`` is used up. With the scales of the
-    forward recursion both recursions' products sum to 1 at every step, if they do at the last."""
-    beta = leave / np.einsum("ij,ij->j", last, leave)
-    share = 1 / scales
-    moves = np.zeros_like(p.move)
+    tail = np.add.reduce(last, axis=0)
+    return log + np.log(tail), last / tail, tail, alphas, scales
+
+
+def _backward(p: Parameters, x: _Lanes, leave: np.ndarray, last: np.ndarray, tail: np.ndarray, alphas, scales):  # noqa: ANN001, ANN202
+    """Expected moves inside the lanes, for each lane the weights of its first emission with all that
+    follows, and the states' probabilities (a row per state) at every step. ``x.seen`` is used up. With
+    the scales of the forward recursion both recursions' products sum to 1 at every step, if they do at
+    the last."""
+    beta = leave / (np.einsum("ij,ij->j", last, leave) * tail)
+    gammas = np.empty((len(beta), len(x.flat)))
+    moves, step = np.zeros_like(p.move), np.empty_like(p.move)
     for t in range(len(x.alive) - 1, -1, -1):
-        here, n = slice(x.offset[t], x.offset[t + 1]), x.alive[t]
+        n, back = x.alive[t], x.seen[t]
         after = beta[:, :n]
-        alphas[:, here] *= after
-        back = x.seen[:, here]
+        np.multiply(alphas[t], after, out=gammas[:, x.offset[t] : x.offset[t + 1]])
         back *= after
-        back *= share[here]
+        if t % RESCALE == 0:
+            back /= scales[t]
         if t:
-            moves += alphas[:, x.offset[t - 1] : x.offset[t - 1] + n] @ back.T
+            np.matmul(alphas[t - 1][:, :n], back.T, out=step)
+            moves += step
             np.matmul(p.move, back, out=after)
-    return p.move * moves, x.seen[:, : x.alive[0]]
+    return p.move * moves, x.seen[0], gammas
 
 
 def _segments(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -322,7 +358,7 @@ def _groups(lengths: np.ndarray) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero(np.diff(before // AT_ONCE)) + 1)
 
 
-def _borders(p: Parameters, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, text: np.ndarray):  # noqa: ANN202
+def _borders(p: Parameters, by_state: np.ndarray, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, text: np.ndarray):  # noqa: ANN202
     """For each segment (a column) the states' weights before its first emission, and those of what
     follows its last token, just as the recursions over the whole text give them."""
     states = len(p.start)
@@ -334,11 +370,11 @@ def _borders(p: Parameters, classes: np.ndarray, starts: np.ndarray, lengths: np
     through = np.empty((len(many), states, states))  # entered in, left in
     logs = np.empty((len(many), states))
     for lanes in _groups(lengths[many]):
-        x = _Lanes(p, classes, starts[many[lanes]], lengths[many[lanes]])
+        x = _Lanes(by_state, classes, starts[many[lanes]], lengths[many[lanes]])
         for s in range(states):
             one = np.zeros((states, len(lanes)))
             one[s] = 1.0
-            log, last, _, _ = _forward(p, x, one)
+            log, last, *_ = _forward(p, x, one)
             logs[lanes, s], through[lanes, s] = log, last.T
     through *= np.exp(logs - logs.max(axis=1, keepdims=True))[:, :, None]
     own = text[many]
@@ -358,10 +394,11 @@ def log_likelihoods(p: Parameters, classes: np.ndarray, sizes: np.ndarray, most:
     out = np.zeros(len(sizes))
     if len(sizes):
         starts, lengths, text = _segments(sizes, most)
-        entry, _ = _borders(p, classes, starts, lengths, text)
+        by_state = np.ascontiguousarray(p.emit.T)
+        entry, _ = _borders(p, by_state, classes, starts, lengths, text)
         log = np.empty(len(starts))
         for lanes in _groups(lengths):
-            x = _Lanes(p, classes, starts[lanes], lengths[lanes])
+            x = _Lanes(by_state, classes, starts[lanes], lengths[lanes])
             log[lanes] = _forward(p, x, entry[:, lanes])[0]
         np.add.at(out, text, log)
     return out
@@ -374,13 +411,14 @@ def expected_counts(p: Parameters, classes: np.ndarray, sizes: np.ndarray, most:
     if not len(sizes):
         return start, move, emit.T, 0.0
     starts, lengths, text = _segments(sizes, most)
-    entry, leave = _borders(p, classes, starts, lengths, text)
+    by_state = np.ascontiguousarray(p.emit.T)
+    entry, leave = _borders(p, by_state, classes, starts, lengths, text)
     first = np.r_[True, text[1:] != text[:-1]]
     ends, onto, total = np.empty_like(entry), np.empty_like(entry), 0.0
     for lanes in _groups(lengths):
-        x = _Lanes(p, classes, starts[lanes], lengths[lanes])
-        log, last, gammas, scales = _forward(p, x, entry[:, lanes], keep=True)
-        inside, begun = _backward(p, x, leave[:, lanes], last, gammas, scales)
+        x = _Lanes(by_state, classes, starts[lanes], lengths[lanes])
+        log, last, *kept = _forward(p, x, entry[:, lanes], keep=True)
+        inside, begun, gammas = _backward(p, x, leave[:, lanes], last, *kept)
         total += float(log.sum())
         move += inside
         start += gammas[:, : len(lanes)][:, first[lanes]].sum(axis=1)
@@ -606,7 +644,7 @@ def score_documents(docs: DataFrame, states: int = STATES, own: int = OWN_FROM,
     )
     spark = docs.sparkSession
     with _shuffles_freed(spark):
-        chunks = written(texts.mapInPandas(_cut, _CHUNKS), "lm-chunks")
+        chunks = written(texts.mapInArrow(_cut, _CHUNKS), "lm-chunks")
         n_chunks = max(1, chunks.count())
         slices = -(-n_chunks // FAN)
         vocabulary = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w")).select(
@@ -615,7 +653,9 @@ def score_documents(docs: DataFrame, states: int = STATES, own: int = OWN_FROM,
         counts = written(vocabulary.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
         size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
         classes = classed_tokens(counts, max(1, own), shared)
-        found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(classes.words, "word").drop("word")
+        found = vocabulary.select(F.col("chunk").alias("own"), "number", "word").join(
+            classes.words.hint("shuffle_hash"), "word"  # one row a word, so parts are small and even
+        ).drop("word")
         coded = _by_chunk(
             chunks.drop("words", "counts").groupBy("chunk").cogroup(found.groupBy("own"))
             .applyInPandas(_code(size.n, size.v, classes.mass, shared, slices), _CODED),

@@ -4,8 +4,10 @@ columns with clashing names."""
 import hashlib
 import math
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -582,3 +584,43 @@ def test_language_model_cuts_the_memory_of_one_long_text(monkeypatch):
     got = hmm_lm.expected_counts(p, classes, sizes, 50)
     assert max(held) <= 250
     assert all(np.allclose(x, y) for x, y in zip(got, want))
+
+
+def test_language_model_runs_texts_side_by_side_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    k, c = 3, 9
+    p = hmm_lm.Parameters(
+        rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), size=k), rng.dirichlet(np.ones(c), size=k).T
+    )
+    sizes = np.array([5_000, 3, 2_049])
+    classes, ran = rng.integers(0, c, sizes.sum()), []
+    monkeypatch.setattr(hmm_lm, "_forward", lambda *a, f=hmm_lm._forward, **b: ran.append(1) or f(*a, **b))
+    got = hmm_lm.log_likelihoods(p, classes, sizes)
+    assert len(ran) == 1  # not once more from every state for texts of a few thousand tokens
+    assert np.allclose(got, hmm_lm.log_likelihoods(p, classes, sizes, 50))
+
+
+def test_language_model_keeps_likelihoods_of_very_rare_tokens():
+    p = hmm_lm.Parameters(np.array([0.5, 0.5]), np.full((2, 2), 0.5), np.array([[1e-60, 1e-61], [1.0, 1.0]]))
+    sizes = np.array([40, 1, 3])
+    classes = np.zeros(sizes.sum(), dtype=np.int64)
+    assert np.allclose(hmm_lm.log_likelihoods(p, classes, sizes), np.log(5.5e-61) * sizes)
+    assert np.allclose(hmm_lm.expected_counts(p, classes, sizes)[2][0].sum(), sizes.sum())
+
+
+def test_language_model_cuts_words_as_its_tokens(monkeypatch):
+    monkeypatch.setattr(hmm_lm, "CHUNK", 6)
+    monkeypatch.setattr(hmm_lm.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    texts = [
+        "  A b\u00a0c ", "", None, "\t\n", "x\x0bY\x0cz\x1cq\x85r \u4e05 \u00c4\u00e4", "one", "a a a a a a a a", "b",
+    ]
+    rows = [(None if i == 5 else i, i == 3, t) for i, t in enumerate(texts)]
+    docs = pa.table(dict(zip(["doc_id", "held", "text"], map(list, zip(*rows))))).to_batches(max_chunksize=3)
+    got, chunks = [], [SimpleNamespace(**b.to_pylist()[0]) for b in hmm_lm._cut(iter(docs))]
+    for r in chunks:
+        tokens, words = hmm_lm._from_planes(r.tokens), [w.encode() for w in r.words]
+        own = np.split(tokens, np.cumsum(r.sizes)[:-1])
+        got += [(d if n else None, h, [words[i] for i in x]) for d, n, h, x in zip(r.docs, r.named, r.held, own)]
+        taught = np.concatenate([x for x, h in zip(own, r.held) if not h] or [tokens[:0]])
+        assert np.array_equal(r.counts, np.bincount(taught, minlength=len(words))) and len(set(words)) == len(words)
+    assert got == [(d, h, hmm_lm.tokens_of(t)) for d, h, t in rows] and len(chunks) > 2
