@@ -17,18 +17,18 @@ become U+FFFD each. Columns ``ids`` and ``decoded`` are replaced if there alread
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from lexigraph.llm.common import add_results
 
 MARK = "▁"
-CACHED_UNITS = 200_000
-CACHED_PAIRS = 300_000
+CACHED_UNITS = 100_000
+CACHED_PAIRS = 150_000
 LONGEST_CACHED = 64
 NEVER = float("-inf")
 
@@ -215,15 +215,26 @@ def _decode_apart(data: bytes) -> str:
     return "".join(out)
 
 
+#: The codec of the call that this worker last ran a task of, by its name: one for all its tasks.
+_KEPT: list[tuple[str, Codec]] = []
+
+
+def _codec_of(name: str, pieces: Broadcast) -> Codec:
+    if not _KEPT or _KEPT[0][0] != name:
+        _KEPT.clear()  # before the next is made
+        _KEPT.append((name, Codec(pieces.value)))
+    return _KEPT[0][1]
+
+
 def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs`` with ``ids`` (packed, see ``Codec.encode``) and ``decoded``."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
+    shared, name = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path)), uuid.uuid4().hex
 
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(shared.value)
-        for batch in texts:
-            ids = [codec.encode(t) for t in batch]
-            yield pd.DataFrame({"ids": ids, "decoded": [codec.decode(x) for x in ids]})
+    def run(text: str | None) -> tuple[bytes, str]:
+        codec = _codec_of(name, shared)
+        ids = codec.encode(text)
+        return ids, codec.decode(ids)
 
-    coded = F.pandas_udf(run, "ids binary, decoded string")
+    # not by Arrow: its batches hold 10,000 texts at once, with their ids and decoded texts, in the JVM and in Python
+    coded = F.udf(run, "ids binary, decoded string", useArrow=False)
     return add_results(docs, coded("text"), ["ids", "decoded"])

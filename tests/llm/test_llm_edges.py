@@ -346,6 +346,21 @@ def test_sentencepiece(spark):
     assert sentencepiece_codec.encode_decode(empty(spark), path).count() == 0
 
 
+def test_sentencepiece_takes_few_texts_at_once_and_one_codec_for_all_tasks(spark, monkeypatch):
+    got = sentencepiece_codec.encode_decode(documents(spark), model_path("piece_bpe_32k.model"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchEvalPython") == 1 and "ArrowEvalPython" not in plan
+
+    class Pieces:
+        value = sentencepiece_codec.load_pieces(model_path("piece_bpe_32k.model"))
+
+    monkeypatch.setattr(sentencepiece_codec, "_KEPT", [])
+    one = sentencepiece_codec._codec_of("one", Pieces)
+    assert sentencepiece_codec._codec_of("one", Pieces) is one
+    assert sentencepiece_codec._codec_of("two", Pieces) is not one
+    assert [name for name, _ in sentencepiece_codec._KEPT] == ["two"]
+
+
 def test_sentencepiece_equals_the_library_on_odd_texts():
     from hypothesis import given, settings, strategies as st
     from sentencepiece import SentencePieceProcessor
