@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 from lexigraph.llm.common import add_results
 
 MARK = "▁"
-CACHED_UNITS = 100_000
-CACHED_PAIRS = 150_000
+CACHED_UNITS = 300_000
+CACHED_PAIRS = 300_000
 LONGEST_CACHED = 64
 NEVER = float("-inf")
 
@@ -65,8 +65,11 @@ class Codec:
             raise ValueError("a piece crosses the places where texts are cut")
         if missing := {c for p in self.id for c in p} - self.id.keys():
             raise ValueError(f"characters without a piece of their own: {sorted(missing)[:5]}")
+        # what was asked for lately; at half the bound the younger half takes the older one's place
         self._pairs: dict[tuple[str, str], bool] = {}
+        self._older_pairs: dict[tuple[str, str], bool] = {}
         self._units: dict[str, bytes] = {}
+        self._older_units: dict[str, bytes] = {}
 
     @cached_property
     def _automaton(self):  # noqa: ANN202
@@ -103,9 +106,12 @@ class Codec:
     def compatible(self, pair: tuple[str, str]) -> bool:
         """No merge across the border comes first while both strings merge side by side. Merges
         go by score, from the left among equals."""
-        if len(self._pairs) >= CACHED_PAIRS:
-            self._pairs.clear()
-        known = self._pairs[pair] = self._compare(*pair)
+        if len(self._pairs) >= CACHED_PAIRS // 2:
+            self._pairs, self._older_pairs = {}, self._pairs
+        known = self._older_pairs.get(pair)
+        if known is None:
+            known = self._compare(*pair)
+        self._pairs[pair] = known
         return known
 
     def _compare(self, a: str, b: str) -> bool:
@@ -128,7 +134,7 @@ class Codec:
     def _encode_unit(self, unit: str) -> bytes:
         last: list[str] = list(f" {unit}")  # a character that ends no piece stands for itself
         found = bytearray(len(last))
-        pairs, compatible = self._pairs, self.compatible
+        pairs, compatible = self._pairs, self.compatible  # a full cache that has been replaced holds true all the same
         for at, piece in self._automaton.iter(unit):
             at += 1
             if not found[at]:
@@ -168,10 +174,11 @@ class Codec:
             for unit in self._UNIT.findall(MARK + text.replace(" ", MARK)):
                 ids = units.get(unit)
                 if ids is None:
-                    ids = self._encode_unit(unit)
+                    ids = self._older_units.get(unit) or self._encode_unit(unit)
                     if len(unit) <= LONGEST_CACHED:
-                        if len(units) >= CACHED_UNITS:
-                            units.clear()
+                        if len(units) >= CACHED_UNITS // 2:
+                            self._units, self._older_units = {}, units
+                            units = self._units
                         units[unit] = ids
                 parts.append(ids)
         parts.append(self._edge(self.end))

@@ -361,6 +361,18 @@ def test_sentencepiece_takes_few_texts_at_once_and_one_codec_for_all_tasks(spark
     assert [name for name, _ in sentencepiece_codec._KEPT] == ["two"]
 
 
+def test_sentencepiece_keeps_recent_units_when_a_cache_is_full(monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "CACHED_UNITS", 8)
+    monkeypatch.setattr(sentencepiece_codec, "CACHED_PAIRS", 8)
+    codec = sentencepiece_codec.Codec(sentencepiece_codec.load_pieces(model_path("piece_bpe_32k.model")))
+    text = " ".join(f"often rare{i}x" for i in range(50))
+    want, cut, encode_unit = codec.encode(text), [], codec._encode_unit
+    monkeypatch.setattr(codec, "_encode_unit", lambda unit: cut.append(unit) or encode_unit(unit))
+    assert codec.encode(text) == want and codec.decode(want) == text
+    assert len(cut) == 50 and not any("often" in unit for unit in cut)
+    assert len(codec._units) + len(codec._older_units) <= 8 and len(codec._pairs) + len(codec._older_pairs) <= 8
+
+
 def test_sentencepiece_equals_the_library_on_odd_texts():
     from hypothesis import given, settings, strategies as st
     from sentencepiece import SentencePieceProcessor
